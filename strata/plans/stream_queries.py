@@ -1 +1,118 @@
-"""Registered queries."""
+"""Registered queries: incremental loads, schema drift and the file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import incremental as INC
+from strata.operators.vault import build_hub, seismic_sat
+from strata.plans.registry import LOAD_TS, register
+from strata.plans.vault_queries import SRC_HASH_SQL, TS_SQL, _with
+from strata.session import scratch_dir
+from strata.sources import analog
+from strata.streaming.incremental_stream import load_readings_stream
+
+# Fixed cut between the two arrivals of the stream query.
+STREAM_CUT = "1998-07-01"
+
+
+def _years(spark, sf_dir) -> list[int]:
+    r = analog.readings(spark, sf_dir)
+    rows = r.select(F.year("ingest_timestamp").alias("y")).distinct().collect()
+    return sorted(int(x["y"]) for x in rows if x["y"] is not None)
+
+
+def _batch(spark, sf_dir, year):
+    r = analog.readings(spark, sf_dir)
+    return r.where(F.year("ingest_timestamp") == year)
+
+
+@register("incremental_hub", _with("""
+SELECT md5(CAST(well_id AS VARCHAR)) AS hub_well_key, well_id,
+       CAST(min(year(ingest_timestamp)) AS VARCHAR) AS load_date, 'readings' AS record_source
+FROM readings WHERE well_id IS NOT NULL GROUP BY well_id"""))
+def q_incremental_hub(spark, sf_dir):
+    """Wells hub loaded from yearly reading batches (the first year twice): new keys only."""
+    vault = INC.IncrementalVault(scratch_dir(spark, "inc-hub"))
+    years = _years(spark, sf_dir)
+    for y in [years[0], *years]:
+        hub = build_hub(_batch(spark, sf_dir, y), "well_id", "hub_well_key", str(y), "readings")
+        vault.load(spark, {"hub_well": hub})
+    return vault.table(spark, "hub_well")
+
+
+@register("incremental_sat", _with(f"""
+SELECT link_survey_well_key, depth, amplitude, quality_flag, source_hash,
+       CAST(min(year(ingest_timestamp)) AS VARCHAR) AS load_date
+FROM (SELECT md5(CAST(survey_id AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS link_survey_well_key,
+             depth, amplitude, quality_flag, {SRC_HASH_SQL} AS source_hash, ingest_timestamp
+      FROM readings WHERE survey_id IS NOT NULL AND well_id IS NOT NULL)
+GROUP BY link_survey_well_key, depth, amplitude, quality_flag, source_hash"""))
+def q_incremental_sat(spark, sf_dir):
+    """Readings satellite by yearly batches: a row only for a change hash new to its link."""
+    vault = INC.IncrementalVault(scratch_dir(spark, "inc-sat"))
+    years = _years(spark, sf_dir)
+    for y in [years[0], *years]:
+        sat = seismic_sat(_batch(spark, sf_dir, y), str(y), keep_source_timestamp=True)
+        vault.load(spark, {"sat_seismic_data": sat})
+    return vault.table(spark, "sat_seismic_data").select(
+        "link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash", "load_date")
+
+
+@register("schema_drift", _with(f"""
+SELECT survey_id, well_id, depth, amplitude, quality_flag,
+       CASE WHEN coalesce(quality_flag, 0) = 0 THEN strftime(ingest_timestamp, {TS_SQL}) END
+         AS ingest_timestamp,
+       CASE WHEN coalesce(quality_flag, 0) = 1 THEN 'sgx_reconstruction' END AS ingest_source
+FROM readings"""))
+def q_schema_drift(spark, sf_dir):
+    """A second batch arrives without ``ingest_timestamp``, with an extra column and an int flag.
+
+    The drift is reported, the batch aligned to the stored schema (missing
+    column NULL, type cast back, new column kept) and appended.
+    """
+    root = scratch_dir(spark, "drift")
+    r = analog.readings(spark, sf_dir)
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    r.where(~flagged).write.parquet(root)
+    stored = spark.read.parquet(root)
+    incoming = (r.where(flagged).drop("ingest_timestamp")
+                 .withColumn("quality_flag", F.col("quality_flag").cast("int"))
+                 .withColumn("ingest_source", F.lit("sgx_reconstruction")))
+    INC.align_to(incoming, stored.schema).write.mode("append").parquet(root)
+    out = spark.read.option("mergeSchema", "true").parquet(root)
+    return out.select("survey_id", "well_id", "depth", "amplitude", "quality_flag",
+                      F.date_format("ingest_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                      .alias("ingest_timestamp"), "ingest_source")
+
+
+@register("schema_drift_report", """
+SELECT * FROM (VALUES ('ingest_source', 'added', NULL, 'string'),
+                      ('ingest_timestamp', 'removed', 'timestamp_ntz', NULL),
+                      ('quality_flag', 'type_changed', 'bigint', 'int'))
+  AS t(column_name, change, stored_type, incoming_type)
+WHERE (SELECT count(*) FROM lineitem) > 0""")
+def q_schema_drift_report(spark, sf_dir):
+    """Columns added, removed and retyped between the stored and an incoming reading batch."""
+    r = analog.readings(spark, sf_dir)
+    incoming = (r.drop("ingest_timestamp").withColumn("quality_flag", F.col("quality_flag").cast("int"))
+                 .withColumn("ingest_source", F.lit("sgx_reconstruction")))
+    return INC.schema_drift(spark, r.schema, incoming.schema)
+
+
+@register("incremental_stream", _with(f"""
+SELECT DISTINCT md5(CAST(survey_id AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS link_survey_well_key,
+       depth, amplitude, quality_flag, {SRC_HASH_SQL} AS source_hash
+FROM readings WHERE survey_id IS NOT NULL AND well_id IS NOT NULL"""))
+def q_incremental_stream(spark, sf_dir):
+    """Reading files arrive in two drops; an availableNow stream loads each drop once."""
+    base = scratch_dir(spark, "stream")
+    inbox, vault_root, ckpt = f"{base}/inbox", f"{base}/vault", f"{base}/checkpoint"
+    r = analog.readings(spark, sf_dir)
+    early = F.col("ingest_timestamp") < F.lit(STREAM_CUT).cast("timestamp_ntz")
+    r.where(early).write.mode("append").parquet(inbox)
+    load_readings_stream(spark, inbox, r.schema, vault_root, ckpt, LOAD_TS)
+    r.where(~early | F.col("ingest_timestamp").isNull()).write.mode("append").parquet(inbox)
+    load_readings_stream(spark, inbox, r.schema, vault_root, ckpt, LOAD_TS)
+    sat = INC.IncrementalVault(vault_root).table(spark, "sat_seismic_data")
+    return sat.select("link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash")

@@ -8,7 +8,6 @@ gets a private one here; a cluster session keeps its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,12 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for one job's side outputs, inside the shared checkpoint folder."""
+    """A fresh (not yet created) folder for one job's outputs, inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:
