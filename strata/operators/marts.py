@@ -52,12 +52,12 @@ def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame]) -> DataFrame:
     return out.join(maybe_broadcast(survey_sat), "survey_type_id", "left")
 
 
-def _partials(sat: DataFrame, scale: int) -> list[Column]:
+def _partials(scale: int) -> list[Column]:
     return [
         F.col("depth").isNotNull().cast("bigint").alias("n_depth"),
         F.col("amplitude").isNotNull().cast("bigint").alias("n_amp"),
         F.col("amplitude").cast(f"decimal(38,{scale})").alias("amp_sum"),
-        (F.col("quality_flag") == 1).cast("bigint").alias("n_flags"),
+        F.when(F.col("quality_flag") == 1, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("n_flags"),
         F.col("ingest_timestamp").alias("min_ts"),
         F.col("ingest_timestamp").alias("max_ts"),
     ]
@@ -73,7 +73,7 @@ def core_join(vault: dict[str, DataFrame]) -> DataFrame:
 def core_facts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE) -> DataFrame:
     """Direct form: reading-level partials (no pre-aggregation)."""
     sat = vault["sat_seismic_data"]
-    return _attach_dims(sat.select("link_survey_well_key", *_partials(sat, scale)), vault)
+    return _attach_dims(sat.select("link_survey_well_key", *_partials(scale)), vault)
 
 
 def link_facts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE) -> DataFrame:

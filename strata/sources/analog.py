@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.plans.parallelism import ensure_parallelism
 from strata.sources.readings import clean_readings
 
 
@@ -35,7 +36,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_returnflag") == "R").cast("bigint").alias("quality_flag"),
         F.col("l_shipdate").alias("ingest_timestamp"),
     )
-    return clean_readings(df)
+    return clean_readings(ensure_parallelism(df))
 
 
 def survey_master(spark: SparkSession, sf_dir: str) -> DataFrame:
