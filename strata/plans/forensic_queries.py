@@ -42,7 +42,7 @@ def _encoded_lake(spark, sf_dir, name, **kw) -> str:
 def q_fixedwidth_scan(spark, sf_dir):
     """Readings encoded as fixed-width files by Spark tasks, decoded by the data source."""
     lake = _encoded_lake(spark, sf_dir, "sgx")
-    df = FW.read(spark, lake, recordsPerSplit=5000)
+    df = FW.read(spark, lake, recordsPerSplit=100_000, openCostRecords=1000)
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
 
 
@@ -54,7 +54,7 @@ def q_fixedwidth_truncated(spark, sf_dir):
     flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
     FWE.encode(r.where(~flagged), out + "/cut", count_delta=3, tail=b"\x07" * 7).collect()
     FWE.encode(r.where(flagged), out + "/junk", tail=b"JUNK" * 10).collect()
-    df = FW.read(spark, out, recordsPerSplit=5000)
+    df = FW.read(spark, out, recordsPerSplit=100_000, openCostRecords=1000)
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
 
 
@@ -81,7 +81,7 @@ def q_fixedwidth_convert(spark, sf_dir):
     """Decode a lake and store it as one Parquet table partitioned by survey."""
     lake = _encoded_lake(spark, sf_dir, "sgx-convert")
     out = scratch_dir(spark, "converted")
-    res = CV.convert_lake(spark, lake, out, LOAD_TS, recordsPerSplit=5000)
+    res = CV.convert_lake(spark, lake, out, LOAD_TS, recordsPerSplit=100_000, openCostRecords=1000)
     return res["readings"].select("survey_id", "well_id", "depth", "amplitude", "quality_flag",
                                   "ingest_timestamp")
 

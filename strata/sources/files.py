@@ -1,8 +1,8 @@
 """File listing and optional sources.
 
-Listing goes through Hadoop's FileSystem via Spark, so any path Spark can read
-(local, HDFS, object stores) works the same way.  Only names and sizes reach
-the driver, never file content.
+Listings are native (``pyarrow.fs``) and existence checks go through Hadoop's
+FileSystem, so the paths Spark reads (local, HDFS, object stores) work the
+same way.  Only names and sizes reach the driver, never file content.
 """
 
 from __future__ import annotations
@@ -28,19 +28,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def list_files(spark: SparkSession, root: str, glob: str = "*",
                recursive: bool = True) -> list[tuple[str, int]]:
-    """(path, size) of files under ``root`` whose base name matches ``glob`` (case-sensitive)."""
-    fs, hpath = _fs_and_path(spark, root)
-    if not fs.exists(hpath):
+    """(uri, size) of files under ``root`` whose base name matches ``glob`` (case-sensitive).
+
+    A native listing (``pyarrow.fs``: local, HDFS, S3, GCS) of names and sizes
+    only; hidden files (``.`` / ``_`` prefixes) are skipped like Spark does,
+    zero-length files are kept.  URIs are returned in the form Spark uses.
+    """
+    import pyarrow.fs as pafs
+
+    if root.startswith("file:") or "://" not in root:
+        fs = pafs.LocalFileSystem()
+        base = root[len("file://"):] if root.startswith("file://") else (
+            root[len("file:"):] if root.startswith("file:") else root)
+        prefix = "file:"
+    else:
+        fs, base = pafs.FileSystem.from_uri(root)
+        prefix = root.split("://", 1)[0] + "://"
+    info = fs.get_file_info(base)
+    if info.type == pafs.FileType.File:
+        return [(prefix + info.path, int(info.size))]
+    if info.type != pafs.FileType.Directory:
         return []
-    out: list[tuple[str, int]] = []
-    it = fs.listFiles(hpath, recursive)
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if name.startswith((".", "_")):
+    out = []
+    for f in fs.get_file_info(pafs.FileSelector(base, recursive=recursive)):
+        if f.type != pafs.FileType.File:
+            continue
+        rel = f.path[len(base):].lstrip("/")
+        if any(part.startswith((".", "_")) for part in rel.split("/")):
             continue
-        if fnmatch.fnmatchcase(name, glob):
-            out.append((st.getPath().toString(), int(st.getLen())))
+        if fnmatch.fnmatchcase(f.base_name, glob):
+            out.append((prefix + f.path, int(f.size)))
     out.sort()
     return out
 
