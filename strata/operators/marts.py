@@ -26,30 +26,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.plans.joins import maybe_broadcast
+from strata.plans.joins import bound_of, maybe_broadcast
 
 DEFAULT_SCALE = 6
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 MART_NAMES = ("mart_well_performance", "mart_sensor_analysis", "mart_survey_summary")
 
 
-def _dims(vault: dict[str, DataFrame]):
-    link = vault["link_survey_well"].select("link_survey_well_key", "hub_survey_key", "hub_well_key")
-    hub_well = vault["hub_well"].select("hub_well_key", "well_id")
-    hub_survey = vault["hub_survey"].select("hub_survey_key", "survey_type_id")
-    survey_sat = (vault["sat_survey_details"]
-                  .select("survey_type_id", "survey_type", "source_format").distinct())
-    return link, hub_well, hub_survey, survey_sat
+def _dim(vault: dict[str, DataFrame], name: str, *cols: str, distinct: bool = False) -> DataFrame:
+    """A narrow projection of a dimension, broadcast when its row count is bounded."""
+    src = vault[name]
+    df = src.select(*cols)
+    if distinct:
+        df = df.distinct()
+    return maybe_broadcast(df, bound_source=bound_of(src) or src)
 
 
 def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame]) -> DataFrame:
     """facts(link key, ...) ⋈ link ⋈ hub_well ⋈ hub_survey ⟕ survey satellite."""
-    link, hub_well, hub_survey, survey_sat = _dims(vault)
+    link = vault["link_survey_well"].select("link_survey_well_key", "hub_survey_key", "hub_well_key")
     out = facts.join(link, "link_survey_well_key")
-    out = out.join(maybe_broadcast(hub_well), "hub_well_key")
-    out = out.join(maybe_broadcast(hub_survey), "hub_survey_key")
+    out = out.join(_dim(vault, "hub_well", "hub_well_key", "well_id"), "hub_well_key")
+    out = out.join(_dim(vault, "hub_survey", "hub_survey_key", "survey_type_id"), "hub_survey_key")
     # Two formats for one survey id multiply its readings, as the reference's merge does.
-    return out.join(maybe_broadcast(survey_sat), "survey_type_id", "left")
+    survey_sat = _dim(vault, "sat_survey_details", "survey_type_id", "survey_type", "source_format",
+                      distinct=True)
+    return out.join(survey_sat, "survey_type_id", "left")
 
 
 def _partials(scale: int) -> list[Column]:
@@ -120,8 +122,8 @@ def mart_sensor_analysis(facts: DataFrame) -> DataFrame:
 def wells_surveyed(vault: dict[str, DataFrame]) -> DataFrame:
     """Distinct wells per survey id, from the link table (not from readings)."""
     link = vault["link_survey_well"].select("hub_survey_key", "hub_well_key").distinct()
-    hub_survey = vault["hub_survey"].select("hub_survey_key", "survey_type_id")
-    return (link.join(maybe_broadcast(hub_survey), "hub_survey_key")
+    hub_survey = _dim(vault, "hub_survey", "hub_survey_key", "survey_type_id")
+    return (link.join(hub_survey, "hub_survey_key")
                 .where(F.col("survey_type_id").isNotNull())
                 .groupBy("survey_type_id")
                 .agg(F.count_distinct("hub_well_key").alias("wells_surveyed_count")))

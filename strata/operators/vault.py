@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.keys import change_hash, md5_key, not_null, sha256_key
+from strata.plans.joins import set_bound
 
 # Fixed values of the vault layout.
 SURVEY_SOURCE = "master_surveys.csv"
@@ -33,6 +34,16 @@ def hash_fn(kind: str):
     raise ValueError(f"unknown key hash {kind!r}")
 
 
+def stored_key(key: Column) -> Column:
+    """A hash key over inputs already filtered to non-NULL, declared non-nullable.
+
+    The value is unchanged (a digest of non-NULL text is never NULL).  Without
+    the declaration Catalyst infers ``IsNotNull(md5(...))`` for every join on
+    the key and evaluates it as an extra filter, hashing each row twice.
+    """
+    return F.coalesce(key, F.lit(""))
+
+
 def pick_column(df: DataFrame, candidates: Sequence[str], default: str) -> Column:
     """First column of ``candidates`` present in ``df``, else a constant.
 
@@ -59,7 +70,7 @@ def build_hub(df: DataFrame, key: str, hub_key: str, load_ts: str,
               record_source: str, key_hash: str = "md5") -> DataFrame:
     """HUB: one row per distinct business key with its hash and audit columns."""
     return (df.select(key).where(F.col(key).isNotNull()).distinct()
-              .select(hash_fn(key_hash)(key).alias(hub_key), key,
+              .select(stored_key(hash_fn(key_hash)(key)).alias(hub_key), key,
                       F.lit(load_ts).alias("load_date"),
                       F.lit(record_source).alias("record_source")))
 
@@ -73,7 +84,7 @@ def build_sat(df: DataFrame, parent_key: str, parent_cols: Sequence[str],
     """
     h = hash_fn(key_hash)
     keep = not_null(*(not_null_cols if not_null_cols is not None else parent_cols))
-    return df.where(keep).select(h(*parent_cols).alias(parent_key), *attrs,
+    return df.where(keep).select(stored_key(h(*parent_cols)).alias(parent_key), *attrs,
                                  F.lit(load_ts).alias("load_date"))
 
 
@@ -85,9 +96,9 @@ def build_link(df: DataFrame, survey_col: str, well_col: str, load_ts: str,
                .where(not_null(survey_col, well_col))
                .distinct())
     return pairs.select(
-        h(survey_col, well_col).alias("link_survey_well_key"),
-        h(survey_col).alias("hub_survey_key"),
-        h(well_col).alias("hub_well_key"),
+        stored_key(h(survey_col, well_col)).alias("link_survey_well_key"),
+        stored_key(h(survey_col)).alias("hub_survey_key"),
+        stored_key(h(well_col)).alias("hub_well_key"),
         F.lit(load_ts).alias("load_date"),
         F.lit(record_source).alias("record_source"),
     )
@@ -119,7 +130,7 @@ def seismic_sat(readings: DataFrame, load_ts: str, key_hash: str = "md5",
           else F.lit(load_ts).cast("timestamp_ntz"))
     h = hash_fn(key_hash)
     return (readings.where(not_null("survey_id", "well_id"))
-            .select(h("survey_id", "well_id").alias("link_survey_well_key"),
+            .select(stored_key(h("survey_id", "well_id")).alias("link_survey_well_key"),
                     "depth", "amplitude", "quality_flag",
                     F.lit(READING_SOURCE).alias("ingest_source"),
                     change_hash(readings, READING_HASH_COLUMNS, hash_scale).alias("source_hash"),
@@ -134,13 +145,14 @@ def build_vault(surveys: DataFrame | None, wells: DataFrame | None, readings: Da
     out: dict[str, DataFrame] = {}
     rej: list[DataFrame] = []
     if surveys is not None:
-        out["hub_survey"] = build_hub(surveys, "survey_type_id", "hub_survey_key", load_ts,
-                                      SURVEY_SOURCE, key_hash)
-        out["sat_survey_details"] = survey_sat(surveys, load_ts, key_hash)
+        out["hub_survey"] = set_bound(build_hub(surveys, "survey_type_id", "hub_survey_key", load_ts,
+                                                SURVEY_SOURCE, key_hash), surveys)
+        out["sat_survey_details"] = set_bound(survey_sat(surveys, load_ts, key_hash), surveys)
         rej.append(rejects(surveys, ["survey_type_id"], "hub_survey"))
     if wells is not None:
-        out["hub_well"] = build_hub(wells, "well_id", "hub_well_key", load_ts, WELL_SOURCE, key_hash)
-        out["sat_well_details"] = well_sat(wells, load_ts, key_hash)
+        out["hub_well"] = set_bound(build_hub(wells, "well_id", "hub_well_key", load_ts, WELL_SOURCE,
+                                              key_hash), wells)
+        out["sat_well_details"] = set_bound(well_sat(wells, load_ts, key_hash), wells)
         rej.append(rejects(wells, ["well_id"], "hub_well"))
     if readings is not None:
         out["link_survey_well"] = build_link(readings, "survey_id", "well_id", load_ts,

@@ -23,20 +23,41 @@ def max_broadcast_rows(spark: SparkSession) -> int:
 
 
 def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+
+    The count is remembered on the DataFrame object, so several dimensions
+    bounded by one master cost one small job.
+    """
+    seen = getattr(df, "_strata_rows_upto", None)
+    if seen is None or (seen[1] < max_rows and seen[0] > seen[1]):
+        n = df.limit(max_rows + 1).count()
+        df._strata_rows_upto = seen = (n, max_rows)
+    n, probed = seen
+    return n <= max_rows if n <= probed else False
+
+
+def set_bound(df: DataFrame, source: DataFrame) -> DataFrame:
+    """Record that ``source`` has at least as many rows as ``df`` (e.g. the master under a hub)."""
+    df._strata_bound = source
+    return df
+
+
+def bound_of(df: DataFrame) -> DataFrame | None:
+    return getattr(df, "_strata_bound", None)
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
                     bound_source: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only when the row count is proven below the bound.
 
-    ``bound_source`` may be a cheaper plan whose row count bounds ``df`` (for
-    example the raw master table under a ``distinct``).
+    ``bound_source`` (or one recorded with ``set_bound``) is a cheaper plan
+    whose row count bounds ``df``, such as the raw master scan under a
+    ``distinct``: counting its first ``max_rows + 1`` rows stops early,
+    where a distinct would have to be computed in full.
     """
     spark = df.sparkSession
     cap = max_broadcast_rows(spark) if max_rows is None else max_rows
-    probe = bound_source if bound_source is not None else df
+    probe = bound_source if bound_source is not None else (bound_of(df) or df)
     return F.broadcast(df) if bounded(probe, cap) else df
 
 
