@@ -176,7 +176,7 @@ def _publish_sensor_versions(spark, sf_dir):
 
 
 @register("version_overwrite", _with(f"""
-SELECT 0 AS version, 'WRITE' AS operation, 'Overwrite' AS mode, count(*) AS num_added_rows
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, 'Overwrite' AS mode, count(*) AS num_added_rows
 FROM ({MART_SENSOR_SQL})
 UNION ALL SELECT 1, 'WRITE', 'Overwrite', count(*) FROM ({MART_SENSOR_SQL})
 UNION ALL SELECT 2, 'WRITE', 'Overwrite', 0"""))

@@ -21,7 +21,7 @@ from strata.sources import deltalog as L
 YEARS_SQL = """
 years AS (
   SELECT y, (dense_rank() OVER (ORDER BY y)) - 1 AS version, n,
-         sum(n) OVER (ORDER BY y) AS cumulative
+         CAST(sum(n) OVER (ORDER BY y) AS BIGINT) AS cumulative
   FROM (SELECT year(ingest_timestamp) AS y, count(*) AS n FROM readings GROUP BY y))
 """
 

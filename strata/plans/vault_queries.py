@@ -274,7 +274,8 @@ def q_mart_preview(spark, sf_dir):
 @register("mart_preaggregated", _with(f"""
 SELECT link_survey_well_key, well_id, survey_type_id, survey_type, source_format,
        count(depth) AS n_depth, count(amplitude) AS n_amp,
-       sum(CAST(amplitude AS DECIMAL(38,6))) AS amp_sum, count_if(quality_flag = 1) AS n_flags,
+       sum(CAST(amplitude AS DECIMAL(38,6))) AS amp_sum,
+       CAST(count_if(quality_flag = 1) AS BIGINT) AS n_flags,
        strftime(min(ingest_timestamp), {TS_SQL}) AS min_ts,
        strftime(max(ingest_timestamp), {TS_SQL}) AS max_ts
 FROM core
@@ -301,7 +302,7 @@ def _unique_sql(table: str, key: str, source: str) -> str:
 
 
 def _refs_sql(child: str, key: str, parent: str, child_src: str, parent_src: str) -> str:
-    bad = f"count_if({key} IS NOT NULL AND matched IS NULL)"
+    bad = f"CAST(count_if({key} IS NOT NULL AND matched IS NULL) AS BIGINT)"
     src = (f"(SELECT c.{key}, p.matched FROM (SELECT {key} FROM {child_src}) c LEFT JOIN "
            f"(SELECT DISTINCT {key}, true AS matched FROM {parent_src}) p USING ({key}))")
     return _check_sql(f"references:{child}.{key}->{parent}.{key}", f"every {child}.{key} exists in {parent}",
@@ -310,7 +311,7 @@ def _refs_sql(child: str, key: str, parent: str, child_src: str, parent_src: str
 
 def _range_sql(table: str, col: str, minimum: int, source: str) -> str:
     return _check_sql(f"at_least:{table}.{col}>={minimum}", f"{table}.{col} is not below {minimum}",
-                      f"count_if({col} < {minimum})", "count(*)", source)
+                      f"CAST(count_if({col} < {minimum}) AS BIGINT)", "count(*)", source)
 
 
 @register("dq_unique", _with(
