@@ -168,10 +168,10 @@ def _publish_sensor_versions(spark, sf_dir):
     SV.publish(spark, mart, root)                      # v0
     SV.publish(spark, mart, root)                      # v1, same content (idempotent re-run)
     try:
-        SV.publish(spark, mart.limit(0), root)         # refused: empty replace
+        SV.publish(spark, mart.where(F.lit(False)), root)          # refused: empty replace
     except SV.EmptyPublishError:
         pass
-    SV.publish(spark, mart.limit(0), root, allow_empty=True)   # v2, forced empty
+    SV.publish(spark, mart.where(F.lit(False)), root, allow_empty=True)   # v2, forced empty
     return root
 
 
