@@ -205,7 +205,7 @@ SELECT page_id, unnest(list_filter(regexp_extract_all(html, '{FX.TOKEN_PATTERN}'
 FROM pages""")
 def q_token_scan_text(spark, sf_dir):
     """Suspicious tokens in every page's whole HTML, one row per hit."""
-    pages = analog.table(spark, sf_dir, "pages")
+    pages = analog.pages(spark, sf_dir)
     return FX.token_hits(pages, ["page_id"], "html").select("page_id", "token")
 
 
@@ -219,7 +219,7 @@ FROM (SELECT page_id,
 def q_token_scan_tail(spark, sf_dir):
     """Each page stored as a file; the last 2,000 bytes of every file are scanned."""
     lake = scratch_dir(spark, "pages")
-    pages = analog.table(spark, sf_dir, "pages")
+    pages = analog.pages(spark, sf_dir)
     named = pages.select(F.format_string("page-%d.html", "page_id").alias("name"), "html")
     SF.write_text_files(named, lake, "name", "html").collect()
     hits = FX.token_scan_files(spark, lake, "*.html")

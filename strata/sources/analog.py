@@ -80,6 +80,11 @@ def well_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages (page_id, url, html), spread over the cores when stored as one split."""
+    return ensure_parallelism(table(spark, sf_dir, "pages"))
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "surveys": survey_master(spark, sf_dir),
