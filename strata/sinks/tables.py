@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.plans.concurrency import DEFAULT_PARALLEL_JOBS, run_all
 from strata.sources import jdbc as J
 
 REPORT_SCHEMA = ("table_name string, sink string, status string, row_count bigint, "
@@ -47,8 +48,11 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
-                 jdbc: J.JdbcSettings | None = None) -> DataFrame:
-    reports = [write_table(spark, df, name, out_dir, jdbc) for name, df in tables.items()]
+                 jdbc: J.JdbcSettings | None = None, max_parallel: int = DEFAULT_PARALLEL_JOBS) -> DataFrame:
+    """Write several tables, up to ``max_parallel`` write jobs at a time; one report."""
+    done = run_all({name: (lambda df=df, name=name: write_table(spark, df, name, out_dir, jdbc))
+                    for name, df in tables.items()}, max_parallel)
+    reports = [done[name] for name in tables]
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)

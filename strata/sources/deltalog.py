@@ -17,17 +17,36 @@ from strata.sources.files import path_exists
 
 STATS_SCHEMA = T.StructType([T.StructField("numRecords", T.LongType())])
 
+# The action fields this module reads, declared so that reading a log needs no
+# schema-inference pass; fields a log line lacks read as NULL, others are ignored.
+LOG_SCHEMA = T.StructType([
+    T.StructField("add", T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("size", T.LongType()),
+        T.StructField("modificationTime", T.LongType()), T.StructField("dataChange", T.BooleanType()),
+        T.StructField("stats", T.StringType())])),
+    T.StructField("remove", T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("size", T.LongType()),
+        T.StructField("deletionTimestamp", T.LongType()), T.StructField("dataChange", T.BooleanType())])),
+    T.StructField("commitInfo", T.StructType([
+        T.StructField("timestamp", T.LongType()), T.StructField("operation", T.StringType()),
+        T.StructField("operationParameters", T.StructType([T.StructField("mode", T.StringType())])),
+        T.StructField("operationMetrics", T.StructType([
+            T.StructField("num_added_rows", T.LongType()), T.StructField("num_added_files", T.LongType()),
+            T.StructField("num_removed_files", T.LongType())]))])),
+])
+
 
 def read_actions(spark: SparkSession, root: str) -> DataFrame:
     """All log lines with their ``version``."""
     root = root.rstrip("/")
     delta = f"{root}/_delta_log"
     if path_exists(spark, delta):
-        df = spark.read.option("pathGlobFilter", "*.json").json(delta)
+        df = spark.read.schema(LOG_SCHEMA).option("pathGlobFilter", "*.json").json(delta)
         return df.withColumn(
             "version", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).cast("bigint"))
     log = f"{root}/_log"
-    df = spark.read.option("basePath", log).json(f"{log}/version=*")
+    schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("version", T.LongType())])
+    df = spark.read.schema(schema).option("basePath", log).json(f"{log}/version=*")
     return df.withColumn("version", F.col("version").cast("bigint"))
 
 
