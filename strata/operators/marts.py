@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.plans.joins import bound_of, maybe_broadcast
+from strata.plans.joins import bound_of, maybe_broadcast, salted_join
 
 DEFAULT_SCALE = 6
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -42,10 +42,10 @@ def _dim(vault: dict[str, DataFrame], name: str, *cols: str, distinct: bool = Fa
     return maybe_broadcast(df, bound_source=bound_of(src) or src)
 
 
-def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame]) -> DataFrame:
+def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame], salts: int = 1) -> DataFrame:
     """facts(link key, ...) ⋈ link ⋈ hub_well ⋈ hub_survey ⟕ survey satellite."""
     link = vault["link_survey_well"].select("link_survey_well_key", "hub_survey_key", "hub_well_key")
-    out = facts.join(link, "link_survey_well_key")
+    out = salted_join(facts, link, "link_survey_well_key", salts)
     out = out.join(_dim(vault, "hub_well", "hub_well_key", "well_id"), "hub_well_key")
     out = out.join(_dim(vault, "hub_survey", "hub_survey_key", "survey_type_id"), "hub_survey_key")
     # Two formats for one survey id multiply its readings, as the reference's merge does.
@@ -65,11 +65,18 @@ def _partials(scale: int) -> list[Column]:
     ]
 
 
-def core_join(vault: dict[str, DataFrame]) -> DataFrame:
-    """The joined reading-level frame: one row per reading and survey format."""
+def core_join(vault: dict[str, DataFrame], salts: int | None = None) -> DataFrame:
+    """The joined reading-level frame: one row per reading and survey format.
+
+    The readings ⋈ link join is the one join whose streamed side can be
+    skewed (a hot link); ``salts`` (default: conf ``strata.join.salts``, 1)
+    spreads each link over that many partitions.
+    """
     sat = vault["sat_seismic_data"].select("link_survey_well_key", "depth", "amplitude",
                                            "quality_flag", "ingest_timestamp")
-    return _attach_dims(sat, vault)
+    if salts is None:
+        salts = int(sat.sparkSession.conf.get("strata.join.salts", "1"))
+    return _attach_dims(sat, vault, salts)
 
 
 def core_facts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE) -> DataFrame:

@@ -65,3 +65,23 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                    max_rows: int | None = None,
                    bound_source: DataFrame | None = None) -> DataFrame:
     return fact.join(maybe_broadcast(dim, max_rows, bound_source), on, how)
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int,
+                how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` where one key may hold a large share of ``big``.
+
+    ``big`` rows get a salt in ``[0, salts)`` from a hash of the whole row (a
+    deterministic salt, so a retried task sends every row where it went
+    before); ``small`` (unique per key, e.g. a link or hub table) is
+    replicated once per salt.  Each hot key is then spread over ``salts``
+    shuffle partitions instead of one, at the cost of ``salts`` copies of the
+    small side.  Results equal the plain join.  AQE's skew-join splitting does
+    the same for sort-merge joins at run time; this is the explicit form for
+    sessions or joins where AQE cannot split.
+    """
+    if salts <= 1:
+        return big.join(small, key, how)
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [key, "_salt"], how).drop("_salt")

@@ -234,6 +234,18 @@ def q_core_join(spark, sf_dir):
                        M.ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"))
 
 
+@register("core_join_salted", _with(f"""
+SELECT well_id, survey_type_id, survey_type, source_format, depth, amplitude, quality_flag,
+       strftime(ingest_timestamp, {TS_SQL}) AS ingest_timestamp
+FROM core"""))
+def q_core_join_salted(spark, sf_dir):
+    """The reading-level join with each link spread over 8 salts (hot-link form)."""
+    core = M.core_join(vault_tables(spark, sf_dir), salts=8)
+    return core.select("well_id", "survey_type_id", "survey_type", "source_format", "depth",
+                       "amplitude", "quality_flag",
+                       M.ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"))
+
+
 @register("wells_surveyed", _with(WELLS_SURVEYED_SQL))
 def q_wells_surveyed(spark, sf_dir):
     return M.wells_surveyed(vault_tables(spark, sf_dir))

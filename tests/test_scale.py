@@ -112,3 +112,13 @@ def test_run_load_end_to_end(spark, tmp):
         b = sorted(map(tuple, direct[name].collect()), key=str)
         assert a == b
     assert {x.sink for x in res["report"].collect()} == {"parquet"}
+
+
+def test_salted_core_join_equals_plain(spark):
+    rows = skewed_rows(900)
+    s, w = masters(spark)
+    v = build_vault(s, w, spark.createDataFrame(rows, RSCHEMA), LOAD)
+    plain = sorted(map(tuple, M.core_join(v, salts=1).collect()), key=str)
+    salted_df = M.core_join(v, salts=8)
+    assert "_salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, salted_df.collect()), key=str) == plain
