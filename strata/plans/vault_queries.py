@@ -16,9 +16,13 @@ TS_SQL = "'%Y-%m-%dT%H:%M:%S.%f'"
 
 
 def vault_tables(spark: SparkSession, sf_dir: str, keep_source_timestamp: bool = True,
-                 key_hash: str = "md5") -> dict[str, DataFrame]:
-    i = analog.inputs(spark, sf_dir)
-    return build_vault(i["surveys"], i["wells"], i["readings"], LOAD_TS, key_hash,
+                 key_hash: str = "md5", only: tuple[str, ...] = ("surveys", "wells", "readings")
+                 ) -> dict[str, DataFrame]:
+    """The vault over the benchmark tables; ``only`` limits which inputs are read."""
+    surveys = analog.survey_master(spark, sf_dir) if "surveys" in only else None
+    wells = analog.well_master(spark, sf_dir) if "wells" in only else None
+    readings = analog.readings(spark, sf_dir) if "readings" in only else None
+    return build_vault(surveys, wells, readings, LOAD_TS, key_hash,
                        keep_source_timestamp=keep_source_timestamp)
 
 
@@ -140,14 +144,14 @@ def q_source_hash(spark, sf_dir):
 SELECT hub_survey_key, survey_type_id, '{LOAD_TS}' AS load_date, 'master_surveys.csv' AS record_source
 FROM hub_survey"""))
 def q_hub_survey(spark, sf_dir):
-    return vault_tables(spark, sf_dir)["hub_survey"]
+    return vault_tables(spark, sf_dir, only=("surveys",))["hub_survey"]
 
 
 @register("hub_well", _with(f"""
 SELECT hub_well_key, well_id, '{LOAD_TS}' AS load_date, 'master_wells.csv' AS record_source
 FROM hub_well"""))
 def q_hub_well(spark, sf_dir):
-    return vault_tables(spark, sf_dir)["hub_well"]
+    return vault_tables(spark, sf_dir, only=("wells",))["hub_well"]
 
 
 @register("sat_survey_details", _with(f"""
@@ -155,7 +159,7 @@ SELECT md5(CAST(survey_type_id AS VARCHAR)) AS hub_survey_key, survey_type, surv
        source_format, '{LOAD_TS}' AS load_date
 FROM surveys WHERE survey_type_id IS NOT NULL"""))
 def q_sat_survey_details(spark, sf_dir):
-    return vault_tables(spark, sf_dir)["sat_survey_details"]
+    return vault_tables(spark, sf_dir, only=("surveys",))["sat_survey_details"]
 
 
 @register("sat_well_details", _with(f"""
@@ -163,7 +167,7 @@ SELECT md5(CAST(well_id AS VARCHAR)) AS hub_well_key, well_name, operator, locat
        location_long, '{LOAD_TS}' AS load_date
 FROM wells WHERE well_id IS NOT NULL"""))
 def q_sat_well_details(spark, sf_dir):
-    return vault_tables(spark, sf_dir)["sat_well_details"]
+    return vault_tables(spark, sf_dir, only=("wells",))["sat_well_details"]
 
 
 @register("link_survey_well", _with(f"""
@@ -171,7 +175,7 @@ SELECT link_survey_well_key, hub_survey_key, hub_well_key, '{LOAD_TS}' AS load_d
        'sgx_reconstruction' AS record_source
 FROM link"""))
 def q_link_survey_well(spark, sf_dir):
-    return vault_tables(spark, sf_dir)["link_survey_well"]
+    return vault_tables(spark, sf_dir, only=("readings",))["link_survey_well"]
 
 
 @register("sat_seismic", _with(f"""
@@ -181,7 +185,7 @@ SELECT md5(CAST(survey_id AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS lin
        strftime(ingest_timestamp, {TS_SQL}) AS ingest_timestamp, '{LOAD_TS}' AS load_date
 FROM readings WHERE survey_id IS NOT NULL AND well_id IS NOT NULL"""))
 def q_sat_seismic(spark, sf_dir):
-    sat = vault_tables(spark, sf_dir)["sat_seismic_data"]
+    sat = vault_tables(spark, sf_dir, only=("readings",))["sat_seismic_data"]
     return sat.withColumn("ingest_timestamp", M.ts_text(F.col("ingest_timestamp")))
 
 
@@ -351,7 +355,7 @@ def q_dq_orphans(spark, sf_dir):
 
 @register("dq_range", _with(_range_sql("sat_seismic_data", "depth", 0, "sat")))
 def q_dq_range(spark, sf_dir):
-    v = vault_tables(spark, sf_dir)
+    v = vault_tables(spark, sf_dir, only=("readings",))
     return C.run_checks(spark, v, [C.at_least("sat_seismic_data", "depth", 0)])
 
 
