@@ -103,6 +103,26 @@ def schema_drift(spark: SparkSession, stored: T.StructType, incoming: T.StructTy
     return spark.createDataFrame(rows, DRIFT_SCHEMA)
 
 
+def drift_profile(spark: SparkSession, stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The drift report with the non-NULL value count of each drifted column on both sides.
+
+    One aggregate job per side; a column a side lacks has a NULL count there.
+    """
+    report = schema_drift(spark, stored.schema, incoming.schema)
+    cols = [r["column_name"] for r in report.select("column_name").collect()]
+
+    def counts(df: DataFrame, side: str) -> DataFrame:
+        present = [c for c in cols if c in df.columns]
+        if not present:
+            return spark.createDataFrame([], f"column_name string, {side} bigint")
+        agg = df.agg(*[F.count(F.col(c)).alias(c) for c in present])
+        stack = ", ".join(f"'{c}', `{c}`" for c in present)
+        return agg.selectExpr(f"stack({len(present)}, {stack}) as (column_name, {side})")
+
+    return (report.join(counts(stored, "stored_non_null"), "column_name", "left")
+                  .join(counts(incoming, "incoming_non_null"), "column_name", "left"))
+
+
 def align_to(df: DataFrame, target: T.StructType, allow_new: bool = True) -> DataFrame:
     """Shape ``df`` like ``target``: missing columns as NULL, types cast, new ones kept at the end."""
     cols = []

@@ -86,18 +86,33 @@ def q_schema_drift(spark, sf_dir):
                       .alias("ingest_timestamp"), "ingest_source")
 
 
-@register("schema_drift_report", """
-SELECT * FROM (VALUES ('ingest_source', 'added', NULL, 'string'),
-                      ('ingest_timestamp', 'removed', 'timestamp_ntz', NULL),
-                      ('quality_flag', 'type_changed', 'bigint', 'int'))
-  AS t(column_name, change, stored_type, incoming_type)
-WHERE (SELECT count(*) FROM lineitem) > 0""")
+@register("schema_drift_report", _with("""
+SELECT 'ingest_source' AS column_name, 'added' AS change, CAST(NULL AS VARCHAR) AS stored_type,
+       'string' AS incoming_type, CAST(NULL AS BIGINT) AS stored_non_null,
+       count_if(coalesce(quality_flag, 0) = 1) AS incoming_non_null
+FROM readings
+UNION ALL
+SELECT 'ingest_timestamp', 'removed', 'timestamp_ntz', NULL,
+       count(ingest_timestamp) FILTER (WHERE coalesce(quality_flag, 0) = 0), NULL
+FROM readings
+UNION ALL
+SELECT 'quality_flag', 'type_changed', 'bigint', 'int',
+       count(quality_flag) FILTER (WHERE coalesce(quality_flag, 0) = 0),
+       count(quality_flag) FILTER (WHERE coalesce(quality_flag, 0) = 1)
+FROM readings"""))
 def q_schema_drift_report(spark, sf_dir):
-    """Columns added, removed and retyped between the stored and an incoming reading batch."""
+    """Drift between the stored batch and an incoming batch, with value counts per column.
+
+    Stored: unflagged readings.  Incoming: flagged readings without
+    ``ingest_timestamp``, with an extra ``ingest_source`` and an int flag.
+    """
     r = analog.readings(spark, sf_dir)
-    incoming = (r.drop("ingest_timestamp").withColumn("quality_flag", F.col("quality_flag").cast("int"))
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    stored = r.where(~flagged)
+    incoming = (r.where(flagged).drop("ingest_timestamp")
+                 .withColumn("quality_flag", F.col("quality_flag").cast("int"))
                  .withColumn("ingest_source", F.lit("sgx_reconstruction")))
-    return INC.schema_drift(spark, r.schema, incoming.schema)
+    return INC.drift_profile(spark, stored, incoming)
 
 
 @register("incremental_stream", _with(f"""
