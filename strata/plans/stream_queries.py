@@ -89,7 +89,7 @@ def q_schema_drift(spark, sf_dir):
 @register("schema_drift_report", _with("""
 SELECT 'ingest_source' AS column_name, 'added' AS change, CAST(NULL AS VARCHAR) AS stored_type,
        'string' AS incoming_type, CAST(NULL AS BIGINT) AS stored_non_null,
-       count_if(coalesce(quality_flag, 0) = 1) AS incoming_non_null
+       CAST(count_if(coalesce(quality_flag, 0) = 1) AS BIGINT) AS incoming_non_null
 FROM readings
 UNION ALL
 SELECT 'ingest_timestamp', 'removed', 'timestamp_ntz', NULL,
