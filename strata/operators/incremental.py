@@ -10,10 +10,14 @@ replacing them:
   link are kept once (``dedupe=True``) or all kept (``dedupe=False``, the
   reference's full-load behaviour).
 
-Only the narrow key columns of the stored table take part in the anti join
-(column pruning at the Parquet scan), so each batch shuffles the batch rows
-and the stored keys, never the stored attribute columns.  A load can be
-re-run after a failure: rows already stored are found and skipped.
+The stored table grows with every load; a batch is usually far smaller.  So
+when the batch's distinct keys are bounded (a checked row count), they are
+broadcast and the stored table is only *scanned* — its two key columns,
+pruned at the Parquet reader — to find which batch keys already exist; no
+stored row is shuffled.  The anti join then runs against that small result.
+A batch above the bound falls back to a shuffled anti join on the keys.
+A load can be re-run after a failure: rows already stored are found and
+skipped.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.plans.joins import bounded, max_broadcast_rows
 from strata.sinks.tables import write_parquet
 from strata.sources.files import path_exists
 
@@ -32,12 +37,22 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` whose ``keys`` do not occur in ``stored``."""
+    batch_keys = rows.select(*keys).distinct()
+    if bounded(batch_keys, max_broadcast_rows(rows.sparkSession)):
+        # Scan the stored keys against the broadcast batch keys: no stored row moves.
+        seen = stored.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi").distinct()
+        return rows.join(F.broadcast(seen), keys, "left_anti")
+    return rows.join(stored.select(*keys), keys, "left_anti")
+
+
 def new_keys(batch: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
     """Batch rows whose key is not stored yet; one row per new key."""
     fresh = batch.dropDuplicates([key])
     if stored is None:
         return fresh
-    return fresh.join(stored.select(key), [key], "left_anti")
+    return _unseen(fresh, stored, [key])
 
 
 def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
@@ -46,8 +61,7 @@ def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
     rows = batch.dropDuplicates([parent_key, hash_col]) if dedupe else batch
     if stored is None:
         return rows
-    seen = stored.select(parent_key, hash_col)
-    return rows.join(seen, [parent_key, hash_col], "left_anti")
+    return _unseen(rows, stored, [parent_key, hash_col])
 
 
 def append_new(spark: SparkSession, batch: DataFrame, path: str, key: str,
