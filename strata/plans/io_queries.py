@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import checks as C
