@@ -122,3 +122,29 @@ def test_salted_core_join_equals_plain(spark):
     salted_df = M.core_join(v, salts=8)
     assert "_salt" in salted_df._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, salted_df.collect()), key=str) == plain
+
+
+def test_run_from_dir_with_csv_masters_and_reconstructed_files(spark, tmp):
+    import os
+
+    from strata.plans.flow import inputs_from_dir, run_from_dir
+    from strata.sinks.files import write_parquet_groups
+
+    data = f"{tmp}/data"
+    os.makedirs(f"{data}/deep")
+    with open(f"{data}/master_surveys.csv", "w") as f:
+        f.write("survey_type_id,survey_type,file_format\n1,A2D,sgx\n2,A3D,sgx\n")
+    with open(f"{data}/master_wells.csv", "w") as f:
+        f.write("well_id,well_name,location_lat,location_long,operator,spud_date\n")
+        f.writelines(f"{w},W{w},41.5,50.2,op,1994-07-18\n" for w in range(1, 51))
+    r = spark.createDataFrame(skewed_rows(300), RSCHEMA)
+    write_parquet_groups(r, f"{data}/deep").collect()
+    inp = inputs_from_dir(spark, data)
+    assert inp["readings"].count() == 300 and inp["wells"].count() == 50
+    res = run_from_dir(spark, data, f"{tmp}/out", LOAD)
+    formats = {x.source_format for x in res["mart_well_performance"].collect()}
+    assert formats == {"sgx"}                     # taken from the file_format column
+    empty = f"{tmp}/empty"
+    os.makedirs(empty)
+    none = inputs_from_dir(spark, empty)
+    assert none == {"surveys": None, "wells": None, "readings": None}
