@@ -127,8 +127,13 @@ def mart_sensor_analysis(facts: DataFrame) -> DataFrame:
 
 
 def wells_surveyed(vault: dict[str, DataFrame]) -> DataFrame:
-    """Distinct wells per survey id, from the link table (not from readings)."""
-    link = vault["link_survey_well"].select("hub_survey_key", "hub_well_key").distinct()
+    """Distinct wells per survey id, from the link table (not from readings).
+
+    ``count_distinct`` dedups (survey, well) pairs itself (map-side, then a
+    partial count per survey), so no separate ``distinct`` pass over the link
+    table is needed.
+    """
+    link = vault["link_survey_well"].select("hub_survey_key", "hub_well_key")
     hub_survey = _dim(vault, "hub_survey", "hub_survey_key", "survey_type_id")
     return (link.join(hub_survey, "hub_survey_key")
                 .where(F.col("survey_type_id").isNotNull())

@@ -26,6 +26,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def any_file(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> bool:
+    """True as soon as one matching (non-hidden) file is found below ``root``.
+
+    Walks Hadoop's lazy file iterator and stops at the first match, so a
+    non-empty lake is not listed in full just to learn that it is non-empty.
+    """
+    fs, hpath = _fs_and_path(spark, root)
+    if not fs.exists(hpath):
+        return False
+    it = fs.listFiles(hpath, recursive)
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith((".", "_")) and fnmatch.fnmatchcase(name, glob):
+            return True
+    return False
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*",
                recursive: bool = True) -> list[tuple[str, int]]:
     """(uri, size) of files under ``root`` whose base name matches ``glob`` (case-sensitive).

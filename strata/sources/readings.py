@@ -38,23 +38,25 @@ def clean_readings(df: DataFrame) -> DataFrame:
 
 def scan_reconstructed(spark: SparkSession, data_dir: str,
                        glob: str = RECONSTRUCTED_GLOB,
-                       required=REQUIRED_COLUMNS) -> DataFrame:
+                       required=REQUIRED_COLUMNS, schema=None) -> DataFrame:
     """All ``*_reconstructed.parquet`` files below ``data_dir``, unioned by name.
 
     One Parquet scan with ``mergeSchema``: a file lacking a column contributes
     NULLs, a file with an extra column adds it. ``source_file`` keeps lineage.
+    Schema merging reads every file footer (a distributed job); pass
+    ``schema`` to declare the columns instead, e.g. for a very large lake.
     Raises :class:`NoInputError` when nothing matches and
     :class:`MissingColumnsError` when a required column is missing everywhere.
     """
-    from strata.sources.files import list_files
+    from strata.sources.files import any_file
 
-    if not list_files(spark, data_dir, glob, recursive=True):
+    if not any_file(spark, data_dir, glob, recursive=True):
         raise NoInputError(f"No reconstructed parquet files found under {data_dir}")
-    df = (spark.read
-          .option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", glob)
-          .option("mergeSchema", "true")
-          .parquet(data_dir))
+    reader = (spark.read
+              .option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", glob))
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+    df = reader.parquet(data_dir)
     require_columns(df, required)
     df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return clean_readings(df)
