@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,10 @@ def scan_reconstructed(spark: SparkSession, data_dir: str,
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob))
     reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
-    df = reader.parquet(data_dir)
+    try:
+        df = reader.parquet(data_dir)
+    except AnalysisException as exc:  # only hidden or in-progress files matched
+        raise NoInputError(f"No readable reconstructed parquet files under {data_dir}") from exc
     require_columns(df, required)
     df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return clean_readings(df)
