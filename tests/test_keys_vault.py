@@ -136,3 +136,16 @@ def test_exact_mean_is_partition_independent(spark):
         out.add(M.build_marts(v)["mart_sensor_analysis"].first().avg_amplitude)
     assert len(out) == 1
     assert math.isclose(out.pop(), sum(vals) / len(vals), rel_tol=1e-12)
+
+
+def test_sha256_vault_gives_same_marts(spark):
+    s, w, r = _fixture(spark)
+    md5_v, sha_v = build_vault(s, w, r, LOAD), build_vault(s, w, r, LOAD, key_hash="sha256")
+    k = sha_v["hub_survey"].where(F.col("survey_type_id") == 101).first().hub_survey_key
+    assert k == hashlib.sha256(b"101").hexdigest()
+    link = sha_v["link_survey_well"].first().link_survey_well_key
+    assert len(link) == 64
+    for name in M.MART_NAMES:
+        a = sorted(map(tuple, M.build_marts(md5_v)[name].collect()), key=str)
+        b = sorted(map(tuple, M.build_marts(sha_v)[name].collect()), key=str)
+        assert a == b
