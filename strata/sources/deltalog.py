@@ -46,10 +46,24 @@ def read_actions(spark: SparkSession, root: str) -> DataFrame:
             "version", F.regexp_extract(F.col("_metadata.file_name"), r"^(\d+)\.json$", 1).cast("bigint"))
     log = f"{root}/_log"
     schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("version", T.LongType())])
-    df = spark.read.schema(schema).option("basePath", log).json(f"{log}/version=*")
+    commits = commit_dirs(spark, log)
+    if not commits:
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", log).json(commits)
     return df.withColumn("version", F.col("version").cast("bigint"))
 
 
+def commit_dirs(spark: SparkSession, log: str) -> list[str]:
+    """The ``version=N`` folders of a log (one directory listing)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(log)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(path)
+                  if st.isDirectory() and st.getPath().getName().startswith("version="))
+
+
 def _field(df: DataFrame, path: str, dtype: str) -> F.Column:
     """A nested field, or NULL when no log line ever carried it."""
     head, *rest = path.split(".")
