@@ -112,12 +112,15 @@ rd AS (
 
 
 def _damaged_lake(spark, sf_dir, name):
-    out = scratch_dir(spark, name)
+    """Readings written as Parquet files per region damage kind, then damaged copies of them."""
+    clean, lake = scratch_dir(spark, name + "-clean"), scratch_dir(spark, name)
     staged = _readings_with_region(spark, sf_dir)
-    manifest = SF.write_parquet_groups(staged, out, group_col="damage", suffix=".parquet")
+    manifest = SF.write_parquet_groups(staged, clean, group_col="damage", suffix=".parquet")
     written = spark.createDataFrame(manifest.collect(), SF.MANIFEST_SCHEMA)
-    SF.damage_files(written).collect()
-    return out, written
+    copies = spark.createDataFrame(SF.damage_files(written, lake, clean).collect(),
+                                   "path string, source string, mode string, bytes bigint")
+    per_file = copies.join(written.select(F.col("path").alias("source"), "group_key", "rows"), "source")
+    return lake, per_file.select("path", "group_key", "rows")
 
 
 @register("file_inventory", _with("""
