@@ -148,3 +148,29 @@ def test_run_from_dir_with_csv_masters_and_reconstructed_files(spark, tmp):
     os.makedirs(empty)
     none = inputs_from_dir(spark, empty)
     assert none == {"surveys": None, "wells": None, "readings": None}
+
+
+def test_parallelism_guard_only_when_input_is_narrow(spark, tmp):
+    from strata.plans.parallelism import ensure_parallelism
+
+    spark.range(0, 1000).coalesce(1).write.parquet(f"{tmp}/one")
+    narrow = spark.read.parquet(f"{tmp}/one")
+    assert narrow.rdd.getNumPartitions() == 1
+    spread = ensure_parallelism(narrow)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert ensure_parallelism(wide) is wide                    # no shuffle added
+
+
+def test_named_file_writer_is_idempotent_on_rerun(spark, tmp):
+    import os
+
+    from strata.sinks.files import write_parquet_groups
+
+    df = spark.createDataFrame(skewed_rows(200), RSCHEMA).repartition(3)
+    first = sorted(r.path for r in write_parquet_groups(df, tmp).collect())
+    again = sorted(r.path for r in write_parquet_groups(df, tmp).collect())   # a re-run or retried job
+    assert first == again
+    names = sorted(os.listdir(tmp))
+    assert len(names) == len(first) and not any(n.endswith(".tmp") for n in names)
+    assert spark.read.parquet(tmp).count() == 200
