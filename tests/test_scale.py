@@ -174,3 +174,18 @@ def test_named_file_writer_is_idempotent_on_rerun(spark, tmp):
     names = sorted(os.listdir(tmp))
     assert len(names) == len(first) and not any(n.endswith(".tmp") for n in names)
     assert spark.read.parquet(tmp).count() == 200
+
+
+def test_run_load_can_stop_on_failed_checks(spark, tmp):
+    import pytest
+
+    from strata.operators.checks import CheckFailed
+
+    rows = skewed_rows(60) + [(1, 1, -5.0, 1.0, 1, None)]          # a negative depth
+    s, w = masters(spark)
+    r = spark.createDataFrame(rows, RSCHEMA)
+    res = run_load(spark, s, w, r, f"{tmp}/a", LOAD)              # reported, marts still built
+    assert {x.status for x in res["checks"].collect()} == {"PASS", "FAIL"}
+    assert "mart_sensor_analysis" in res
+    with pytest.raises(CheckFailed):
+        run_load(spark, s, w, r, f"{tmp}/b", LOAD, enforce_checks=True)
