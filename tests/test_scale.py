@@ -189,3 +189,20 @@ def test_run_load_can_stop_on_failed_checks(spark, tmp):
     assert "mart_sensor_analysis" in res
     with pytest.raises(CheckFailed):
         run_load(spark, s, w, r, f"{tmp}/b", LOAD, enforce_checks=True)
+
+
+def test_converted_trace_lake_feeds_the_load(spark, tmp):
+    from strata.operators.convert import convert_lake
+    from strata.sinks.fixedwidth import encode
+
+    rows = [(s, w, d, a, q) for (s, w, d, a, q, _) in skewed_rows(300)]
+    rows.append((2, 3, float("nan"), 1.0, 1))                    # NaN depth: not counted
+    df = spark.createDataFrame(rows, "survey_id bigint, well_id bigint, depth double, amplitude double, "
+                                     "quality_flag bigint")
+    encode(df, f"{tmp}/lake").collect()
+    conv = convert_lake(spark, f"{tmp}/lake", f"{tmp}/readings", LOAD)
+    s, w = masters(spark)
+    res = run_load(spark, s, w, conv["readings"], f"{tmp}/out", LOAD)
+    total = sum(x.total_readings for x in res["mart_sensor_analysis"].collect())
+    assert total == 300
+    assert {x.status for x in conv["report"].collect()} == {"ok"}
