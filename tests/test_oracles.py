@@ -5,16 +5,17 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from strata.plans import registry
 from tools.compare import canon
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.queries())
 DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
              "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
