@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import scratch_dir
 
@@ -40,3 +42,21 @@ def fold(doc_id: Column, folds: int) -> Column:
 def shuffle_partitions(spark: SparkSession) -> int:
     """The reduce-side width that the session is configured with for its data size."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
+    """``df`` plus columns computed from ``inputs`` in Arrow batches; all other columns pass through untouched.
+
+    ``fn`` gets one Arrow array per input and returns one Arrow array per field
+    of the DDL string ``fields``.  Existing columns of the same names give way.
+    """
+    new = T.StructType.fromDDL(fields)
+    kept = [c for c in df.columns if c not in new.names]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for c in kept for f in [df.schema[c]]] + list(new))
+
+    def run(batches):
+        for batch in batches:
+            made = fn(*[batch.column(c) for c in inputs])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *made], schema.names)
+
+    return df.mapInArrow(run, schema)

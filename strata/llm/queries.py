@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import secret_scan, sharding, url_filter
-from strata.llm.common import cut, table
+from strata.llm import decontam, langid, line_dedup, secret_scan, sharding, sp_codec, url_filter
+from strata.llm.common import cut, fold, table
 from strata.session import scratch_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,35 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round("mean", 6).alias("bad_rate"), F.round("bound", 6).alias("bad_bound"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_secret_scan, op7_sharding, op9_url_filter)}
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
-ORACLES: dict[str, str] = {}
+
+def vocabulary(spark: SparkSession) -> sp_codec.Vocabulary:
+    """The vocabulary file named by ``strata.llm.sentencepiece.model`` (default: the public merge model)."""
+    return sp_codec.read_model(spark.conf.get("strata.llm.sentencepiece.model", sp_codec.MODEL_PATH))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sp_codec.encode_column(docs, vocabulary(spark)).select("doc_id", "ids", "n_tokens", "n_byte_tokens", "round_trip")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    net = langid.learn(docs, ~held_out)
+    return (langid.identify(docs.select("doc_id", "text"), net)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "lang_share"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontam.overlaps(docs, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), "matches")
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op6_benchmark_decontamination, op7_sharding, op9_url_filter)}
+
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
