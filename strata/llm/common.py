@@ -34,6 +34,18 @@ def drop_cut(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their literal names, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def aside(df: DataFrame, made: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``df`` with columns that would clash with ``made`` renamed, and the columns that give the original ones back."""
+    held = {c: f"__held_{c}" for c in df.columns if c.lower() in made}
+    back = [c.alias(n) for n, c in zip(df.columns, quoted([held.get(n, n) for n in df.columns]))]
+    return df.withColumnsRenamed(held), back
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds`` (a NULL id counts as empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(folds)

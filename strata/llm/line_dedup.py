@@ -20,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, quoted
 
 DIVISOR = 3
 #: Multiplier of the older line's hash in the rolling hash of two lines.
 FACTOR = 31
+MADE = ("n_lines", "removed_chunks", "removed_lines")
 
 
 def line_hash(line: Column) -> Column:
@@ -80,7 +81,10 @@ def repeated_chunks(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with repeated chunks cut from the text, plus n_lines, removed_chunks, removed_lines (bigint)."""
+    """``docs`` with repeated chunks cut from the text, plus n_lines, removed_chunks, removed_lines (bigint).
+
+    Existing columns of those three names give way.
+    """
     chunked = with_chunks(docs, text).drop(text)
     gone = repeated_chunks(with_chunks(docs.select(key, text), text), key)
     both = chunked.join(gone, chunked[key].eqNullSafe(gone["__ld_key"]) & (chunked["__ld_doc"] == gone["__ld_of"]), "left")
@@ -93,7 +97,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
         "n_lines": F.coalesce(total, F.lit(0)).cast("bigint"),
         "removed_chunks": F.size(lost).cast("bigint"),
         "removed_lines": F.aggregate(F.transform(lost, lambda i: F.get(lines, i)), F.lit(0), lambda a, x: a + x).cast("bigint"),
-    }).select(*docs.columns, "n_lines", "removed_chunks", "removed_lines")
+    }).select(*quoted([c for c in docs.columns if c.lower() not in MADE]), *MADE)
 
 
 ORACLE = f"""

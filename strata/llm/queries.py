@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, line_dedup, secret_scan, sharding, sp_codec, url_filter
+from strata.llm import decontam, embed_dedup, langid, line_dedup, lm_score, secret_scan, sharding, simhash, sp_codec, url_filter
 from strata.llm.common import cut, fold, table
 from strata.session import scratch_dir
 
@@ -45,6 +45,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "vslot")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_score.score(docs, fold(F.col("doc_id"), 5) == 1)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", url_filter.junk_outcome(F.col("html")).alias("bad"))
     out = url_filter.filter_urls(pages, F.col("bad"), URL_RULES)
@@ -74,6 +79,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "lang_share"))
 
 
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontam.overlaps(docs, table(spark, sf_dir, "benchmark"))
@@ -81,6 +94,6 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), "matches")
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op6_benchmark_decontamination, op7_sharding, op9_url_filter)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup)}
 
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
