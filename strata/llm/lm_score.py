@@ -207,8 +207,11 @@ def learn_weights(cell: np.ndarray, n: np.ndarray, n_tokens: int, n_words: int)
     """Weights (bucket x [pair, word, uniform]) by EM on the table of held-out estimates.
 
     A bucket without tokens takes the weights of all buckets together; unseen
-    contexts give the pair estimate no weight.
+    contexts give the pair estimate no weight; without training tokens all weight
+    is the uniform one's.
     """
+    if n_tokens == 0:
+        return np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
     one, rest = cell % GRID_1, cell // GRID_1
     two, b = rest % GRID_2, rest // GRID_2
     probs = np.stack([np.where(two > 0, 2.0 ** (-(two - 1) / STEPS_2), 0), np.where(one > 0, 2.0 ** ((one - 1) / STEPS_1) / max(1, n_tokens - 1), 0),
