@@ -10,8 +10,10 @@ Rules kept on purpose:
   rejects table.
 * Link keys use ``concat`` and never ``concat_ws``: the latter skips NULLs and
   would give two different pairs the same key.
-* Numbers are hashed through a fixed-scale decimal text, so the digest does
-  not depend on how an engine prints a double (``1.0E-5`` against ``1e-05``).
+* Floating numbers are hashed through their exact value, written as an integer
+  times a power of two (``3.5`` is ``7881299347898368p-51``), so two different
+  readings never share a text, and the digest does not depend on how an engine
+  prints a double (``1.0E-5`` against ``1e-05``).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 # Fixed values of the key format.
 KEY_SEPARATOR = "_"
 NULL_TOKEN = "null"
-DEFAULT_SCALE = 6
+NAN_TOKEN, INFINITY_TOKEN = "nan", "inf"
 
 
 def _col(c: str | Column) -> Column:
@@ -53,30 +55,41 @@ def md5_key(*cols: str | Column, sep: str = KEY_SEPARATOR) -> Column:
 
 
 def sha256_key(*cols: str | Column, sep: str = KEY_SEPARATOR) -> Column:
-    """The documented form: SHA-256 of the trimmed, upper-cased key text."""
-    return F.sha2(F.upper(F.trim(composite_text(*cols, sep=sep))), 256)
-
-
-def number_text(c: str | Column, scale: int = DEFAULT_SCALE) -> Column:
-    """Engine-independent text of a number: a decimal with ``scale`` digits."""
-    return _col(c).try_cast(f"decimal(38,{scale})").cast("string")
-
-
-def value_text(df: DataFrame, name: str, scale: int = DEFAULT_SCALE) -> Column:
+    """The documented form: SHA-256 of the key text, each part trimmed and upper-cased."""
+    return F.sha2(composite_text(*[F.upper(F.trim(key_text(c))) for c in cols], sep=sep), 256)
+
+
+def number_text(c: str | Column) -> Column:
+    """Exact, engine-independent text of a double: sign, 53-bit integer, ``p``, exponent of two.
+
+    Zero of either sign is ``0``; NaN and the infinities have tokens of their
+    own; NULL stays NULL.
+    """
+    x = _col(c).cast("double")
+    size = F.abs(x)
+    tiny = size < F.lit(2.0**-900)  # scaled up first, so that every power of two used is finite
+    y = F.when(tiny, size * F.lit(2.0**300)).otherwise(size)
+    guess = F.floor(F.log2(y))
+    # log2 may round across a power of two; the comparison makes the exponent exact.
+    e = guess + F.when(F.pow(F.lit(2.0), guess) > y, -1).when(F.pow(F.lit(2.0), guess + 1) <= y, 1).otherwise(0)
+    digits = (y * F.pow(F.lit(2.0), 52 - e)).cast("bigint").cast("string")
+    power = (e - 52 - F.when(tiny, 300).otherwise(0)).cast("string")
+    sign = F.when(x < 0, "-").otherwise("")
+    return (F.when(x.isNull(), F.lit(None)).when(F.isnan(x), F.lit(NAN_TOKEN))
+            .when(size == float("inf"), F.concat(sign, F.lit(INFINITY_TOKEN)))
+            .when(x == 0, F.lit("0")).otherwise(F.concat(sign, digits, F.lit("p"), power)))
+
+
+def value_text(df: DataFrame, name: str) -> Column:
     """Text of one attribute for a change hash, chosen by the column's type."""
-    dtype = df.schema[name].dataType
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        text = number_text(name, scale)
-    else:
-        text = F.col(name).cast("string")
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    text = number_text(name) if floating else F.col(name).cast("string")
     return F.coalesce(text, F.lit(NULL_TOKEN))
 
 
-def change_hash(df: DataFrame, cols: Iterable[str], scale: int = DEFAULT_SCALE,
-                sep: str = KEY_SEPARATOR) -> Column:
+def change_hash(df: DataFrame, cols: Iterable[str], sep: str = KEY_SEPARATOR) -> Column:
     """md5 over the attribute texts joined by ``sep``; NULLs become a token first."""
-    texts = [value_text(df, c, scale) for c in cols]
-    return F.md5(F.concat_ws(sep, *texts))
+    return F.md5(F.concat_ws(sep, *[value_text(df, c) for c in cols]))
 
 
 def not_null(*cols: str) -> Column:

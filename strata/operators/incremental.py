@@ -1,80 +1,115 @@
 """Incremental vault loads and schema drift.
 
-A load batch adds to stored hub, link and satellite tables instead of
-replacing them:
+A load batch adds to stored vault tables instead of replacing them:
 
 * hub / link: only keys not stored yet (``left_anti`` on the hash key);
-* satellite: a row only when its change hash is new *for its parent*
-  (``left_anti`` on parent key + ``source_hash``; the hash alone collides
-  across links by design).  Within a batch, repeats of one reading in one
-  link are kept once (``dedupe=True``) or all kept (``dedupe=False``, the
-  reference's full-load behaviour).
-
-The stored table grows with every load; a batch is usually far smaller.  So
-when the batch's distinct keys are bounded (a checked row count), they are
-broadcast and the stored table is only *scanned* — its two key columns,
-pruned at the Parquet reader — to find which batch keys already exist; no
-stored row is shuffled.  The anti join then runs against that small result.
-A batch above the bound falls back to a shuffled anti join on the keys.
-A load can be re-run after a failure: rows already stored are found and
-skipped.
+* satellite of readings: a row only when its change hash is new *for its
+  parent* (the hash alone collides across links by design).  Of equal
+  readings in one batch the earliest by timestamp is kept;
+* satellites of masters: a row only when its attributes are new for its parent;
+* rejects: a record only when it is new for its target table.
+
+So how the rows are cut into batches decides no row's presence; only the
+timestamp and load date of a repeated reading are those of the first batch
+that brought it.
+
+A batch is first written to the shared folder, so it is decoded, hashed and
+deduplicated once however often its keys are needed.  The stored table grows
+with every load; a batch is usually far smaller.  When the batch's distinct
+keys are bounded (measured bytes), they are broadcast and the stored table is
+only *scanned* — its key columns, pruned at the Parquet reader — to find which
+batch keys already exist; no stored row is shuffled.  The anti join then runs
+against that small result.  A batch above the bound falls back to a shuffled
+anti join on the keys.  A load can be re-run after a failure: rows already
+stored are found and skipped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.plans.joins import bounded, max_broadcast_rows
+from strata.functions.keys import change_hash
+from strata.plans.joins import byte_bound, max_broadcast_bytes
+from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
 from strata.sources.files import path_exists
 
+#: Columns that say when a row was loaded, not what it holds.
+AUDIT_COLUMNS = ("load_date", "record_source", "ingest_source")
+
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
+def _staged(batch: DataFrame) -> DataFrame:
+    """The batch written to the shared folder and read back."""
+    path = scratch_dir(batch.sparkSession, "batch")
+    batch.write.parquet(path)
+    return batch.sparkSession.read.schema(batch.schema).parquet(path)
+
+
 def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` whose ``keys`` do not occur in ``stored``."""
     batch_keys = rows.select(*keys).distinct()
-    if bounded(batch_keys, max_broadcast_rows(rows.sparkSession)):
+    if byte_bound(batch_keys, rows.select(*keys)) <= max_broadcast_bytes(rows.sparkSession):
         # Scan the stored keys against the broadcast batch keys: no stored row moves.
         seen = stored.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi").distinct()
-        return rows.join(F.broadcast(seen), keys, "left_anti")
-    return rows.join(stored.select(*keys), keys, "left_anti")
+        return rows.join(F.broadcast(seen), keys, "left_anti").select(*rows.columns)
+    return rows.join(stored.select(*keys), keys, "left_anti").select(*rows.columns)
+
+
+def _first_of_each(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per ``keys``: the least by ``order`` (NULL last), and by the other columns where that ties."""
+    rest = [c for c in batch.columns if c not in keys]
+    rank = [x for c in [*order, *[c for c in rest if c not in order]] for x in (F.col(c).isNull(), F.col(c))]
+    best = F.min_by(F.struct(*rest), F.struct(*rank)) if rest else F.lit(None)
+    out = batch.groupBy(*keys).agg(best.alias("_row"))
+    return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
 def new_keys(batch: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
     """Batch rows whose key is not stored yet; one row per new key."""
     fresh = batch.dropDuplicates([key])
-    if stored is None:
-        return fresh
-    return _unseen(fresh, stored, [key])
+    return fresh if stored is None else _unseen(_staged(fresh), stored, [key])
 
 
 def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
-                 hash_col: str = "source_hash", dedupe: bool = True) -> DataFrame:
-    """Batch rows whose (parent, change hash) is not stored yet."""
-    rows = batch.dropDuplicates([parent_key, hash_col]) if dedupe else batch
-    if stored is None:
-        return rows
-    return _unseen(rows, stored, [parent_key, hash_col])
+                 hash_col: str = "source_hash", order: str = "ingest_timestamp") -> DataFrame:
+    """Batch rows whose (parent, change hash) is not stored yet; of equal readings the earliest."""
+    keys = [parent_key, hash_col]
+    rows = _first_of_each(batch, keys, [order] if order in batch.columns else [])
+    return rows if stored is None else _unseen(_staged(rows), stored, keys)
 
 
-def append_new(spark: SparkSession, batch: DataFrame, path: str, key: str,
-               kind: str = "hub", hash_col: str = "source_hash", dedupe: bool = True) -> int:
-    """Append what is new in ``batch`` to the table at ``path``; returns rows added.
+def new_content_rows(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Batch rows whose content, audit columns aside, is not stored yet; one row per content."""
+    content = [c for c in batch.columns if c not in AUDIT_COLUMNS]
 
-    The new rows are written before they become visible to later batches, so
-    a failed batch can be re-run: its rows are then found stored and skipped.
-    """
-    stored = read_stored(spark, path)
-    fresh = (new_keys(batch, stored, key) if kind in ("hub", "link")
-             else new_sat_rows(batch, stored, key, hash_col, dedupe))
-    return write_parquet(fresh, path, mode="append")
+    def digest(df: DataFrame) -> Column:
+        return change_hash(df, content)
+
+    rows = batch.withColumn("_content", digest(batch)).dropDuplicates(["_content"])
+    if stored is not None:
+        rows = _unseen(_staged(rows), stored.select(digest(stored).alias("_content")), ["_content"])
+    return rows.drop("_content")
+
+
+#: How each vault table takes a batch: (batch, stored or None) -> rows to append.
+FRESH: dict[str, Callable[[DataFrame, DataFrame | None], DataFrame]] = {
+    "hub_survey": lambda b, s: new_keys(b, s, "hub_survey_key"),
+    "hub_well": lambda b, s: new_keys(b, s, "hub_well_key"),
+    "link_survey_well": lambda b, s: new_keys(b, s, "link_survey_well_key"),
+    "sat_seismic_data": lambda b, s: new_sat_rows(b, s, "link_survey_well_key"),
+    "sat_survey_details": new_content_rows,
+    "sat_well_details": new_content_rows,
+    "rejects": new_content_rows,
+}
 
 
 @dataclass
@@ -85,18 +120,18 @@ class IncrementalVault:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def load(self, spark: SparkSession, tables: dict[str, DataFrame], dedupe: bool = True) -> dict[str, int]:
-        """Append one batch of freshly built vault tables; rows added per table."""
-        keys = {"hub_survey": "hub_survey_key", "hub_well": "hub_well_key",
-                "link_survey_well": "link_survey_well_key"}
-        added: dict[str, int] = {}
-        for name, df in tables.items():
-            if name in keys:
-                added[name] = append_new(spark, df, self.path(name), keys[name], "hub")
-            elif name == "sat_seismic_data":
-                added[name] = append_new(spark, df, self.path(name), "link_survey_well_key", "sat",
-                                         dedupe=dedupe)
-        return added
+    def load(self, spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, int]:
+        """Append one batch of freshly built vault tables; rows added per table.
+
+        A table this vault does not know raises before anything is written.
+        The new rows of a table are written before later batches see them, so
+        a failed batch can be re-run.
+        """
+        unknown = sorted(set(tables) - set(FRESH))
+        if unknown:
+            raise ValueError(f"no incremental rule for {unknown}")
+        return {name: write_parquet(FRESH[name](df, read_stored(spark, self.path(name))), self.path(name), mode="append")
+                for name, df in tables.items()}
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))

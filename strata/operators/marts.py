@@ -13,9 +13,14 @@ extra: partial aggregation collapses it in every map task before the shuffle.
 joined frame) expressed in the same partial columns, so both forms share the
 roll-ups and agree exactly.
 
-Means are exact: amplitudes are summed as ``decimal(38, scale)`` and divided
-once at the end, so the result does not depend on partitioning or task order
-(a plain floating ``avg`` can change in the last bits between runs).
+``facts_from_inputs`` builds the same partials straight from the inputs: the
+readings are scanned once and grouped by their two integer keys, and that one
+grouped frame yields the links, the partials and the wells per survey.
+
+Means are those of the double values, as pandas computes them: a sum and a
+count are carried through the roll-ups and divided once at the end; an
+infinity stays one.  Sums of doubles depend on their order in the last bits,
+so comparisons across engines round the result (``round_sig``), never the input.
 Ratios use ``try_divide``: a group without readings gives NULL, not an error.
 Group keys are filtered ``IS NOT NULL`` first, as pandas ``groupby`` drops
 NULL keys.
@@ -26,15 +31,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.keys import not_null
+from strata.operators.vault import DEFAULT_SOURCE_FORMAT, SOURCE_FORMAT_CANDIDATES, pick_column
 from strata.plans.joins import bound_of, maybe_broadcast, salted_join
 
-DEFAULT_SCALE = 6
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 MART_NAMES = ("mart_well_performance", "mart_sensor_analysis", "mart_survey_summary")
 
 
 def _dim(vault: dict[str, DataFrame], name: str, *cols: str, distinct: bool = False) -> DataFrame:
-    """A narrow projection of a dimension, broadcast when its row count is bounded."""
+    """A narrow projection of a dimension, broadcast when its size is bounded."""
     src = vault[name]
     df = src.select(*cols)
     if distinct:
@@ -54,11 +60,11 @@ def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame], salts: int = 1)
     return out.join(survey_sat, "survey_type_id", "left")
 
 
-def _partials(scale: int) -> list[Column]:
+def _partials() -> list[Column]:
     return [
         F.col("depth").isNotNull().cast("bigint").alias("n_depth"),
         F.col("amplitude").isNotNull().cast("bigint").alias("n_amp"),
-        F.col("amplitude").cast(f"decimal(38,{scale})").alias("amp_sum"),
+        F.col("amplitude").cast("double").alias("amp_sum"),
         F.when(F.col("quality_flag") == 1, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("n_flags"),
         F.col("ingest_timestamp").alias("min_ts"),
         F.col("ingest_timestamp").alias("max_ts"),
@@ -79,31 +85,51 @@ def core_join(vault: dict[str, DataFrame], salts: int | None = None) -> DataFram
     return _attach_dims(sat, vault, salts)
 
 
-def core_facts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE) -> DataFrame:
+def core_facts(vault: dict[str, DataFrame]) -> DataFrame:
     """Direct form: reading-level partials (no pre-aggregation)."""
     sat = vault["sat_seismic_data"]
-    return _attach_dims(sat.select("link_survey_well_key", *_partials(scale)), vault)
+    return _attach_dims(sat.select("link_survey_well_key", *_partials()), vault)
 
 
-def link_facts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE) -> DataFrame:
-    """Pre-aggregated form: one row of partials per link, then the dimensions."""
-    sat = vault["sat_seismic_data"]
-    per_link = sat.groupBy("link_survey_well_key").agg(
+def _aggregates() -> list[Column]:
+    return [
         F.count("depth").alias("n_depth"),
         F.count("amplitude").alias("n_amp"),
-        F.sum(F.col("amplitude").cast(f"decimal(38,{scale})")).alias("amp_sum"),
+        F.sum(F.col("amplitude").cast("double")).alias("amp_sum"),
         F.count_if(F.col("quality_flag") == 1).alias("n_flags"),
         F.min("ingest_timestamp").alias("min_ts"),
         F.max("ingest_timestamp").alias("max_ts"),
-    )
-    return _attach_dims(per_link, vault)
+    ]
+
+
+def link_facts(vault: dict[str, DataFrame]) -> DataFrame:
+    """Pre-aggregated form: one row of partials per link, then the dimensions."""
+    return _attach_dims(vault["sat_seismic_data"].groupBy("link_survey_well_key").agg(*_aggregates()), vault)
+
+
+def facts_from_inputs(surveys: DataFrame, wells: DataFrame, readings: DataFrame) -> DataFrame:
+    """The partials of every link and survey format from one scan of the readings.
+
+    Joins are on the integer business keys, which match exactly when their
+    hashes do.  Links to wells missing from the master stay, with ``in_hub``
+    NULL: they count as surveyed wells but not in the metrics.
+    """
+    per_link = (readings.where(not_null("survey_id", "well_id"))
+                .groupBy("survey_id", "well_id").agg(*_aggregates()))
+    hub_well = wells.select("well_id").where("well_id is not null").distinct().withColumn("in_hub", F.lit(True))
+    fmt = pick_column(surveys, SOURCE_FORMAT_CANDIDATES, DEFAULT_SOURCE_FORMAT)
+    survey = (surveys.where("survey_type_id is not null")
+              .select("survey_type_id", "survey_type", fmt.alias("source_format")).distinct())
+    return (per_link.withColumnRenamed("survey_id", "survey_type_id")
+            .join(maybe_broadcast(survey, bound_source=surveys), "survey_type_id")
+            .join(maybe_broadcast(hub_well, bound_source=wells), "well_id", "left"))
 
 
 def _metrics(with_rate: bool = True) -> list[Column]:
     total = F.sum("n_depth")
     cols = [
         total.alias("total_readings"),
-        F.try_divide(F.sum("amp_sum").cast("double"), F.sum("n_amp")).alias("avg_amplitude"),
+        F.try_divide(F.sum("amp_sum"), F.sum("n_amp")).alias("avg_amplitude"),
     ]
     if with_rate:
         cols.append(F.try_divide(F.sum("n_flags").cast("double"), total).alias("data_quality_rate"))
@@ -145,6 +171,12 @@ def ts_text(c: Column) -> Column:
     return F.date_format(c, TIMESTAMP_TEXT)
 
 
+def _summary_columns(df: DataFrame) -> DataFrame:
+    return df.select("survey_type", "source_format", "wells_surveyed_count", "total_readings", "avg_amplitude",
+                     ts_text(F.col("earliest_ts")).alias("earliest_timestamp"),
+                     ts_text(F.col("latest_ts")).alias("latest_timestamp"))
+
+
 def mart_survey_summary(facts: DataFrame, vault: dict[str, DataFrame]) -> DataFrame:
     metrics = (_keys_present(facts, "survey_type", "source_format", "survey_type_id")
                .groupBy("survey_type", "source_format", "survey_type_id")
@@ -152,17 +184,14 @@ def mart_survey_summary(facts: DataFrame, vault: dict[str, DataFrame]) -> DataFr
                     F.min("min_ts").alias("earliest_ts"),
                     F.max("max_ts").alias("latest_ts")))
     return (metrics.join(wells_surveyed(vault), "survey_type_id", "left")
-            .select("survey_type", "source_format", "wells_surveyed_count", "total_readings",
-                    "avg_amplitude",
-                    ts_text(F.col("earliest_ts")).alias("earliest_timestamp"),
-                    ts_text(F.col("latest_ts")).alias("latest_timestamp")))
+            .transform(_summary_columns))
 
 
-def build_marts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE,
-                preaggregate: bool = True, facts: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The three marts. Pass ``facts`` to reuse a checkpointed per-link table."""
+def build_marts(vault: dict[str, DataFrame], preaggregate: bool = True,
+                facts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three marts. Pass ``facts`` to reuse a stored per-link table."""
     if facts is None:
-        facts = link_facts(vault, scale) if preaggregate else core_facts(vault, scale)
+        facts = link_facts(vault) if preaggregate else core_facts(vault)
     return {
         "mart_well_performance": mart_well_performance(facts),
         "mart_sensor_analysis": mart_sensor_analysis(facts),
@@ -170,6 +199,35 @@ def build_marts(vault: dict[str, DataFrame], scale: int = DEFAULT_SCALE,
     }
 
 
+def marts_from_facts(facts: DataFrame) -> dict[str, DataFrame]:
+    """The three marts from ``facts_from_inputs``: each a roll-up of that frame alone."""
+    known = facts.where("in_hub")
+    keys = ("survey_type", "source_format", "survey_type_id")
+    shown = {c: F.when(F.col("in_hub"), F.col(c)) for c in ("n_depth", "n_amp", "amp_sum", "min_ts", "max_ts")}
+    # A survey's links appear once per format, so their number in a group is that of its wells.
+    summary = (_keys_present(facts, *keys).withColumns(shown).groupBy(*keys)
+               .agg(F.count(F.lit(1)).alias("wells_surveyed_count"), F.count("in_hub").alias("in_hub"),
+                    *_metrics(with_rate=False), F.min("min_ts").alias("earliest_ts"), F.max("max_ts").alias("latest_ts"))
+               .where("in_hub > 0"))
+    return {
+        "mart_well_performance": mart_well_performance(known),
+        "mart_sensor_analysis": mart_sensor_analysis(known),
+        "mart_survey_summary": _summary_columns(summary),
+    }
+
+
+def round_sig(c: str | Column, bits: int = 34) -> Column:
+    """A double to so many significant bits, for comparing results across engines.
+
+    Means of values with a few decimals often end in a 5 and would be ties on
+    a decimal grid; on a binary one they are not.
+    """
+    x = F.col(c) if isinstance(c, str) else c
+    p = F.pow(F.lit(2.0), bits - 1 - F.floor(F.log2(F.abs(x))))
+    plain = x.isNull() | F.isnan(x) | (x == 0) | (F.abs(x) == float("inf"))
+    return F.when(plain, x).otherwise(F.floor(x * p + 0.5) / p)
+
+
 def mart_preview(mart: DataFrame, keys: list[str], n: int = 20) -> DataFrame:
     """Presentation order and the documented ``LIMIT 20`` (top-k, not a sample)."""
     return mart.orderBy(*keys).limit(n)

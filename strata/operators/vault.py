@@ -118,7 +118,7 @@ def well_sat(wells: DataFrame, load_ts: str, key_hash: str = "md5") -> DataFrame
 
 
 def seismic_sat(readings: DataFrame, load_ts: str, key_hash: str = "md5",
-                keep_source_timestamp: bool = False, hash_scale: int = 6) -> DataFrame:
+                keep_source_timestamp: bool = False) -> DataFrame:
     """SAT of readings keyed by the link; ``source_hash`` is the change hash of the reading.
 
     The hash covers depth, amplitude and flag only (no ids), so equal readings
@@ -133,7 +133,7 @@ def seismic_sat(readings: DataFrame, load_ts: str, key_hash: str = "md5",
             .select(stored_key(h("survey_id", "well_id")).alias("link_survey_well_key"),
                     "depth", "amplitude", "quality_flag",
                     F.lit(READING_SOURCE).alias("ingest_source"),
-                    change_hash(readings, READING_HASH_COLUMNS, hash_scale).alias("source_hash"),
+                    change_hash(readings, READING_HASH_COLUMNS).alias("source_hash"),
                     ts.alias("ingest_timestamp"),
                     F.lit(load_ts).alias("load_date")))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.operators import convert as CV
 from strata.operators import forensics as FX
 from strata.operators import marts as M
+from strata.plans import fixtures as FIX
 from strata.plans.joins import maybe_broadcast
 from strata.plans.registry import LOAD_TS, register
 from strata.plans.vault_queries import TS_SQL, _with
@@ -34,7 +35,7 @@ FROM readings"""
 def _encoded_lake(spark, sf_dir, name, **kw) -> str:
     out = scratch_dir(spark, name)
     r = FWE.readings_frame(analog.readings(spark, sf_dir))
-    FWE.encode(r, out, **kw).collect()
+    FWE.written(FWE.encode(r, out, **kw))
     return out
 
 
@@ -52,8 +53,8 @@ def q_fixedwidth_truncated(spark, sf_dir):
     out = scratch_dir(spark, "sgx-trunc")
     r = FWE.readings_frame(analog.readings(spark, sf_dir))
     flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
-    FWE.encode(r.where(~flagged), out + "/cut", count_delta=3, tail=b"\x07" * 7).collect()
-    FWE.encode(r.where(flagged), out + "/junk", tail=b"JUNK" * 10).collect()
+    FWE.written(FWE.encode(r.where(~flagged), out + "/cut", count_delta=3, tail=b"\x07" * 7))
+    FWE.written(FWE.encode(r.where(flagged), out + "/junk", tail=b"JUNK" * 10))
     df = FW.read(spark, out, recordsPerSplit=100_000, openCostRecords=1000)
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
 
@@ -112,47 +113,41 @@ rd AS (
 
 
 def _damaged_lake(spark, sf_dir, name):
-    """Readings written as Parquet files per region damage kind, then damaged copies of them."""
+    """Readings written as Parquet files per region damage kind, flagged ones under hidden names; then damaged copies."""
     clean, lake = scratch_dir(spark, name + "-clean"), scratch_dir(spark, name)
     staged = _readings_with_region(spark, sf_dir)
-    manifest = SF.write_parquet_groups(staged, clean, group_col="damage", suffix=".parquet")
-    written = spark.createDataFrame(manifest.collect(), SF.MANIFEST_SCHEMA)
-    copies = spark.createDataFrame(SF.damage_files(written, lake, clean).collect(),
-                                   "path string, source string, mode string, bytes bigint")
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    written = SF.stored(SF.write_parquet_groups(staged.where(~flagged), clean, group_col="damage", suffix=".parquet")
+                        .unionByName(SF.write_parquet_groups(staged.where(flagged), clean, group_col="damage",
+                                                             suffix=".parquet", prefix="_part")))
+    copies = SF.stored(FIX.damage_files(written, lake, clean))
     per_file = copies.join(written.select(F.col("path").alias("source"), "group_key", "rows"), "source")
-    return lake, per_file.select("path", "group_key", "rows")
+    return lake, per_file.select(FX.plain_path(F.col("path")).alias("path"), "group_key", "rows")
 
 
 @register("file_inventory", _with("""
 SELECT 'parquet' AS kind, count(*) AS row_count FROM readings WHERE coalesce(quality_flag, 0) = 0
 UNION ALL SELECT 'sgx', count(*) FROM readings WHERE quality_flag = 1"""))
 def q_file_inventory(spark, sf_dir):
-    """Files of two kinds (and decoys) found by suffix; rows per kind from the files themselves."""
+    """Files of two kinds (and decoys) found by suffix, hidden names among them; rows per kind from the manifests."""
     lake = scratch_dir(spark, "inventory")
     r = analog.readings(spark, sf_dir)
     flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
-    SF.write_parquet_groups(r.where(~flagged), lake + "/parquet", suffix=".parquet").collect()
-    FWE.encode(FWE.readings_frame(r.where(flagged)), lake + "/sgx").collect()
+    deep = F.coalesce(F.col("depth"), F.lit(0)) > 25
+    made = [SF.write_parquet_groups(r.where(~flagged & ~deep), lake + "/parquet", suffix=".parquet"),
+            SF.write_parquet_groups(r.where(~flagged & deep), lake + "/_hidden", suffix=".parquet", prefix=".part")]
+    sgx = FWE.encode(FWE.readings_frame(r.where(flagged)), lake + "/sgx").where("path is not null").select("path", "rows")
+    rows = SF.stored(made[0].unionByName(made[1]).select("path", "rows").unionByName(sgx))
     region = analog.table(spark, sf_dir, "region")
-    SF.write_parquet_groups(region, lake + "/decoy", suffix=".PARQUET").collect()
-    SF.write_parquet_groups(region, lake + "/decoy", suffix=".sgx.bak").collect()
+    SF.stored(SF.write_parquet_groups(region, lake + "/decoy", suffix=".PARQUET")
+              .unionByName(SF.write_parquet_groups(region, lake + "/decoy", suffix=".sgx.bak")))
     inv = FX.list_files(spark, lake, "*.parquet").withColumn("kind", F.lit("parquet")) \
         .unionByName(FX.list_files(spark, lake, "*.sgx").withColumn("kind", F.lit("sgx")))
-    pq_rows = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-               .parquet(lake).groupBy(F.col("_metadata.file_path").alias("path"))
-               .agg(F.count(F.lit(1)).alias("rows")))
-    sgx_rows = FW.inspect(spark, lake).select("path", F.col("records_readable").alias("rows"))
-    per_file = inv.join(pq_rows.unionByName(_file_uri(sgx_rows)), "path", "left")
+    per_file = (inv.select(FX.plain_path(F.col("path")).alias("path"), "kind")
+                .join(rows.withColumn("path", FX.plain_path(F.col("path"))), "path", "left"))
     return per_file.groupBy("kind").agg(F.sum("rows").cast("bigint").alias("row_count"))
 
 
-def _file_uri(df: DataFrame) -> DataFrame:
-    """Paths from Python listings as the URIs Spark's listing uses."""
-    return df.withColumn("path", F.when(F.col("path").startswith("/"),
-                                        F.concat(F.lit("file:"), F.col("path")))
-                         .otherwise(F.col("path")))
-
-
 @register("file_health", "WITH " + analog.ANALOG_CTES + READINGS_DAMAGE_CTE + """
 SELECT damage, CASE damage WHEN 'healthy' THEN 'plausible' WHEN 'trailing_junk' THEN 'no_tail_magic'
                            WHEN 'junk_with_par1' THEN 'no_tail_magic'
@@ -163,7 +158,7 @@ def q_file_health(spark, sf_dir):
     """State of each damaged file from its edge bytes; rows per damage kind and state."""
     lake, written = _damaged_lake(spark, sf_dir, "health")
     health = FX.parquet_health(FX.file_edges(FX.list_files(spark, lake, "*.parquet")))
-    per_file = health.join(_file_uri(written.select("path", "group_key", "rows")), "path")
+    per_file = health.withColumn("path", FX.plain_path(F.col("path"))).join(written, "path")
     return (per_file.groupBy(F.col("group_key").alias("damage"), "state")
                     .agg(F.sum("rows").cast("bigint").alias("row_count")))
 
@@ -175,9 +170,9 @@ FROM readings"""))
 def q_file_salvage(spark, sf_dir):
     """Damaged lake salvaged file by file; every recovered row read back."""
     lake, _ = _damaged_lake(spark, sf_dir, "salvage")
-    report = FX.salvage(FX.list_files(spark, lake, "*.parquet"), scratch_dir(spark, "salvaged"))
-    paths = FX.recovered_paths(report)
-    df = spark.read.parquet(*paths)
+    out = scratch_dir(spark, "salvaged")
+    report = SF.stored(FX.salvage(FX.list_files(spark, lake, "*.parquet"), out))
+    df = FX.recovered(report, lake, out, analog.readings(spark, sf_dir).schema)
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag",
                      M.ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"))
 
@@ -192,7 +187,7 @@ def q_file_salvage_report(spark, sf_dir):
     """Salvage outcome per damage kind: status, method and rows recovered."""
     lake, written = _damaged_lake(spark, sf_dir, "salvage-report")
     report = FX.salvage(FX.list_files(spark, lake, "*.parquet"), scratch_dir(spark, "salvaged"))
-    per_file = report.join(_file_uri(written.select("path", "group_key")), "path")
+    per_file = report.withColumn("path", FX.plain_path(F.col("path"))).join(written.select("path", "group_key"), "path")
     return (per_file.groupBy(F.col("group_key").alias("damage"), "status", "method")
                     .agg(F.sum("rows").cast("bigint").alias("row_count")))
 
@@ -220,11 +215,12 @@ FROM (SELECT page_id,
                             '\\\\x[0-9A-F]{{2}}', ' ', 'g') AS t
       FROM pages)""")
 def q_token_scan_tail(spark, sf_dir):
-    """Each page stored as a file; the last 2,000 bytes of every file are scanned."""
+    """Each page stored as a file, every other under a hidden name; the last 2,000 bytes of every file are scanned."""
     lake = scratch_dir(spark, "pages")
     pages = analog.pages(spark, sf_dir)
-    named = pages.select(F.format_string("page-%d.html", "page_id").alias("name"), "html")
-    SF.write_text_files(named, lake, "name", "html").collect()
+    hidden = F.when(F.col("page_id") % 2 == 0, ".").otherwise("")
+    named = pages.select(F.concat(hidden, F.format_string("page-%d.html", "page_id")).alias("name"), "html")
+    SF.stored(SF.write_text_files(named, lake, "name", "html"))
     hits = FX.token_scan_files(spark, lake, "*.html")
     return hits.select(F.regexp_extract("path", r"page-(\d+)\.html$", 1).cast("bigint").alias("page_id"),
                        "token")

@@ -15,17 +15,23 @@ from pyspark.sql import functions as F
 from strata.operators import checks as C
 from strata.operators import marts as M
 from strata.operators.vault import build_vault
+from strata.plans import fixtures as FIX
+from strata.plans.flow import run_from_dir
 from strata.plans.registry import LOAD_TS, register
 from strata.plans.vault_queries import (
     MART_SENSOR_SQL,
     MART_SURVEY_SQL,
     MART_WELL_SQL,
     TS_SQL,
+    VAULT_CTES,
     _with,
+    input_marts,
+    stored_marts,
     vault_tables,
 )
 from strata.session import scratch_dir
 from strata.sinks import files as SF
+from strata.sinks import fixedwidth as FWE
 from strata.sinks import tables as ST
 from strata.sinks import versions as SV
 from strata.sources import analog
@@ -46,6 +52,32 @@ def q_scan_csv(spark, sf_dir):
     return FS.read_csv(spark, out, SURVEY_SCHEMA)
 
 
+@register("scan_csv_reordered", _with("SELECT well_id, well_name, location_lat, location_long, operator FROM wells"))
+def q_scan_csv_reordered(spark, sf_dir):
+    """Well master whose file has other columns first and one more; columns are bound by the header's names."""
+    out = scratch_dir(spark, "csv-reordered")
+    wells = analog.well_master(spark, sf_dir)
+    (wells.select(F.lit("x").alias("comment"), "operator", "well_name", "location_long", "location_lat", "well_id")
+     .write.option("header", True).csv(out))
+    return FS.read_csv(spark, out, WELL_SCHEMA).drop("comment")
+
+
+@register("scan_mixed_width", _with("""
+SELECT survey_id, well_id, CASE WHEN quality_flag = 1 THEN CAST(CAST(depth AS FLOAT) AS DOUBLE) ELSE depth END AS depth,
+       CASE WHEN quality_flag = 1 THEN CAST(CAST(amplitude AS FLOAT) AS DOUBLE) ELSE amplitude END AS amplitude, quality_flag
+FROM readings"""))
+def q_scan_mixed_width(spark, sf_dir):
+    """Files that store ids and values in 32 bits beside files that store them in 64."""
+    out = scratch_dir(spark, "widths")
+    r = analog.readings(spark, sf_dir).drop("ingest_timestamp")
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    narrow = r.where(flagged).select(*[F.col(c).cast("int").alias(c) for c in ("survey_id", "well_id", "quality_flag")],
+                                     *[F.col(c).cast("float").alias(c) for c in ("depth", "amplitude")])
+    SF.stored(SF.write_parquet_groups(narrow, out + "/narrow"))
+    SF.stored(SF.write_parquet_groups(r.where(~flagged), out + "/wide"))
+    return scan_reconstructed(spark, out).select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
+
+
 @register("scan_glob_union", _with(f"""
 SELECT survey_id, well_id, depth, amplitude, quality_flag,
        CASE WHEN coalesce(quality_flag, 0) = 0 THEN 'sgx_reconstruction' END AS ingest_source,
@@ -64,13 +96,13 @@ def q_scan_glob_union(spark, sf_dir):
     staged = (r.withColumn("ingest_source", F.lit("sgx_reconstruction"))
                .withColumn("grp", F.when(F.coalesce("quality_flag", F.lit(0)) == 0, "plain")
                            .otherwise("flagged")))
-    SF.collect_manifest(SF.write_parquet_groups(
+    SF.stored(SF.write_parquet_groups(
         staged, out, group_col="grp",
         drop_cols_when={"flagged": ["ingest_timestamp", "ingest_source"]}))
     # Decoys the glob must skip: an upper-case suffix and a plain Parquet name.
     region = analog.table(spark, sf_dir, "region")
-    SF.collect_manifest(SF.write_parquet_groups(region, out + "/decoy", suffix="_RECONSTRUCTED.PARQUET"))
-    SF.collect_manifest(SF.write_parquet_groups(region, out + "/decoy", suffix=".parquet"))
+    SF.stored(SF.write_parquet_groups(region, out + "/decoy", suffix="_RECONSTRUCTED.PARQUET"))
+    SF.stored(SF.write_parquet_groups(region, out + "/decoy", suffix=".parquet"))
     df = scan_reconstructed(spark, out)
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag", "ingest_source",
                      M.ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"))
@@ -138,7 +170,8 @@ def q_dual_sink(spark, sf_dir):
     settings = J.probe(spark, _derby(spark))
     name = f"hub_survey_{uuid.uuid4().hex[:8]}"
     rep = ST.write_table(spark, vault_tables(spark, sf_dir)["hub_survey"], name, out, settings)
-    back = J.read_table(spark, settings, name).agg(F.count(F.lit(1)).alias("row_count"))
+    back = J.lowercase_columns(J.run_query(spark, settings, f"select count(*) as row_count from {name}"))
+    back = back.select(F.col("row_count").cast("bigint"))
     back = back.select(F.lit("jdbc_readback").alias("sink"), F.lit("ok").alias("status"), "row_count")
     rep = rep.select("sink", "status", "row_count").unionByName(back)
     return rep.select(F.lit("hub_survey").alias("table_name"), "sink", "status", "row_count")
@@ -163,7 +196,7 @@ def q_load_audit(spark, sf_dir):
 
 def _publish_sensor_versions(spark, sf_dir):
     root = scratch_dir(spark, "versions") + "/mart_sensor_analysis"
-    mart = M.build_marts(vault_tables(spark, sf_dir))["mart_sensor_analysis"]
+    mart = input_marts(spark, sf_dir)["mart_sensor_analysis"]
     SV.publish(spark, mart, root)                      # v0
     SV.publish(spark, mart, root)                      # v1, same content (idempotent re-run)
     try:
@@ -180,10 +213,8 @@ FROM ({MART_SENSOR_SQL})
 UNION ALL SELECT 1, 'WRITE', 'Overwrite', count(*) FROM ({MART_SENSOR_SQL})
 UNION ALL SELECT 2, 'WRITE', 'Overwrite', 0"""))
 def q_version_overwrite(spark, sf_dir):
-    from strata.sources.deltalog import history
-
     root = _publish_sensor_versions(spark, sf_dir)
-    return history(spark, root).select("version", "operation", "mode", "num_added_rows")
+    return SV.history(spark, root).select("version", "operation", "mode", "num_added_rows")
 
 
 @register("version_as_of", _with(f"""
@@ -201,6 +232,49 @@ UNION ALL SELECT 'mart_survey_summary', count(*) FROM ({MART_SURVEY_SQL})
 UNION ALL SELECT 'mart_well_performance', count(*) FROM ({MART_WELL_SQL})"""))
 def q_catalog_marts(spark, sf_dir):
     """Marts registered for SQL tools and found again by name pattern."""
-    ST.register_views(M.build_marts(vault_tables(spark, sf_dir)))
+    ST.register_views(stored_marts(spark, sf_dir))
     names = ST.list_tables(spark, "mart_*")
     return C.table_counts({n: spark.table(n) for n in names if n in M.MART_NAMES})
+
+
+E2E_CTES = VAULT_CTES.replace("readings AS (", "raw_readings AS (", 1).replace("surveys AS (", """readings AS (
+  SELECT survey_id, well_id, CASE WHEN quality_flag = 1 THEN CAST(CAST(depth AS FLOAT) AS DOUBLE) ELSE depth END AS depth,
+         CASE WHEN quality_flag = 1 THEN CAST(CAST(amplitude AS FLOAT) AS DOUBLE) ELSE amplitude END AS amplitude,
+         quality_flag, ingest_timestamp FROM raw_readings),
+surveys AS (""", 1)
+
+
+@register("pipeline_end_to_end", "WITH " + E2E_CTES + f"""
+SELECT 'rows of hub_survey' AS item, count(*) AS n, CAST(NULL AS DOUBLE) AS avg_amplitude FROM hub_survey
+UNION ALL SELECT 'rows of hub_well', count(*), NULL FROM hub_well
+UNION ALL SELECT 'rows of sat_survey_details', count(*), NULL FROM surveys WHERE survey_type_id IS NOT NULL
+UNION ALL SELECT 'rows of sat_well_details', count(*), NULL FROM wells WHERE well_id IS NOT NULL
+UNION ALL SELECT 'rows of link_survey_well', count(*), NULL FROM link
+UNION ALL SELECT 'rows of sat_seismic_data', count(*), NULL FROM sat
+UNION ALL SELECT 'rows of rejects', 0, NULL
+UNION ALL SELECT 'check ' || check_name, bad_rows, NULL FROM (
+  SELECT 'unique:hub_survey.hub_survey_key' AS check_name, 0 AS bad_rows
+  UNION ALL SELECT 'references:link_survey_well.hub_well_key->hub_well.hub_well_key', 0
+  UNION ALL SELECT 'at_least:sat_seismic_data.depth>=0', 0)
+UNION ALL SELECT 'type ' || survey_type, total_readings, avg_amplitude FROM ({MART_SENSOR_SQL})""")
+def q_pipeline_end_to_end(spark, sf_dir):
+    """From a data folder to marts: CSV masters by name, trace files decoded, damaged Parquet salvaged, the rest scanned."""
+    base = scratch_dir(spark, "end-to-end")
+    inp = analog.inputs(spark, sf_dir)
+    inp["surveys"].select("source_format", "survey_type", "survey_type_id").write.option("header", True).csv(f"{base}/in/master_surveys.csv")
+    inp["wells"].select("operator", "well_name", "well_id").write.option("header", True).csv(f"{base}/in/master_wells.csv")
+    r = inp["readings"]
+    flagged, deep = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1, F.coalesce(F.col("depth"), F.lit(0)) > 25
+    FWE.written(FWE.encode(FWE.readings_frame(r.where(flagged)), f"{base}/traces"))
+    SF.stored(SF.write_parquet_groups(r.where(~flagged & ~deep), f"{base}/in/deep"))
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("healthy", "trailing_junk", "junk_with_par1", "wrong_footer_len")]),
+                         (F.pmod(F.col("survey_id"), F.lit(4)) + 1).cast("int"))
+    whole = SF.stored(SF.write_parquet_groups(r.where(~flagged & deep).withColumn("kind", kinds), f"{base}/whole", group_col="kind", suffix=".parquet"))
+    SF.stored(FIX.damage_files(whole, f"{base}/damaged", f"{base}/whole"))
+    res = run_from_dir(spark, f"{base}/in", f"{base}/out", LOAD_TS, traces_dir=f"{base}/traces", damaged_dir=f"{base}/damaged")
+    none = F.lit(None).cast("double").alias("avg_amplitude")
+    vault = res["report"].where("sink = 'parquet' and table_name not like 'mart%'")
+    return (vault.select(F.concat(F.lit("rows of "), "table_name").alias("item"), F.col("row_count").alias("n"), none)
+            .unionByName(res["checks"].select(F.concat(F.lit("check "), "check_name").alias("item"), F.col("bad_rows").alias("n"), none))
+            .unionByName(res["mart_sensor_analysis"].select(F.concat(F.lit("type "), "survey_type").alias("item"), F.col("total_readings").alias("n"),
+                                                            M.round_sig("avg_amplitude").alias("avg_amplitude"))))

@@ -1,39 +1,49 @@
 """Join helpers with an explicit size check before any broadcast.
 
-A broadcast copies one side to every executor; it is only safe when that
-side has a proven bound.  ``bounded`` proves it by counting at most
-``max_rows + 1`` rows of the side (a ``limit`` stops the scan early), and the
-caller's row width is fixed by its projection.  Beyond the bound the join is
-left to the planner: a shuffled sort-merge join, which AQE may still turn into
-a broadcast at run time from real shuffle sizes, and whose skewed partitions
-AQE splits (``spark.sql.adaptive.skewJoin.enabled``).
+A broadcast copies one side to every executor; it is only safe when that side
+has a proven bound in bytes.  ``measured`` counts the side's rows and the
+longest value of each of its text columns in one aggregate job; rows times the
+widest possible row is the bound.  Beyond it the join is left to the planner:
+a shuffled sort-merge join, which AQE may still turn into a broadcast at run
+time from real shuffle sizes, and whose skewed partitions AQE splits
+(``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-_CONF_KEY = "strata.broadcast.maxRows"
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+_CONF_KEY = "strata.broadcast.maxBytes"
+#: Bytes of a text column that the measured source does not have: a hexadecimal digest at most.
+DERIVED_TEXT_BYTES = 64
 
 
-def max_broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(_CONF_KEY, str(DEFAULT_MAX_BROADCAST_ROWS)))
+def max_broadcast_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(_CONF_KEY, str(DEFAULT_MAX_BROADCAST_BYTES)))
 
 
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1).
+def measured(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """(rows, longest value in bytes per text column); remembered on the DataFrame object."""
+    seen = getattr(df, "_strata_measured", None)
+    if seen is None:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+        row = df.agg(F.count(F.lit(1)), *[F.coalesce(F.max(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]).first()
+        df._strata_measured = seen = (int(row[0]), dict(zip(texts, (int(x) for x in row[1:]))))
+    return seen
 
-    The count is remembered on the DataFrame object, so several dimensions
-    bounded by one master cost one small job.
-    """
-    seen = getattr(df, "_strata_rows_upto", None)
-    if seen is None or (seen[1] < max_rows and seen[0] > seen[1]):
-        n = df.limit(max_rows + 1).count()
-        df._strata_rows_upto = seen = (n, max_rows)
-    n, probed = seen
-    return n <= max_rows if n <= probed else False
+
+def byte_bound(df: DataFrame, source: DataFrame | None = None) -> int:
+    """An upper bound of the bytes of ``df``, whose rows are no more than those of ``source``."""
+    rows, longest = measured(source if source is not None else df)
+
+    def width(f: T.StructField) -> int:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return 8 + longest.get(f.name, DERIVED_TEXT_BYTES)
+        return 16  # any of the fixed-width types used as dimensions here
+    return rows * sum(map(width, df.schema.fields))
 
 
 def set_bound(df: DataFrame, source: DataFrame) -> DataFrame:
@@ -46,42 +56,35 @@ def bound_of(df: DataFrame) -> DataFrame | None:
     return getattr(df, "_strata_bound", None)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
+def maybe_broadcast(df: DataFrame, max_bytes: int | None = None,
                     bound_source: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only when the row count is proven below the bound.
+    """Broadcast hint only when the size is proven below the bound.
 
     ``bound_source`` (or one recorded with ``set_bound``) is a cheaper plan
     whose row count bounds ``df``, such as the raw master scan under a
-    ``distinct``: counting its first ``max_rows + 1`` rows stops early,
-    where a distinct would have to be computed in full.
+    ``distinct``.
     """
-    spark = df.sparkSession
-    cap = max_broadcast_rows(spark) if max_rows is None else max_rows
-    probe = bound_source if bound_source is not None else (bound_of(df) or df)
-    return F.broadcast(df) if bounded(probe, cap) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                   max_rows: int | None = None,
-                   bound_source: DataFrame | None = None) -> DataFrame:
-    return fact.join(maybe_broadcast(dim, max_rows, bound_source), on, how)
+    cap = max_broadcast_bytes(df.sparkSession) if max_bytes is None else max_bytes
+    source = bound_source if bound_source is not None else bound_of(df)
+    return F.broadcast(df) if byte_bound(df, source) <= cap else df
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int,
                 how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` where one key may hold a large share of ``big``.
 
-    ``big`` rows get a salt in ``[0, salts)`` from a hash of the whole row (a
-    deterministic salt, so a retried task sends every row where it went
-    before); ``small`` (unique per key, e.g. a link or hub table) is
-    replicated once per salt.  Each hot key is then spread over ``salts``
-    shuffle partitions instead of one, at the cost of ``salts`` copies of the
-    small side.  Results equal the plain join.  AQE's skew-join splitting does
-    the same for sort-merge joins at run time; this is the explicit form for
-    sessions or joins where AQE cannot split.
+    ``big`` rows get a salt in ``[0, salts)`` from their place in their
+    partition, not from their values, so equal rows spread too; a retried task
+    reads its rows in the same order and sends each where it went before.
+    ``small`` (unique per key, e.g. a link or hub table) is replicated once
+    per salt.  Each hot key is then spread over ``salts`` shuffle partitions
+    instead of one, at the cost of ``salts`` copies of the small side.
+    Results equal the plain join.  AQE's skew-join splitting does the same for
+    sort-merge joins at run time; this is the explicit form for sessions or
+    joins where AQE cannot split.
     """
     if salts <= 1:
         return big.join(small, key, how)
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
+    b = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return b.join(s, [key, "_salt"], how).drop("_salt")

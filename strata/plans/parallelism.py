@@ -2,26 +2,26 @@
 
 A Parquet file is split by row groups; a small table written as one file with
 one row group is read by a single task, and every narrow step after the scan
-(hashing, partial aggregation) then runs on one core.  When an input has
-fewer partitions than the cluster has cores, spread it with a round-robin
-repartition right after the scan.  At scale (thousands of files and row
-groups) the input already has more partitions than cores and this is a
-no-op, so no shuffle is added where it would cost.
+(hashing, partial aggregation) then runs on one core.  A table that is one
+file of bounded size is therefore spread round-robin right after the scan.
+Anything larger, or of more than one file, is left as it is scanned: no
+shuffle of raw rows is added where it would cost.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-
-def target_parallelism(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return int(spark.sparkContext.defaultParallelism)
+#: The largest single file that is spread.
+MAX_BYTES = 256 << 20
 
 
-def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
-    """``df`` itself, or ``df.repartition(n)`` when it has fewer than ``n`` partitions."""
-    n = minimum or target_parallelism(df)
-    if df.rdd.getNumPartitions() >= n:
+def ensure_parallelism(df: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """``df`` itself, or ``df`` spread over the cores when it is a scan of one file of at most ``max_bytes``."""
+    files = df.inputFiles()
+    if len(files) != 1:
         return df
-    return df.repartition(n)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(files[0])
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return df.repartition(spark.sparkContext.defaultParallelism) if size <= max_bytes else df

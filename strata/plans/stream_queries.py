@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators import incremental as INC
-from strata.operators.vault import build_hub, seismic_sat
+from strata.operators.marts import ts_text
+from strata.operators.vault import build_hub, build_vault, seismic_sat
 from strata.plans.registry import LOAD_TS, register
 from strata.plans.vault_queries import SRC_HASH_SQL, TS_SQL, _with
 from strata.session import scratch_dir
@@ -16,47 +18,103 @@ from strata.streaming.incremental_stream import load_readings_stream
 STREAM_CUT = "1998-07-01"
 
 
-def _years(spark, sf_dir) -> list[int]:
-    r = analog.readings(spark, sf_dir)
-    rows = r.select(F.year("ingest_timestamp").alias("y")).distinct().collect()
-    return sorted(int(x["y"]) for x in rows if x["y"] is not None)
+# Load date of readings without a timestamp; they arrive last.
+UNDATED = "undated"
 
 
-def _batch(spark, sf_dir, year):
-    r = analog.readings(spark, sf_dir)
-    return r.where(F.year("ingest_timestamp") == year)
+def yearly_batches(readings: DataFrame, column: str = "ingest_timestamp") -> list[tuple[str, DataFrame]]:
+    """(load date, readings) by year, and last the readings without a timestamp.
+
+    Years are half-open timestamp ranges, which reach the Parquet scan as
+    pushed filters; only the first and last timestamp come to the driver.
+    """
+    first, last = readings.agg(F.min(column), F.max(column)).first()
+    out = []
+    for y in range(first.year, last.year + 1) if first is not None else ():
+        lo, hi = (F.lit(f"{n:04d}-01-01").cast("timestamp_ntz") for n in (y, y + 1))
+        out.append((str(y), readings.where((F.col(column) >= lo) & (F.col(column) < hi))))
+    return [*out, (UNDATED, readings.where(F.col(column).isNull()))]
+
+
+def with_gaps(readings: DataFrame) -> DataFrame:
+    """Readings of which every tenth survey has lost its timestamps, and every seventh well its id."""
+    ts = F.when(F.col("survey_id") % 10 != 0, F.col("ingest_timestamp"))
+    well = F.when(F.col("well_id") % 7 != 0, F.col("well_id"))
+    return readings.withColumns({"ingest_timestamp": ts, "well_id": well})
+
+
+GAPS_CTE = """,
+gaps AS (SELECT survey_id, CASE WHEN well_id % 7 <> 0 THEN well_id END AS well_id, depth, amplitude, quality_flag,
+                CASE WHEN survey_id % 10 <> 0 THEN ingest_timestamp END AS ingest_timestamp FROM readings)
+"""
+FIRST_YEAR_SQL = f"coalesce(CAST(min(year(ingest_timestamp)) AS VARCHAR), '{UNDATED}') AS load_date"
 
 
-@register("incremental_hub", _with("""
-SELECT md5(CAST(well_id AS VARCHAR)) AS hub_well_key, well_id,
-       CAST(min(year(ingest_timestamp)) AS VARCHAR) AS load_date, 'readings' AS record_source
-FROM readings WHERE well_id IS NOT NULL GROUP BY well_id"""))
+@register("incremental_hub", "WITH " + analog.ANALOG_CTES + GAPS_CTE + f"""
+SELECT md5(CAST(well_id AS VARCHAR)) AS hub_well_key, well_id, {FIRST_YEAR_SQL}, 'readings' AS record_source
+FROM gaps WHERE well_id IS NOT NULL GROUP BY well_id""")
 def q_incremental_hub(spark, sf_dir):
-    """Wells hub loaded from yearly reading batches (the first year twice): new keys only."""
+    """Wells hub loaded from yearly reading batches (the first twice), undated readings last: new keys only."""
     vault = INC.IncrementalVault(scratch_dir(spark, "inc-hub"))
-    years = _years(spark, sf_dir)
-    for y in [years[0], *years]:
-        hub = build_hub(_batch(spark, sf_dir, y), "well_id", "hub_well_key", str(y), "readings")
-        vault.load(spark, {"hub_well": hub})
+    batches = yearly_batches(with_gaps(analog.readings(spark, sf_dir)))
+    for date, rows in [batches[0], *batches]:
+        vault.load(spark, {"hub_well": build_hub(rows, "well_id", "hub_well_key", date, "readings")})
     return vault.table(spark, "hub_well")
 
 
-@register("incremental_sat", _with(f"""
+@register("incremental_sat", "WITH " + analog.ANALOG_CTES + GAPS_CTE + f"""
 SELECT link_survey_well_key, depth, amplitude, quality_flag, source_hash,
-       CAST(min(year(ingest_timestamp)) AS VARCHAR) AS load_date
+       strftime(min(ingest_timestamp), {TS_SQL}) AS ingest_timestamp, {FIRST_YEAR_SQL}
 FROM (SELECT md5(CAST(survey_id AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS link_survey_well_key,
              depth, amplitude, quality_flag, {SRC_HASH_SQL} AS source_hash, ingest_timestamp
-      FROM readings WHERE survey_id IS NOT NULL AND well_id IS NOT NULL)
-GROUP BY link_survey_well_key, depth, amplitude, quality_flag, source_hash"""))
+      FROM gaps WHERE survey_id IS NOT NULL AND well_id IS NOT NULL)
+GROUP BY link_survey_well_key, depth, amplitude, quality_flag, source_hash""")
 def q_incremental_sat(spark, sf_dir):
     """Readings satellite by yearly batches: a row only for a change hash new to its link."""
     vault = INC.IncrementalVault(scratch_dir(spark, "inc-sat"))
-    years = _years(spark, sf_dir)
-    for y in [years[0], *years]:
-        sat = seismic_sat(_batch(spark, sf_dir, y), str(y), keep_source_timestamp=True)
-        vault.load(spark, {"sat_seismic_data": sat})
+    batches = yearly_batches(with_gaps(analog.readings(spark, sf_dir)))
+    for date, rows in [batches[0], *batches]:
+        vault.load(spark, {"sat_seismic_data": seismic_sat(rows, date, keep_source_timestamp=True)})
     return vault.table(spark, "sat_seismic_data").select(
-        "link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash", "load_date")
+        "link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash",
+        ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"), "load_date")
+
+
+@register("incremental_masters", _with(f"""
+SELECT 'sat_survey_details' AS table_name, survey_type_id AS business_key, survey_type AS attribute, '1' AS load_date
+FROM (SELECT DISTINCT * FROM surveys) WHERE survey_type_id IS NOT NULL
+UNION ALL SELECT 'sat_well_details', well_id, operator, '1' FROM (SELECT DISTINCT * FROM wells) WHERE well_id IS NOT NULL
+UNION ALL SELECT 'sat_well_details', well_id, operator || ' Ltd', '2'
+FROM (SELECT DISTINCT * FROM wells) WHERE well_id IS NOT NULL AND well_id % 3 = 0"""))
+def q_incremental_masters(spark, sf_dir):
+    """All seven tables in three loads: the whole input, one with every third well's operator changed, and that again."""
+    vault = INC.IncrementalVault(scratch_dir(spark, "inc-masters"))
+    inp = analog.inputs(spark, sf_dir)
+    changed = inp["wells"].withColumn("operator", F.when(F.col("well_id") % 3 == 0, F.concat("operator", F.lit(" Ltd"))).otherwise(F.col("operator")))
+    for date, wells in (("1", inp["wells"]), ("2", changed), ("3", changed)):
+        vault.load(spark, build_vault(inp["surveys"], wells, inp["readings"], date, keep_source_timestamp=True))
+    surveys = vault.table(spark, "sat_survey_details").select(
+        F.lit("sat_survey_details").alias("table_name"), F.col("survey_type_id").alias("business_key"),
+        F.col("survey_type").alias("attribute"), "load_date")
+    wells = (vault.table(spark, "sat_well_details").join(vault.table(spark, "hub_well").select("hub_well_key", "well_id"), "hub_well_key")
+             .select(F.lit("sat_well_details").alias("table_name"), F.col("well_id").alias("business_key"),
+                     F.col("operator").alias("attribute"), "load_date"))
+    return surveys.unionByName(wells)
+
+
+@register("incremental_rejects", "WITH " + analog.ANALOG_CTES + GAPS_CTE + """
+SELECT 'link_survey_well' AS target_table, survey_id, quality_flag, count(*) AS records
+FROM (SELECT DISTINCT * FROM gaps WHERE survey_id IS NULL OR well_id IS NULL) GROUP BY survey_id, quality_flag""")
+def q_incremental_rejects(spark, sf_dir):
+    """Readings whose well id is missing, kept as rejects by the file stream (each distinct record once)."""
+    base = scratch_dir(spark, "stream-rejects")
+    r = with_gaps(analog.readings(spark, sf_dir))
+    r.write.parquet(f"{base}/inbox")
+    load_readings_stream(spark, f"{base}/inbox", r.schema, f"{base}/vault", f"{base}/checkpoint", LOAD_TS, max_files_per_trigger=3)
+    fields = F.from_json("record", "survey_id bigint, quality_flag bigint")
+    return (INC.IncrementalVault(f"{base}/vault").table(spark, "rejects").withColumn("r", fields)
+            .groupBy("target_table", F.col("r.survey_id").alias("survey_id"), F.col("r.quality_flag").alias("quality_flag"))
+            .agg(F.count(F.lit(1)).alias("records")))
 
 
 @register("schema_drift", _with(f"""

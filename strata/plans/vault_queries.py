@@ -10,6 +10,7 @@ from strata.operators import checks as C
 from strata.operators import marts as M
 from strata.operators.vault import SOURCE_FORMAT_CANDIDATES, build_vault, survey_sat
 from strata.plans.registry import LOAD_TS, register
+from strata.session import scratch_dir
 from strata.sources import analog
 
 TS_SQL = "'%Y-%m-%dT%H:%M:%S.%f'"
@@ -58,20 +59,34 @@ def _with(body: str) -> str:
     return "WITH " + VAULT_CTES + body
 
 
-SRC_HASH_SQL = ("md5(coalesce(CAST(CAST(depth AS DECIMAL(38,6)) AS VARCHAR), 'null') || '_' || "
-                "coalesce(CAST(CAST(amplitude AS DECIMAL(38,6)) AS VARCHAR), 'null') || '_' || "
+def number_sql(c: str) -> str:
+    """The exact text of a double (``number_text``) in SQL, for sizes from 2^-900 on."""
+    guess = f"floor(log2(abs({c})))"
+    e = f"({guess} + CASE WHEN pow(2.0, {guess}) > abs({c}) THEN -1 WHEN pow(2.0, {guess} + 1) <= abs({c}) THEN 1 ELSE 0 END)"
+    sign = f"CASE WHEN {c} < 0 THEN '-' ELSE '' END"
+    return (f"CASE WHEN {c} IS NULL THEN 'null' WHEN isnan({c}) THEN 'nan' WHEN isinf({c}) THEN {sign} || 'inf' WHEN {c} = 0 THEN '0' "
+            f"ELSE {sign} || CAST(CAST(abs({c}) * pow(2.0, 52 - {e}) AS BIGINT) AS VARCHAR) || 'p' || CAST(CAST({e} - 52 AS BIGINT) AS VARCHAR) END")
+
+
+def sig_sql(x: str, bits: int = 34) -> str:
+    """``round_sig`` in SQL."""
+    p = f"pow(2.0, {bits - 1} - floor(log2(abs({x}))))"
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) OR {x} = 0 THEN {x} ELSE floor({x} * {p} + 0.5) / {p} END"
+
+
+SRC_HASH_SQL = (f"md5({number_sql('depth')} || '_' || {number_sql('amplitude')} || '_' || "
                 "coalesce(CAST(quality_flag AS VARCHAR), 'null'))")
+# favg adds without loss, but not infinities.
+AVG_SQL = sig_sql("(CASE WHEN bool_or(isinf(amplitude)) THEN avg(amplitude) ELSE favg(amplitude) END)") + " AS avg_amplitude"
 
-MART_WELL_SQL = """
-SELECT well_id, source_format, count(depth) AS total_readings,
-       CAST(sum(CAST(amplitude AS DECIMAL(38,6))) AS DOUBLE) / count(amplitude) AS avg_amplitude,
+MART_WELL_SQL = f"""
+SELECT well_id, source_format, count(depth) AS total_readings, {AVG_SQL},
        CAST(count_if(quality_flag = 1) AS DOUBLE) / count(depth) AS data_quality_rate
 FROM core WHERE well_id IS NOT NULL AND source_format IS NOT NULL
 GROUP BY well_id, source_format"""
 
-MART_SENSOR_SQL = """
-SELECT survey_type, count(depth) AS total_readings,
-       CAST(sum(CAST(amplitude AS DECIMAL(38,6))) AS DOUBLE) / count(amplitude) AS avg_amplitude,
+MART_SENSOR_SQL = f"""
+SELECT survey_type, count(depth) AS total_readings, {AVG_SQL},
        CAST(count_if(quality_flag = 1) AS DOUBLE) / count(depth) AS data_quality_rate
 FROM core WHERE survey_type IS NOT NULL
 GROUP BY survey_type"""
@@ -86,8 +101,7 @@ MART_SURVEY_SQL = f"""
 SELECT survey_type, source_format, wells_surveyed_count, total_readings, avg_amplitude,
        strftime(earliest_ts, {TS_SQL}) AS earliest_timestamp,
        strftime(latest_ts, {TS_SQL}) AS latest_timestamp
-FROM (SELECT survey_type, source_format, survey_type_id, count(depth) AS total_readings,
-             CAST(sum(CAST(amplitude AS DECIMAL(38,6))) AS DOUBLE) / count(amplitude) AS avg_amplitude,
+FROM (SELECT survey_type, source_format, survey_type_id, count(depth) AS total_readings, {AVG_SQL},
              min(ingest_timestamp) AS earliest_ts, max(ingest_timestamp) AS latest_ts
       FROM core
       WHERE survey_type IS NOT NULL AND source_format IS NOT NULL AND survey_type_id IS NOT NULL
@@ -95,6 +109,24 @@ FROM (SELECT survey_type, source_format, survey_type_id, count(depth) AS total_r
 LEFT JOIN ({WELLS_SURVEYED_SQL}) w USING (survey_type_id)"""
 
 
+def shown(mart: DataFrame) -> DataFrame:
+    """A mart with its mean rounded as the oracles round theirs."""
+    return mart.withColumn("avg_amplitude", M.round_sig("avg_amplitude"))
+
+
+def input_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    inp = analog.inputs(spark, sf_dir)
+    return {k: shown(v) for k, v in M.marts_from_facts(M.facts_from_inputs(**inp)).items()}
+
+
+def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three marts on per-link facts that are computed once and written to the shared folder."""
+    facts = M.facts_from_inputs(**analog.inputs(spark, sf_dir))
+    path = scratch_dir(spark, "facts")
+    facts.write.parquet(path)
+    return {k: shown(v) for k, v in M.marts_from_facts(spark.read.schema(facts.schema).parquet(path)).items()}
+
+
 # ---- keys ----------------------------------------------------------------------
 
 @register("hash_keys", _with("""
@@ -257,40 +289,40 @@ def q_wells_surveyed(spark, sf_dir):
 
 @register("mart_well_performance", _with(MART_WELL_SQL))
 def q_mart_well_performance(spark, sf_dir):
-    return M.build_marts(vault_tables(spark, sf_dir))["mart_well_performance"]
+    return input_marts(spark, sf_dir)["mart_well_performance"]
 
 
 @register("mart_sensor_analysis", _with(MART_SENSOR_SQL))
 def q_mart_sensor_analysis(spark, sf_dir):
-    return M.build_marts(vault_tables(spark, sf_dir))["mart_sensor_analysis"]
+    return input_marts(spark, sf_dir)["mart_sensor_analysis"]
 
 
 @register("mart_survey_summary", _with(MART_SURVEY_SQL))
 def q_mart_survey_summary(spark, sf_dir):
-    return M.build_marts(vault_tables(spark, sf_dir))["mart_survey_summary"]
+    return input_marts(spark, sf_dir)["mart_survey_summary"]
 
 
 @register("mart_sensor_analysis_direct", _with(MART_SENSOR_SQL))
 def q_mart_sensor_analysis_direct(spark, sf_dir):
     """The same mart from reading-level rows (no per-link pre-aggregate)."""
-    return M.build_marts(vault_tables(spark, sf_dir), preaggregate=False)["mart_sensor_analysis"]
+    return shown(M.build_marts(vault_tables(spark, sf_dir), preaggregate=False)["mart_sensor_analysis"])
 
 
 @register("mart_well_performance_direct", _with(MART_WELL_SQL))
 def q_mart_well_performance_direct(spark, sf_dir):
-    return M.build_marts(vault_tables(spark, sf_dir), preaggregate=False)["mart_well_performance"]
+    return shown(M.build_marts(vault_tables(spark, sf_dir), preaggregate=False)["mart_well_performance"])
 
 
 @register("mart_preview", _with(MART_WELL_SQL + "\nORDER BY well_id, source_format LIMIT 20"))
 def q_mart_preview(spark, sf_dir):
-    mart = M.build_marts(vault_tables(spark, sf_dir))["mart_well_performance"]
+    mart = input_marts(spark, sf_dir)["mart_well_performance"]
     return M.mart_preview(mart, ["well_id", "source_format"], 20)
 
 
 @register("mart_preaggregated", _with(f"""
 SELECT link_survey_well_key, well_id, survey_type_id, survey_type, source_format,
        count(depth) AS n_depth, count(amplitude) AS n_amp,
-       sum(CAST(amplitude AS DECIMAL(38,6))) AS amp_sum,
+       {sig_sql('fsum(amplitude)')} AS amp_sum,
        CAST(count_if(quality_flag = 1) AS BIGINT) AS n_flags,
        strftime(min(ingest_timestamp), {TS_SQL}) AS min_ts,
        strftime(max(ingest_timestamp), {TS_SQL}) AS max_ts
@@ -298,9 +330,9 @@ FROM core
 GROUP BY link_survey_well_key, well_id, survey_type_id, survey_type, source_format"""))
 def q_mart_preaggregated(spark, sf_dir):
     """The shared per-link partials the three marts roll up."""
-    f = M.link_facts(vault_tables(spark, sf_dir))
-    return f.select("link_survey_well_key", "well_id", "survey_type_id", "survey_type",
-                    "source_format", "n_depth", "n_amp", "amp_sum", "n_flags",
+    f = M.facts_from_inputs(**analog.inputs(spark, sf_dir)).where("in_hub")
+    return f.select(md5_key("survey_type_id", "well_id").alias("link_survey_well_key"), "well_id", "survey_type_id",
+                    "survey_type", "source_format", "n_depth", "n_amp", M.round_sig("amp_sum").alias("amp_sum"), "n_flags",
                     M.ts_text(F.col("min_ts")).alias("min_ts"),
                     M.ts_text(F.col("max_ts")).alias("max_ts"))
 
@@ -343,28 +375,86 @@ def q_dq_unique(spark, sf_dir):
     return C.run_checks(spark, v, checks)
 
 
+EVEN_HUB = "(SELECT * FROM hub_well WHERE well_id % 2 = 0)"
+
+
+def damaged_vault(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The vault with every odd well missing from its hub, so that the checks have something to find."""
+    v = vault_tables(spark, sf_dir)
+    return v | {"hub_well": v["hub_well"].where("well_id % 2 = 0")}
+
+
 @register("dq_orphans", _with(
-    _refs_sql("link_survey_well", "hub_well_key", "hub_well", "link", "hub_well") + "\nUNION ALL\n"
+    _refs_sql("link_survey_well", "hub_well_key", "hub_well", "link", EVEN_HUB) + "\nUNION ALL\n"
     + _refs_sql("link_survey_well", "hub_survey_key", "hub_survey", "link", "hub_survey")))
 def q_dq_orphans(spark, sf_dir):
-    v = vault_tables(spark, sf_dir)
     checks = [C.references("link_survey_well", "hub_well_key", "hub_well"),
               C.references("link_survey_well", "hub_survey_key", "hub_survey")]
-    return C.run_checks(spark, v, checks)
+    return C.run_checks(spark, damaged_vault(spark, sf_dir), checks)
+
+
+@register("dq_orphan_rows", _with(f"""
+SELECT link_survey_well_key, hub_well_key FROM link
+WHERE hub_well_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {EVEN_HUB} h WHERE h.hub_well_key = link.hub_well_key)"""))
+def q_dq_orphan_rows(spark, sf_dir):
+    """The links themselves whose well is missing, by anti join."""
+    v = damaged_vault(spark, sf_dir)
+    return C.orphans(v["link_survey_well"], "hub_well_key", v["hub_well"]).select("link_survey_well_key", "hub_well_key")
 
 
-@register("dq_range", _with(_range_sql("sat_seismic_data", "depth", 0, "sat")))
+@register("dq_range", _with(_range_sql("sat_seismic_data", "depth", 10, "sat") + "\nUNION ALL\n"
+                            + _range_sql("sat_seismic_data", "depth", 0, "sat")))
 def q_dq_range(spark, sf_dir):
     v = vault_tables(spark, sf_dir, only=("readings",))
-    return C.run_checks(spark, v, [C.at_least("sat_seismic_data", "depth", 0)])
+    return C.run_checks(spark, v, [C.at_least("sat_seismic_data", "depth", 10), C.at_least("sat_seismic_data", "depth", 0)])
+
+
+_ERROR_SQL = "SELECT '{}' AS check_name, 'ERROR' AS status, CAST(NULL AS BIGINT) AS bad_rows, CAST(NULL AS BIGINT) AS total_rows, NULL AS detail"
 
 
 @register("dq_suite", _with(
     _unique_sql("hub_survey", "hub_survey_key", "hub_survey") + "\nUNION ALL\n"
-    + _refs_sql("link_survey_well", "hub_well_key", "hub_well", "link", "hub_well") + "\nUNION ALL\n"
-    + _range_sql("sat_seismic_data", "depth", 0, "sat")))
+    + _refs_sql("link_survey_well", "hub_well_key", "hub_well", "link", EVEN_HUB) + "\nUNION ALL\n"
+    + _range_sql("sat_seismic_data", "depth", 0, "sat") + "\nUNION ALL\n"
+    + _ERROR_SQL.format("at_least:sat_seismic_data.ingest_source>=0") + "\nUNION ALL\n"
+    + _ERROR_SQL.format("unique:no_such_table.key")))
 def q_dq_suite(spark, sf_dir):
-    return C.run_checks(spark, vault_tables(spark, sf_dir))
+    """The vault's checks, one that fails while it runs and one whose table is missing."""
+    checks = [*C.vault_checks(), C.at_least("sat_seismic_data", "ingest_source", 0), C.unique_key("no_such_table", "key")]
+    out = C.run_checks(spark, damaged_vault(spark, sf_dir), checks)
+    return out.withColumn("detail", F.when(F.col("status") != "ERROR", F.col("detail")))
+
+
+TINY_CTES = VAULT_CTES.replace("readings AS (", "raw_readings AS (", 1).replace("surveys AS (", """readings AS (
+  SELECT survey_id, well_id, depth,
+         CASE WHEN well_id % 11 = 0 THEN NULL WHEN well_id = 1 THEN CAST('inf' AS DOUBLE) ELSE amplitude * 1e-12 END AS amplitude,
+         quality_flag, ingest_timestamp
+  FROM raw_readings UNION ALL
+  SELECT survey_id, well_id, depth, CASE WHEN well_id % 11 = 0 THEN NULL WHEN well_id = 1 THEN CAST('inf' AS DOUBLE) ELSE amplitude * 1e-12 END,
+         quality_flag, ingest_timestamp FROM raw_readings WHERE well_id % 5 = 0),
+surveys AS (""", 1)
+
+
+def tiny_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The inputs with amplitudes near 1e-8, some NULL, some infinite, and every fifth well's readings twice."""
+    inp = analog.inputs(spark, sf_dir)
+    a = F.when(F.col("well_id") % 11 == 0, None).when(F.col("well_id") == 1, float("inf")).otherwise(F.col("amplitude") * 1e-12)
+    r = inp["readings"].withColumn("amplitude", a)
+    return inp | {"readings": r.unionByName(r.where("well_id % 5 = 0"))}
+
+
+@register("mart_tiny_values", "WITH " + TINY_CTES + MART_WELL_SQL)
+def q_mart_tiny_values(spark, sf_dir):
+    """Means of values far below a millionth, with NULL, infinite and equal readings."""
+    return shown(M.marts_from_facts(M.facts_from_inputs(**tiny_inputs(spark, sf_dir)))["mart_well_performance"])
+
+
+@register("source_hash_tiny", "WITH " + TINY_CTES + f"""
+SELECT survey_id, well_id, depth, quality_flag, {SRC_HASH_SQL} AS source_hash FROM readings""")
+def q_source_hash_tiny(spark, sf_dir):
+    r = tiny_inputs(spark, sf_dir)["readings"]
+    return r.select("survey_id", "well_id", "depth", "quality_flag",
+                    change_hash(r, ["depth", "amplitude", "quality_flag"]).alias("source_hash"))
 
 
 @register("table_counts", _with(f"""
@@ -372,4 +462,4 @@ SELECT 'mart_well_performance' AS table_name, count(*) AS row_count FROM ({MART_
 UNION ALL SELECT 'mart_sensor_analysis', count(*) FROM ({MART_SENSOR_SQL})
 UNION ALL SELECT 'mart_survey_summary', count(*) FROM ({MART_SURVEY_SQL})"""))
 def q_table_counts(spark, sf_dir):
-    return C.table_counts(M.build_marts(vault_tables(spark, sf_dir)))
+    return C.table_counts(stored_marts(spark, sf_dir))

@@ -18,7 +18,7 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # No broadcast from static size estimates (compressed file sizes, not a
-    # bound); broadcasts come from checked row bounds (plans/joins.py) or from
+    # bound); broadcasts come from checked byte bounds (plans/joins.py) or from
     # AQE, which measures the real shuffle output first.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
@@ -49,33 +49,35 @@ def get_session(master: str | None = None, app: str = "strata",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when unset."""
+    """The shared checkpoint folder of the session.
+
+    Only a local session, whose executors are threads of the driver, gets a
+    private one when it names none; on a cluster that would be a folder that
+    other machines cannot see, so it is an error there.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="strata-ckpt-")
-    sc.setCheckpointDir(local)
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None:
+        if not is_private(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="strata-ckpt-")
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+def is_private(master: str) -> bool:
+    """Whether a master runs its tasks in the driver's own process."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh (not yet created) folder for one job's outputs, inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers without installing it.
 

@@ -43,7 +43,7 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
             report.append((name, "jdbc", "ok", rows, jdbc.url.split(";")[0], None))
         except Exception as exc:  # the database is best effort; the file is the record
             report.append((name, "jdbc", "error", None, jdbc.url.split(";")[0],
-                           f"{type(exc).__name__}: {str(exc)[:300]}"))
+                           f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

@@ -1,8 +1,7 @@
 """File listing and optional sources.
 
-Listings are native (``pyarrow.fs``) and existence checks go through Hadoop's
-FileSystem, so the paths Spark reads (local, HDFS, object stores) work the
-same way.  Only names and sizes reach the driver, never file content.
+Trees are listed by tasks (``pyarrow.fs``); existence checks go through
+Hadoop's FileSystem.  Neither names nor contents are gathered on the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.fsys import resolve, with_root
+
 
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -44,40 +45,77 @@ def any_file(spark: SparkSession, root: str, glob: str = "*", recursive: bool =
     return False
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*",
-               recursive: bool = True) -> list[tuple[str, int]]:
-    """(uri, size) of files under ``root`` whose base name matches ``glob`` (case-sensitive).
+def list_tree(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True,
+              skip_hidden: bool = False) -> DataFrame:
+    """(path, length) of the files under ``root`` whose base name matches ``glob`` (case-sensitive).
 
-    A native listing (``pyarrow.fs``: local, HDFS, S3, GCS) of names and sizes
-    only; hidden files (``.`` / ``_`` prefixes) are skipped like Spark does,
-    zero-length files are kept.  URIs are returned in the form Spark uses.
+    Folders are listed by tasks, one level of the tree per job, and each
+    level's listing is written to the shared folder, so no listing passes
+    through the driver.  Every name counts, hidden ones too, unless
+    ``skip_hidden``; zero-length files are kept.  A root that does not exist
+    raises ``FileNotFoundError``; a single file is its own listing.
     """
     import pyarrow.fs as pafs
 
-    if root.startswith("file:") or "://" not in root:
-        fs = pafs.LocalFileSystem()
-        base = root[len("file://"):] if root.startswith("file://") else (
-            root[len("file:"):] if root.startswith("file:") else root)
-        prefix = "file:"
-    else:
-        fs, base = pafs.FileSystem.from_uri(root)
-        prefix = root.split("://", 1)[0] + "://"
-    info = fs.get_file_info(base)
-    if info.type == pafs.FileType.File:
-        return [(prefix + info.path, int(info.size))]
-    if info.type != pafs.FileType.Directory:
-        return []
-    out = []
-    for f in fs.get_file_info(pafs.FileSelector(base, recursive=recursive)):
-        if f.type != pafs.FileType.File:
-            continue
-        rel = f.path[len(base):].lstrip("/")
-        if any(part.startswith((".", "_")) for part in rel.split("/")):
-            continue
-        if fnmatch.fnmatchcase(f.base_name, glob):
-            out.append((prefix + f.path, int(f.size)))
-    out.sort()
-    return out
+    from strata.session import scratch_dir, ship_package
+
+    ship_package(spark)
+    fs, base = resolve(root)
+    kind = fs.get_file_info(base).type
+    if kind == pafs.FileType.NotFound:
+        raise FileNotFoundError(f"no such file or folder: {root}")
+
+    def listing(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for folder in pdf["path"]:
+                own, path = resolve(folder)
+                found = own.get_file_info(path)
+                entries = [found] if found.type == pafs.FileType.File else own.get_file_info(
+                    pafs.FileSelector(path, recursive=False))
+                for e in entries:
+                    if skip_hidden and e.base_name.startswith((".", "_")):
+                        continue
+                    out.append((with_root(root, e.path), e.size, e.type == pafs.FileType.Directory))
+            yield pd.DataFrame(out, columns=["path", "length", "folder"])
+
+    level = spark.createDataFrame([(with_root(root, base.rstrip("/") or "/"),)], "path string")
+    tree = scratch_dir(spark, "listing")
+    schema = "path string, length bigint, folder boolean"
+    depth = 0
+    while True:
+        out = f"{tree}/level={depth}"
+        level.mapInPandas(listing, schema).write.parquet(out)
+        listed = spark.read.schema(schema).parquet(out)
+        level = listed.where("folder").select("path").repartition("path")
+        depth += 1
+        if not recursive or level.isEmpty():
+            break
+    pattern = fnmatch.translate(glob).replace("(?s:", "(?s)").removesuffix(r")\Z").removesuffix(r")\z")
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    return (spark.read.schema(schema).option("basePath", tree).parquet(tree)
+            .where(~F.col("folder") & F.rlike(name, F.lit(f"^(?:{pattern})$")))
+            .select("path", F.coalesce("length", F.lit(0)).alias("length")))
+
+
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType | str,
+                     required: tuple[str, ...] = ()) -> DataFrame:
+    """CSV with a header whose columns are found by name and cast to ``schema``.
+
+    A column of the schema that the file lacks is NULL, or an error when it is
+    ``required``; columns beyond the schema follow as text.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    raw = spark.read.option("header", True).csv(path)
+    lacking = sorted(set(required) - set(raw.columns))
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}; its header is {raw.columns}")
+    cols = [(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields]
+    return raw.select(*cols, *[c for c in raw.columns if c not in schema.names])
 
 
 def read_csv_optional(spark: SparkSession, path: str, schema: T.StructType | str,
@@ -85,33 +123,16 @@ def read_csv_optional(spark: SparkSession, path: str, schema: T.StructType | str
     """CSV with a declared schema; an absent file gives an empty table of that schema."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.csv(path, header=header, schema=schema)
+    return read_csv(spark, path, schema, header)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              header: bool = True, infer: bool = False) -> DataFrame:
     reader = spark.read.option("header", header)
+    if schema is not None and header:
+        return read_csv_by_name(spark, path, schema)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
     return reader.csv(path)
-
-
-def file_inventory(spark: SparkSession, root: str, glob: str = "*",
-                   recursive: bool = True) -> DataFrame:
-    """One row per file: path, name, length, modification time.
-
-    Uses the ``binaryFile`` source without its ``content`` column, so no file
-    body is read (Spark prunes the column).
-    """
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", str(recursive).lower())
-          .option("pathGlobFilter", glob)
-          .load(root))
-    return df.select(
-        "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        "length",
-        "modificationTime",
-    )

@@ -1,8 +1,8 @@
 """Incremental vault loading as a bounded file stream.
 
 ``readStream`` over the folder where reading files land, ``foreachBatch``
-builds the link and satellite rows of each micro-batch and appends only what
-is new (``strata.operators.incremental``).  The stream's checkpoint (under
+builds the link, satellite and reject rows of each micro-batch and appends
+only what is new (``strata.operators.incremental``).  The stream's checkpoint (under
 the shared checkpoint folder) remembers which files were processed, so a
 re-run with ``availableNow`` picks up only files that arrived since; a batch
 replayed after a failure finds its rows already stored and adds nothing.
@@ -14,17 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata.operators.incremental import IncrementalVault
-from strata.operators.vault import build_link, seismic_sat
+from strata.operators.vault import build_link, rejects, seismic_sat
 from strata.sources.readings import clean_readings
 
 
 def load_readings_stream(spark: SparkSession, input_dir: str, schema: T.StructType | str,
                          vault_root: str, checkpoint: str, load_ts: str,
-                         max_files_per_trigger: int = 1000, dedupe: bool = True,
-                         keep_source_timestamp: bool = True) -> dict:
+                         max_files_per_trigger: int = 1000, keep_source_timestamp: bool = True) -> dict:
     """Process every file not yet seen under ``input_dir``; returns progress info."""
     vault = IncrementalVault(vault_root)
-    added = {"batches": 0, "link_survey_well": 0, "sat_seismic_data": 0}
+    added = {"batches": 0, "link_survey_well": 0, "sat_seismic_data": 0, "rejects": 0}
 
     def process(batch: DataFrame, batch_id: int) -> None:
         readings = clean_readings(batch)
@@ -32,8 +31,9 @@ def load_readings_stream(spark: SparkSession, input_dir: str, schema: T.StructTy
             "link_survey_well": build_link(readings, "survey_id", "well_id", load_ts),
             "sat_seismic_data": seismic_sat(readings, load_ts,
                                             keep_source_timestamp=keep_source_timestamp),
+            "rejects": rejects(readings, ["survey_id", "well_id"], "link_survey_well"),
         }
-        res = vault.load(batch.sparkSession, tables, dedupe=dedupe)
+        res = vault.load(batch.sparkSession, tables)
         added["batches"] += 1
         for k, v in res.items():
             added[k] += v
