@@ -152,7 +152,7 @@ def mart_sensor_analysis(facts: DataFrame) -> DataFrame:
     return _keys_present(facts, "survey_type").groupBy("survey_type").agg(*_metrics())
 
 
-def wells_surveyed(vault: dict[str, DataFrame]) -> DataFrame:
+def wells_surveyed(vault: dict[str, DataFrame], approximate: bool = False) -> DataFrame:
     """Distinct wells per survey id, from the link table (not from readings).
 
     ``count_distinct`` dedups (survey, well) pairs itself (map-side, then a
@@ -164,7 +164,7 @@ def wells_surveyed(vault: dict[str, DataFrame]) -> DataFrame:
     return (link.join(hub_survey, "hub_survey_key")
                 .where(F.col("survey_type_id").isNotNull())
                 .groupBy("survey_type_id")
-                .agg(F.count_distinct("hub_well_key").alias("wells_surveyed_count")))
+                .agg((F.approx_count_distinct if approximate else F.count_distinct)("hub_well_key").alias("wells_surveyed_count")))
 
 
 def ts_text(c: Column) -> Column:

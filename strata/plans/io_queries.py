@@ -231,8 +231,8 @@ SELECT 'mart_sensor_analysis' AS table_name, count(*) AS row_count FROM ({MART_S
 UNION ALL SELECT 'mart_survey_summary', count(*) FROM ({MART_SURVEY_SQL})
 UNION ALL SELECT 'mart_well_performance', count(*) FROM ({MART_WELL_SQL})"""))
 def q_catalog_marts(spark, sf_dir):
-    """Marts registered for SQL tools and found again by name pattern."""
-    ST.register_views(stored_marts(spark, sf_dir))
+    """Marts saved as catalog tables for SQL tools and found again by name pattern."""
+    ST.save_tables(stored_marts(spark, sf_dir), scratch_dir(spark, "catalog"))
     names = ST.list_tables(spark, "mart_*")
     return C.table_counts({n: spark.table(n) for n in names if n in M.MART_NAMES})
 

@@ -71,5 +71,11 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def save_tables(tables: dict[str, DataFrame], root: str) -> None:
+    """Catalog tables with their files below ``root``: computed once, for tools that query them often."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("path", f"{root.rstrip('/')}/{name}").saveAsTable(name)
+
+
 def list_tables(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(pattern=pattern))
