@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import scratch_dir
+from strata.session import scratch_dir, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -20,20 +21,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     Later jobs then read finished files instead of recomputing the lineage,
     and a lost executor loses nothing.
     """
+    ship_package(df.sparkSession)
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_cut(df: DataFrame) -> None:
-    """Delete the files under a frame made by ``cut`` that no later plan reads."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(folder)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def quoted(names: list[str]) -> list[Column]:
     """Columns by their literal names, dots and all."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
@@ -62,6 +55,7 @@ def add_columns(df: DataFrame, inputs: list[str], fields: str, fn) -> DataFrame:
     ``fn`` gets one Arrow array per input and returns one Arrow array per field
     of the DDL string ``fields``.  Existing columns of the same names give way.
     """
+    ship_package(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     kept = [c for c in df.columns if c not in new.names]
     schema = T.StructType([T.StructField(f.name, f.dataType) for c in kept for f in [df.schema[c]]] + list(new))

@@ -96,4 +96,4 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup)}
 
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op9_url_filter": url_filter.oracle(URL_RULES)}

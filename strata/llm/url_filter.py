@@ -136,3 +136,43 @@ def junk_outcome(html: Column, share: float = 0.25) -> Column:
     marks = F.regexp_count(html, F.lit(r"%%%|\$\$\$|\*\*\*|###|&amp;&amp;&amp;"))
     words = F.regexp_count(html, F.lit(" ")) + 1
     return F.when(html.isNotNull(), (marks >= share * words).cast("bigint"))
+
+
+def oracle(rules: Sequence[tuple[str, str, str]], share: float = 0.25, z: float = 1.645, threshold: float = 0.5) -> str:
+    """``filter_urls`` over ``pages`` with ``junk_outcome`` as the label, as DuckDB SQL."""
+    long_suffixes = ", ".join(f"'{s}'" for s in LONG_SUFFIXES)
+    values = ", ".join(f"('{h + p}', '{h}', '{p}', '{v}')" for v, h, p in rules)
+
+    def level(name: str, nodes: str) -> str:
+        """Posterior of one level; ``nodes`` gives node, n, k and the parent's mean m."""
+        return f"""
+{name}_n AS ({nodes}),
+{name}_s AS (SELECT CASE WHEN w IS NULL OR w = 0 THEN {STRENGTH_MAX}
+                         ELSE 1 / least(greatest((q - v) / w, 1 / {STRENGTH_MAX + 1}), 1 / {STRENGTH_MIN + 1}) - 1 END AS s
+  FROM (SELECT sum(n * pow(k / n - m, 2)) AS q, sum(m * (1 - m)) AS v, sum(m * (1 - m) * (n - 1)) AS w FROM {name}_n WHERE n > 0)),
+{name} AS (SELECT *, (k + s * m) / (n + s) AS mean, n + s AS total FROM {name}_n, {name}_s)"""
+
+    return f"""
+WITH p AS (SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    CASE WHEN html IS NOT NULL THEN CAST(len(regexp_extract_all(html, '%%%|\\$\\$\\$|\\*\\*\\*|###|&amp;&amp;&amp;'))
+      >= {share} * (len(html) - len(replace(html, ' ', '')) + 1) AS BIGINT) END AS bad FROM pages),
+h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS k, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS parts FROM p GROUP BY host),
+h1 AS (SELECT *, array_to_string(parts[-1:], '.') AS l1, array_to_string(parts[-2:], '.') AS l2, array_to_string(parts[-3:], '.') AS l3 FROM h0),
+hosts AS (SELECT host, n, k, CASE WHEN l2 IN ({long_suffixes}) THEN l3 ELSE l2 END AS domain,
+                 CASE WHEN l2 IN ({long_suffixes}) THEN l2 ELSE l1 END AS suffix FROM h1),
+root AS (SELECT (coalesce(sum(k), 0) + 0.5) / (coalesce(sum(n), 0) + 1) AS m FROM hosts),
+{level("sfx", "SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(m) AS m FROM hosts, root GROUP BY suffix")},
+{level("dom", "SELECT d.*, x.mean AS m FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL) d JOIN sfx x USING (suffix)")},
+{level("hst", "SELECT h.*, x.mean AS m FROM hosts h JOIN dom x USING (domain, suffix)")},
+rep AS (SELECT host, mean, mean - {z} * sqrt(mean * (1 - mean) / (total + 1)) AS bound FROM hst),
+rules AS (SELECT * FROM (VALUES {values}) t(rule, rule_host, rule_path, rule_verdict)),
+best AS (SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, arg_max(rule_verdict, length(rule)) AS rule_verdict
+  FROM (SELECT DISTINCT page_id, host, path FROM p)
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY ALL)
+SELECT p.page_id, p.host, p.path, best.rule,
+       coalesce(best.rule_verdict, CASE WHEN rep.bound > {threshold} THEN 'block' ELSE 'allow' END) AS verdict,
+       round(rep.mean, 6) AS bad_rate, round(rep.bound, 6) AS bad_bound
+FROM p JOIN rep USING (host) LEFT JOIN best ON p.page_id IS NOT DISTINCT FROM best.page_id AND p.host = best.host AND p.path = best.path
+"""
