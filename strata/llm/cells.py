@@ -65,3 +65,16 @@ def roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         if np.array_equal(new, root):
             return root
         root = new
+
+
+class Connected:
+    """Which of ``n`` points are connected, by links that arrive in portions; only one portion is held at a time."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        a, b = self.root[i], self.root[j]
+        apart = a != b
+        if apart.any():
+            self.root = roots(a[apart], b[apart], len(self.root))[self.root]

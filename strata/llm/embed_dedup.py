@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.cells import query_tiles, roots
+from strata.llm.cells import Connected, query_tiles
 from strata.llm.common import cut
 from strata.llm.components import components
 
 THRESHOLD, TARGET = 0.98, 0.99
 SAMPLE, CELL, MAX_CODES, CAP = 4096, 2048, 128, 2048
-STRIP = 512
+STRIP = 256
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -153,7 +153,8 @@ def _tile(threshold: float):
         ks, kq = s["vkey"].to_numpy(), q["vkey"].to_numpy()
         ws, wq, home = s["weight"].to_numpy(), q["weight"].to_numpy(), q["home"].to_numpy()
         got_q, got_s = np.zeros(len(q), np.int64), np.zeros(len(s), np.int64)
-        left, right = [], []
+        keys, code = np.unique(np.concatenate([kq, ks]), return_inverse=True)
+        known = Connected(len(keys))
         for a in range(0, len(q), STRIP):
             i, j = np.nonzero((xq[a : a + STRIP] @ xs.T >= threshold) & (kq[a : a + STRIP, None] != ks))
             i += a
@@ -161,11 +162,8 @@ def _tile(threshold: float):
             # The stored vector meets this one again as a query, unless it does not visit this one's cell.
             once = ~(seen[j] == home[i][:, None]).any(1)
             got_s += np.bincount(j[once], wq[i[once]], len(s)).astype(np.int64)
-            left.append(i)
-            right.append(j)
-        i, j = np.concatenate(left), np.concatenate(right)
-        keys, code = np.unique(np.concatenate([kq, ks]), return_inverse=True)
-        root = roots(code[i], code[len(q) + j], len(keys))
+            known.link(code[i], code[len(q) + j])
+        root = known.root
         links = np.bincount(code, np.concatenate([got_q, got_s]), len(keys)).astype(np.int64)
         out = np.flatnonzero((links > 0) | (root != np.arange(len(keys))))
         return pd.DataFrame({"node": keys[out], "links": links[out], "root": keys[root[out]]})

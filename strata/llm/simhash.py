@@ -38,15 +38,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.cells import pair_tiles, roots
+from strata.llm.cells import Connected, pair_tiles
 from strata.llm.common import add_columns, aside, cut
 from strata.llm.components import components
 from strata.llm.tokens import groups
 
 SHINGLE, DISTANCE, BLOCKS = 4, 4, 3
 LEAF, SAMPLE, MAX_DEPTH = 4096, 4096, 20
-#: Rows compared at a time inside a tile.
-STRIP = 512
+#: Pairs compared at a time inside a tile.
+STRIP_PAIRS = 1 << 20
 
 
 def shingle_hashes(text: str | None, k: int = SHINGLE) -> list[int]:
@@ -123,8 +123,8 @@ class Forest:
         return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray | None, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (into a, into b) at ``distance`` or fewer bits; without ``b``, pairs inside a.
+def linked_pairs(a: np.ndarray, b: np.ndarray | None, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (into a, into b) at ``distance`` or fewer bits, in portions; without ``b``, pairs inside a.
 
     Both sides are ordered by their number of set bits, that is their distance
     from zero, which differs by no more than ``distance`` between linked ones.
@@ -134,33 +134,31 @@ def linked_pairs(a: np.ndarray, b: np.ndarray | None, distance: int) -> tuple[np
     ca, cb = np.bitwise_count(a), np.bitwise_count(b)
     oa, ob = np.argsort(ca, kind="stable"), np.argsort(cb, kind="stable")
     ca, cb, sa, sb = ca[oa].astype(np.int64), cb[ob].astype(np.int64), a[oa], b[ob]
-    left, right = [], []
-    for s in range(0, len(sa), STRIP):
-        e = min(s + STRIP, len(sa))
+    strip = max(16, STRIP_PAIRS // max(1, len(sb)))
+    for s in range(0, len(sa), strip):
+        e = min(s + strip, len(sa))
         lo = s if own else int(np.searchsorted(cb, ca[s] - distance, "left"))
         hi = int(np.searchsorted(cb, ca[e - 1] + distance, "right"))
         i, j = np.nonzero(np.bitwise_count(sa[s:e, None] ^ sb[None, lo:hi]) <= distance)
-        left.append(oa[s + i])
-        right.append(ob[lo + j])
-    i, j = np.concatenate(left or [oa[:0]]), np.concatenate(right or [ob[:0]])
-    return (i[i != j], j[i != j]) if own else (i, j)
+        yield oa[s + i], ob[lo + j]
 
 
 def _tile(distance: int):
     def run(tile: pd.DataFrame) -> pd.DataFrame:
         fps = tile["fp"].to_numpy().view(np.uint64)
         ti, tj = tile["ti"].iat[0], tile["tj"].iat[0]
+        known = Connected(len(fps))
         if ti == tj:
-            i, j = linked_pairs(fps, None, distance)
+            for i, j in linked_pairs(fps, None, distance):
+                known.link(i, j)
         else:
             one = np.flatnonzero(tile["chunk"].to_numpy() == ti)
             two = np.flatnonzero(tile["chunk"].to_numpy() == tj)
-            i, j = linked_pairs(fps[one], fps[two], distance)
-            i, j = one[i], two[j]
-        root = roots(i, j, len(fps))
-        node = np.flatnonzero(root != np.arange(len(fps)))
+            for i, j in linked_pairs(fps[one], fps[two], distance):
+                known.link(one[i], two[j])
+        node = np.flatnonzero(known.root != np.arange(len(fps)))
         signed = fps.view(np.int64)
-        return pd.DataFrame({"a": signed[node], "b": signed[root[node]]})
+        return pd.DataFrame({"a": signed[node], "b": signed[known.root[node]]})
     return run
 
 
@@ -202,13 +200,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs``, one of each component: that of least key (of equal keys, one with the least fingerprint)."""
+    """The rows of ``docs``, one of each component: that of least key (of equal keys, one with the least fingerprint, and one of these)."""
     docs, columns = aside(docs, ("fp",))
-    marked = cut(with_fingerprint(docs, text, shingle).withColumnRenamed("fp", "__sh_fp"), "documents-marked")
-    thin = marked.select(key, F.col("__sh_fp").alias("fp"))
-    first = (thin.join(fingerprint_groups(thin, key, distance).select("fp", "root"), "fp")
-             .groupBy("root").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("fp").alias("fp"))).alias("m"))
-             .select(F.col("m.id").alias("__sh_id"), F.col("m.fp").alias("__sh_of")))
-    # A component's first row is found by key and fingerprint together: many rows may share a fingerprint, few share both.
-    kept = marked.join(cut(first, "first-of-group"), (F.col("__sh_fp") == F.col("__sh_of")) & F.col(key).eqNullSafe(F.col("__sh_id")), "left_semi")
-    return kept.dropDuplicates(["__sh_fp", key]).select(*columns)
+    marked = with_fingerprint(docs, text, shingle).withColumnRenamed("fp", "__sh_fp")
+    # Row numbers are fixed once they are written.
+    marked = cut(marked.withColumn("__sh_row", F.monotonically_increasing_id()), "documents-marked")
+    thin = marked.select(key, F.col("__sh_fp").alias("fp"), "__sh_row")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "fp", F.col("__sh_row").alias("row"))
+    first = thin.join(fingerprint_groups(thin, key, distance).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("m"))
+    kept = marked.join(cut(first.select(F.col("m.row").alias("__sh_row")), "first-of-group"), "__sh_row", "left_semi")
+    return kept.select(*columns)
