@@ -12,7 +12,10 @@ How counts reach the tokens: texts are read in blocks.  A block asks for the
 counts of its distinct words and word pairs only, as sorted 64-bit keys; keys
 are dealt into ranges, each range adds up what all blocks contribute and
 answers every block in the order of its question.  A word that makes up a third
-of all tokens is one key per block.  The EM sees a table of rounded log
+of all tokens is one key per block.  The texts themselves, as token ids, are
+sent only once, to where the answers to their block arrive: the input is read
+in two branches that cut it into the same blocks, which a checksum per block
+verifies.  The EM sees a table of rounded log
 estimates whose size is fixed; everything counted covers all texts.
 
 Defined results: a NULL text is an empty one, which is just its end token;
@@ -37,9 +40,12 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import cut, shuffle_partitions
 from strata.llm.tokens import groups
+from strata.session import ship_package
 
 END, START = b"\n", b"\n\n"  # no word holds white space
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 23
+#: Bits of a pair's key that are sent: two of n pairs share a key with a chance of n^2 / 2^57.
+PAIR_BITS = 56
 #: Context buckets by power of two; steps per octave and size of the table of log estimates.
 BUCKETS, STEPS_2, GRID_2, STEPS_1, GRID_1 = 20, 4, 96, 4, 192
 ROUNDS, LEAST_WEIGHT = 60, 1e-6
@@ -100,11 +106,15 @@ class Block:
         distinct, which = np.unique(code, return_inverse=True)
         context, word = distinct // n, distinct % n
         keys = pair_keys(np.append(self.keys, np.uint64(_hash(START)))[context], self.keys[word])
-        order = np.argsort(keys)
+        keys >>= np.uint64(64 - PAIR_BITS)
+        order = np.argsort(keys, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         return context[order], rank[which], keys[order]
 
+    def check(self) -> int:
+        return xxhash.xxh64_intdigest(self.keys.tobytes() + self.sizes.tobytes()) >> 1
+
     def dump(self) -> bytes:
         return pickle.dumps((self.doc_ids, self.held_out, self.sizes, _pack(self.ids), _pack(self.keys)))
 
@@ -114,59 +124,71 @@ class Block:
         return cls(doc_ids, held_out, sizes, _unpack(ids, np.uint32), _unpack(keys))
 
 
-_SENT = pa.schema([("dest", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("word_n", pa.binary()),
-                   ("pairs", pa.binary()), ("pair_n", pa.binary()), ("texts", pa.binary())])
-_SENT_DDL = "dest int, block bigint, words binary, word_n binary, pairs binary, pair_n binary, texts binary"
+_ASKED = pa.schema([("dest", pa.int32()), ("block", pa.int64()), ("check", pa.int64()), ("words", pa.binary()), ("word_n", pa.binary()),
+                    ("pairs", pa.binary()), ("pair_n", pa.binary())])
+_ASKED_DDL = "dest int, block bigint, check bigint, words binary, word_n binary, pairs binary, pair_n binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Block]]:
+    """(number, block) of one partition's texts; a partition read again gives the same blocks."""
+    number = TaskContext.get().partitionId() << 24
+    for batch in batches:
+        ids, held, texts = (batch.column(i).to_pylist() for i in range(3))
+        for part in groups(texts, BLOCK_CHARS):
+            yield number, Block.read(ids[part], np.array(held[part], bool), texts[part])
+            number += 1
 
 
 def _ask(ranges: int):
-    """Per block: one row with its texts, and for every key range one row with the block's keys and training counts."""
-    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    """Per block and key range one row with the block's keys and training counts."""
+    word_edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    pair_edges = np.array([(i << PAIR_BITS) // ranges for i in range(1, ranges)], np.uint64)
+
+    def steps(keys: np.ndarray) -> bytes:
+        return _pack(np.diff(keys, prepend=np.uint64(0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 24
-        for batch in batches:
-            ids, held, texts = (batch.column(i).to_pylist() for i in range(3))
-            for part in groups(texts, BLOCK_CHARS):
-                b = Block.read(ids[part], np.array(held[part], bool), texts[part])
-                _, which, pair_key = b.pairs()
-                train = np.repeat(~b.held_out, b.sizes)
-                word_n = np.bincount(b.ids[train], minlength=len(b.keys)).astype(np.uint64)
-                pair_n = np.bincount(which[train], minlength=len(pair_key)).astype(np.uint64)
-                w, p = (np.concatenate([[0], np.searchsorted(k, edges), [len(k)]]) for k in (b.keys, pair_key))
-                rows = [(block % ranges, block, None, None, None, None, b.dump())]
-                for r in range(ranges):
-                    ws, ps = slice(w[r], w[r + 1]), slice(p[r], p[r + 1])
-                    rows.append((r, block, _pack(b.keys[ws]), _pack(word_n[ws]), _pack(pair_key[ps]), _pack(pair_n[ps]), None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
-                block += 1
+        for number, b in _blocks(batches):
+            _, which, pair_key = b.pairs()
+            train = np.repeat(~b.held_out, b.sizes)
+            word_n = np.bincount(b.ids[train], minlength=len(b.keys)).astype(np.uint64)
+            pair_n = np.bincount(which[train], minlength=len(pair_key)).astype(np.uint64)
+            w, p = (np.concatenate([[0], np.searchsorted(k, e), [len(k)]]) for k, e in ((b.keys, word_edges), (pair_key, pair_edges)))
+            rows = []
+            for r in range(ranges):
+                ws, ps = slice(w[r], w[r + 1]), slice(p[r], p[r + 1])
+                rows.append((r, number, b.check(), steps(b.keys[ws]), _pack(word_n[ws]), steps(pair_key[ps]), _pack(pair_n[ps])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)], schema=_ASKED)
     return run
 
 
-def _answer(rows: pd.DataFrame) -> pd.DataFrame:
-    """For one key range: the total counts, per block in the order of its keys; texts pass on; the range's totals as block -1."""
-    asked = rows[rows["texts"].isna()]
+def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block one row with its texts."""
+    for number, b in _blocks(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([b.check()], pa.int64()), pa.array([b.dump()], pa.binary())],
+                                         ["block", "check", "texts"])
+
+
+def _answer(asked: pd.DataFrame) -> pd.DataFrame:
+    """For one key range: the total counts, per block in the order of its keys; the range's own totals as a block of negative number."""
     totals, n_tokens, n_words = {}, 0, 0
     for key, count in (("words", "word_n"), ("pairs", "pair_n")):
-        keys = [_unpack(x) for x in asked[key]]
-        distinct, which = np.unique(np.concatenate(keys), return_inverse=True) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        keys = [np.cumsum(_unpack(x), dtype=np.uint64) for x in asked[key]]
+        distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.zeros(len(distinct), np.uint64)
-        if keys:
-            np.add.at(sums, which, np.concatenate([_unpack(x) for x in asked[count]]))
+        np.add.at(sums, which, np.concatenate([_unpack(x) for x in asked[count]]))
         if key == "words":
             n_tokens, n_words = int(sums.sum()), int((sums > 0).sum())
         at = np.cumsum([0, *map(len, keys)])
         totals[key] = [_pack(sums[which[a:b]]) for a, b in zip(at[:-1], at[1:])]
-    parts = [pd.DataFrame({"block": asked["block"].to_numpy(), "dest": asked["dest"].to_numpy(), "word_n": totals["words"], "pair_n": totals["pairs"], "texts": None,
-                           "n_tokens": 0, "n_words": 0}),
-             rows.loc[~rows["texts"].isna(), ["block", "dest", "texts"]].assign(word_n=None, pair_n=None, n_tokens=0, n_words=0)]
-    if n_words:
-        parts.append(pd.DataFrame({"block": [-1 - int(rows["dest"].iat[0])], "dest": [0], "word_n": [None], "pair_n": [None], "texts": [None],
-                                   "n_tokens": [n_tokens], "n_words": [n_words]}))
-    return pd.concat([p for p in parts if len(p)])[["block", "dest", "word_n", "pair_n", "texts", "n_tokens", "n_words"]]
+    out = pd.DataFrame({"block": asked["block"], "check": asked["check"], "dest": asked["dest"], "word_n": totals["words"], "pair_n": totals["pairs"],
+                        "n_tokens": 0, "n_words": 0})
+    own = pd.DataFrame({"block": [-1 - int(asked["dest"].iat[0])], "check": [0], "dest": [0], "word_n": [b""], "pair_n": [b""],
+                        "n_tokens": [n_tokens], "n_words": [n_words]})
+    return pd.concat([out, own])
 
 
-_ANSWER_DDL = "block bigint, dest int, word_n binary, pair_n binary, texts binary, n_tokens bigint, n_words bigint"
+_ANSWER_DDL = "block bigint, check bigint, dest int, word_n binary, pair_n binary, n_tokens bigint, n_words bigint"
 
 
 def bucket(context_n: np.ndarray) -> np.ndarray:
@@ -182,24 +204,25 @@ def _counts(b: Block, word_n: np.ndarray, pair_n: np.ndarray) -> tuple[np.ndarra
     return word_n[b.ids].astype(np.int64), pair_n[which].astype(np.int64), context_n[which].astype(np.int64)
 
 
-def _join(rows: pd.DataFrame) -> pd.DataFrame:
+def _join(told: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
     """One block: its texts and counts in one row, with its table of estimates that leave out the token itself."""
-    texts = rows["texts"].dropna()
-    if not len(texts):  # the totals of a range
-        out = rows[["n_tokens", "n_words"]].head(1).assign(texts=None, word_n=None, pair_n=None, table=[[]])
-        return out[["texts", "word_n", "pair_n", "n_tokens", "n_words", "table"]]
-    told = rows[rows["texts"].isna()].sort_values("dest")
+    if len(told) and told["block"].iat[0] < 0:  # the totals of a range
+        return told[["n_tokens", "n_words"]].head(1).assign(texts=None, word_n=None, pair_n=None, table=[[]])[_JOINED]
+    if len(kept) != 1 or not len(told) or (told["check"] != kept["check"].iat[0]).any():
+        raise RuntimeError("the two branches did not cut the input into the same blocks; give score() a stored table")
+    told, texts = told.sort_values("dest"), kept["texts"].iat[0]
     word_n, pair_n = (np.concatenate([_unpack(x) for x in told[c]]) for c in ("word_n", "pair_n"))
-    b = Block.load(texts.iat[0])
+    b = Block.load(texts)
     train = np.repeat(~b.held_out, b.sizes)
     w, p, c = (x[train] - 1 for x in _counts(b, word_n, pair_n))
     two = np.where(p > 0, 1 + np.minimum((-np.log2(np.maximum(p, 1) / np.maximum(c, 1)) * STEPS_2).round(), GRID_2 - 2), 0).astype(np.int64)
     one = np.where(w > 0, 1 + np.minimum((np.log2(np.maximum(w, 1)) * STEPS_1).round(), GRID_1 - 2), 0).astype(np.int64)
     cell, n = np.unique((bucket(c) * GRID_2 + two) * GRID_1 + one, return_counts=True)
     table = [{"cell": x, "n": y} for x, y in zip(cell.tolist(), n.tolist())]
-    return pd.DataFrame({"texts": [texts.iat[0]], "word_n": [_pack(word_n)], "pair_n": [_pack(pair_n)], "n_tokens": [0], "n_words": [0], "table": [table]})
+    return pd.DataFrame({"texts": [texts], "word_n": [_pack(word_n)], "pair_n": [_pack(pair_n)], "n_tokens": [0], "n_words": [0], "table": [table]})
 
 
+_JOINED = ["texts", "word_n", "pair_n", "n_tokens", "n_words", "table"]
 _JOIN_DDL = "texts binary, word_n binary, pair_n binary, n_tokens bigint, n_words bigint, table array<struct<cell:bigint,n:bigint>>"
 
 
@@ -251,11 +274,16 @@ def _score(weights: np.ndarray, n_tokens: int, n_words: int):
 
 
 def score(docs: DataFrame, held_out: Column, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per text: log10 probabilities under the mixture (score) and under the add-0.5 unigram model (base_score)."""
+    """One row per text: log10 probabilities under the mixture (score) and under the add-0.5 unigram model (base_score).
+
+    ``docs`` is a stored table, or a narrow projection of one.
+    """
+    ship_package(docs.sparkSession)
     ranges = 4 * shuffle_partitions(docs.sparkSession)
-    sent = docs.select(F.col(key).cast("bigint"), held_out, F.col(text)).mapInArrow(_ask(ranges), _SENT_DDL)
-    told = sent.groupBy("dest").applyInPandas(_answer, _ANSWER_DDL)
-    ready = cut(told.groupBy("block").applyInPandas(_join, _JOIN_DDL), "lm-blocks")
+    read = docs.select(F.col(key).cast("bigint"), held_out, F.col(text))
+    told = read.mapInArrow(_ask(ranges), _ASKED_DDL).groupBy("dest").applyInPandas(_answer, _ANSWER_DDL)
+    kept = read.mapInArrow(_keep, "block bigint, check bigint, texts binary")
+    ready = cut(told.groupBy("block").cogroup(kept.groupBy("block")).applyInPandas(_join, _JOIN_DDL), "lm-blocks")
     n_tokens, n_words = ready.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     # At most BUCKETS * GRID_2 * GRID_1 rows, whatever the corpus.
     table = ready.select(F.explode("table").alias("t")).groupBy("t.cell").agg(F.sum("t.n")).collect()
