@@ -43,7 +43,7 @@ from strata.llm.tokens import groups
 from strata.session import ship_package
 
 END, START = b"\n", b"\n\n"  # no word holds white space
-BLOCK_CHARS = 1 << 23
+BLOCK_CHARS = 1 << 22
 #: Bits of a pair's key that are sent: two of n pairs share a key with a chance of n^2 / 2^57.
 PAIR_BITS = 56
 #: Context buckets by power of two; steps per octave and size of the table of log estimates.
@@ -116,12 +116,18 @@ class Block:
         return xxhash.xxh64_intdigest(self.keys.tobytes() + self.sizes.tobytes()) >> 1
 
     def dump(self) -> bytes:
-        return pickle.dumps((self.doc_ids, self.held_out, self.sizes, _pack(self.ids), _pack(self.keys)))
+        """The block in bytes; ids as ranks by frequency, whose upper bytes are mostly 0, and keys as steps."""
+        by_count = np.argsort(-np.bincount(self.ids, minlength=len(self.keys)), kind="stable").astype(np.uint32)
+        rank = np.empty_like(by_count)
+        rank[by_count] = np.arange(len(by_count), dtype=np.uint32)
+        return pickle.dumps((self.doc_ids, self.held_out, self.sizes, _pack(rank[self.ids]), _pack(by_count),
+                             _pack(np.diff(self.keys, prepend=np.uint64(0)))))
 
     @classmethod
     def load(cls, data: bytes) -> Block:
-        doc_ids, held_out, sizes, ids, keys = pickle.loads(data)
-        return cls(doc_ids, held_out, sizes, _unpack(ids, np.uint32), _unpack(keys))
+        doc_ids, held_out, sizes, ranks, by_count, steps = pickle.loads(data)
+        ids = _unpack(by_count, np.uint32)[_unpack(ranks, np.uint32)]
+        return cls(doc_ids, held_out, sizes, ids, np.cumsum(_unpack(steps), dtype=np.uint64))
 
 
 _ASKED = pa.schema([("dest", pa.int32()), ("block", pa.int64()), ("check", pa.int64()), ("words", pa.binary()), ("word_n", pa.binary()),
