@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import ship_package
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -91,6 +93,7 @@ def update_ledger(texts: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
     run is one folder: a job that fails half-way leaves none.
     """
     spark = texts.sparkSession
+    ship_package(spark)
     keys = F.array(*[F.lit(r.key) for r in rules])
     blobs = texts.select(F.coalesce(F.col(text), F.lit("")).alias("text")).distinct().select(blob_id(F.col("text")).alias("blob_id"), "text")
     known = _ledger(spark, ledger_path)
