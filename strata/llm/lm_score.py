@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, shuffle_partitions
-from strata.llm.tokens import groups
+from strata.llm.tokens import distinct, groups
 from strata.session import ship_package
 
 END, START = b"\n", b"\n\n"  # no word holds white space
@@ -91,7 +91,7 @@ class Block:
     @classmethod
     def read(cls, doc_ids: list, held_out: np.ndarray, texts: list) -> Block:
         lists = [tokenize(t) for t in texts]
-        codes, names = pd.factorize(np.array([w for x in lists for w in x], dtype=object))
+        codes, names = distinct([w for x in lists for w in x])
         hashes = np.array([_hash(w) for w in names], np.uint64)
         keys, rank = np.unique(hashes, return_inverse=True)
         return cls(doc_ids, held_out, np.array([len(x) for x in lists], np.int64), rank[codes].astype(np.uint32), keys)

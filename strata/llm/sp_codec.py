@@ -27,12 +27,11 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strata.llm.common import add_columns
-from strata.llm.tokens import groups
+from strata.llm.tokens import distinct, groups
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -218,7 +217,7 @@ def encode(voc: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.nda
     """(ids, offsets) of all texts; a NULL text counts as an empty one."""
     marked = [MARK + t.replace(" ", MARK) if t else "" for t in texts]
     lists = [(_WORDS.findall(t) if voc.splits_at_marks else [t]) if t else [] for t in marked]
-    codes, names = pd.factorize(np.array([w for x in lists for w in x], dtype=object)) if any(lists) else (np.zeros(0, np.int64), [])
+    codes, names = distinct([w for x in lists for w in x])
     ids, offsets = split_words(voc, [w.encode() for w in names])
     sizes = np.diff(offsets)[codes]
     ends = np.append(0, np.cumsum(sizes))

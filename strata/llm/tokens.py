@@ -6,7 +6,6 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import xxhash
 
 WORD = re.compile(r"\w+")
@@ -26,9 +25,20 @@ def groups(texts: Sequence, budget: int = GROUP_CHARS) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def distinct(words: Sequence) -> tuple[np.ndarray, list]:
+    """(codes, names): for each word its index among the distinct ones, and these in order of appearance.
+
+    A dictionary, since pandas' hash table ends strings at a NUL character.
+    """
+    index = dict.fromkeys(words)
+    for i, w in enumerate(index):
+        index[w] = i
+    return np.fromiter(map(index.__getitem__, words), np.int64, len(words)), list(index)
+
+
 def word_hashes(words: Sequence) -> tuple[np.ndarray, np.ndarray]:
     """(codes, hashes): for each word its index among the distinct ones, and their XXH64."""
-    codes, names = pd.factorize(np.asarray(words, dtype=object)) if len(words) else (np.zeros(0, np.int64), [])
+    codes, names = distinct(words)
     return codes, np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in names), np.uint64, len(names))
 
 
