@@ -1,10 +1,10 @@
 """Benchmark decontamination by spaced seeds (operator 6).
 
-Each fixed mask picks some of a dozen consecutive words and ignores the rest,
+Each fixed mask picks six of nine or ten consecutive words and ignores the rest,
 so a replaced word leaves some seed around it whole.  Seeds of the benchmark
 are hashed into a sorted index; seeds of every position of every document are
 looked up in it.  Each hit names a document, an item and an alignment; along
-that alignment the best stretch is found that keeps at least ``IDENTITY`` of
+that alignment the longest stretch is found that keeps at least ``IDENTITY`` of
 its words, and it counts when it covers ``MIN_WORDS`` words or the whole item
 if that is shorter.
 
@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import add_columns
 from strata.llm.tokens import groups, hashed_words
 
-# Fixed masks: 1 a word that must be equal, 0 one that is ignored.
-MASKS = ("111010010111", "110110101011", "101101110011", "111100001111")
-SPAN = 12
+# Fixed masks: 1 a word that must be equal, 0 one that is ignored.  Of any 13 words with two replaced,
+# and of any 16 with three replaced, at least one mask at one place has none of the replaced ones.
+MASKS = ("111110001", "101001111", "1100011011", "111001101")
+SPAN = 10
 MIN_WORDS, IDENTITY, LEAST_ITEM = 13, 0.8, 5
 #: Words of benchmark items per block: each block is one pass and one broadcast of a bounded size.
 BLOCK_WORDS = 1 << 20
@@ -84,12 +85,18 @@ class Index:
         return self
 
 
-def _best(same: np.ndarray) -> tuple[int, int]:
-    """The stretch of highest score, a kept word counting 1 and a replaced one IDENTITY / (IDENTITY - 1)."""
-    run = np.concatenate([[0.0], np.cumsum(np.where(same, 1.0, -IDENTITY / (1 - IDENTITY)))])
-    low = np.minimum.accumulate(run)
-    stop = int(np.argmax(run - low))
-    return int(np.argmin(run[: stop + 1])), stop
+def longest_stretch(same: np.ndarray) -> tuple[int, int]:
+    """The longest stretch of which at least IDENTITY is the same.
+
+    With whole-number scores such a stretch is one whose sum is not negative:
+    it ends where the running sum is no lower than at its start.  The earliest
+    start for each end is the first place at which the running minimum is as low.
+    """
+    up = round(1000 * (1 - IDENTITY))
+    run = np.concatenate([[0], np.cumsum(np.where(same, up, up - 1000))])
+    start = np.searchsorted(-np.minimum.accumulate(run), -run, "left")
+    stop = int(np.argmax(np.arange(len(run)) - start))
+    return int(start[stop]), stop
 
 
 def lookup(index: Index, words: np.ndarray, starts: np.ndarray) -> list[set]:
@@ -113,7 +120,7 @@ def lookup(index: Index, words: np.ndarray, starts: np.ndarray) -> list[set]:
                 w = index.items[item[k]]
                 first, last = max(shift, int(starts[d])), min(shift + len(w), int(starts[d + 1]))
                 same = words[first:last] == w[first - shift : last - shift]
-                s, e = _best(same)
+                s, e = longest_stretch(same)
                 if e - s >= min(MIN_WORDS, len(w)):
                     base = first - int(starts[d])
                     found[d].add((index.ids[item[k]], base + s, base + e, int(same[s:e].sum())))

@@ -16,7 +16,7 @@ ODD = [
     (1, None, "en", "a", None), (2, "", "en", "a", 0), (3, " \n\t ", None, "a", 4), (4, "12345 67890", "en", None, 11),
     (5, LONG, "en", "a", len(LONG)), (5, LONG, "en", "a", len(LONG)), (6, LONG, "en", "b", len(LONG)),
     (None, "no id here but quite some words to read", "en", "b", 40), (None, None, None, None, None),
-    (7, "one line only", "en", "c", 13), (8, "x" * 50_000, None, "c", 50_000), (9, "日本語 と emoji 😀 ▁ mixed", "ja", "c", 20),
+    (7, "one line only", "en", "c", 13), (8, "x" * 50_000, None, "c", 50_000), (9, "日本語 と emoji 😀 ▁ mixed ꙮ", "ja", "c", 20),
 ]
 
 
