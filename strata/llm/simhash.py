@@ -208,5 +208,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     thin = marked.select(key, F.col("__sh_fp").alias("fp"), "__sh_row")
     order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "fp", F.col("__sh_row").alias("row"))
     first = thin.join(fingerprint_groups(thin, key, distance).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("m"))
-    kept = marked.join(cut(first.select(F.col("m.row").alias("__sh_row")), "first-of-group"), "__sh_row", "left_semi")
+    # As many row numbers as documents: merged at every size, never broadcast.
+    chosen = cut(first.select(F.col("m.row").alias("__sh_row")), "first-of-group").hint("merge")
+    kept = marked.join(chosen, "__sh_row", "left_semi")
     return kept.select(*columns)
