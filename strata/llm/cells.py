@@ -37,7 +37,8 @@ def pair_tiles(rows: DataFrame, cell: list[str], salt: list[str], cap: int) -> D
     """Tiles in which all rows of a cell meet each other: adds ``chunk`` and the tile's chunks ``ti`` <= ``tj``."""
     known = _parts(rows, cell, {"__n": F.count("*")}, cap).withColumn("chunk", _chunk(salt, F.col("__n")))
     return (known.withColumn("__o", F.explode(_upto(F.col("__n"))))
-            .withColumns({"ti": F.least("chunk", "__o"), "tj": F.greatest("chunk", "__o")}).drop("__n", "__o"))
+            .withColumns({"ti": F.least("chunk", "__o"), "tj": F.greatest("chunk", "__o")}).drop("__n", "__o")
+            .repartition(*cell, "ti", "tj"))
 
 
 def query_tiles(rows: DataFrame, cell: list[str], salt: list[str], cap: int, query: str = "query") -> DataFrame:
@@ -48,7 +49,7 @@ def query_tiles(rows: DataFrame, cell: list[str], salt: list[str], cap: int, que
     ti = F.when(is_query, _upto(s)).otherwise(F.array(_chunk(salt, s)))
     tj = F.when(is_query, F.array(_chunk(salt, q))).otherwise(_upto(q))
     return (known.withColumns({"__i": ti, "__j": tj}).withColumn("ti", F.explode("__i")).withColumn("tj", F.explode("__j"))
-            .drop("__s", "__q", "__i", "__j"))
+            .drop("__s", "__q", "__i", "__j").repartition(*cell, "ti", "tj"))
 
 
 def roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
