@@ -13,6 +13,16 @@ Defined results: a NULL text stays NULL and an empty one empty; a text of one
 line is never touched; rows equal in doc_id and text are one document and keep
 the same lines; a NULL doc_id sorts first; a text of which nothing is left
 becomes empty; other columns pass through.
+
+``dedup_lines`` removes chunks only, so of a repeated passage no more than the
+chunks inside it.  ``dedup_passages`` finds the rest: besides the chunks it removes every passage of two or more lines with words and over
+``PASSAGE_WORDS`` words that stands at an earlier place.  From each line with
+words run the shortest such passage forwards and the shortest backwards; any
+repeated passage is the union of those inside it, and they end where the text
+says, so equal passages give equal spans wherever they stand.  Blank lines
+count for nothing but are part of the text.  A place that overlaps its own
+first place loses only the lines beyond it.  The first of equal lines in the
+corpus always stays, since an earlier passage would hold an earlier one.
 """
 
 from __future__ import annotations
@@ -25,6 +35,10 @@ from strata.llm.common import cut, quoted
 DIVISOR = 3
 #: Multiplier of the older line's hash in the rolling hash of two lines.
 FACTOR = 31
+#: A repeated passage has more words (runs without white space) than this, and two lines with words.
+PASSAGE_WORDS = 50
+#: Packs two line numbers into one bigint.
+SHIFT = 1 << 32
 MADE = ("n_lines", "removed_chunks", "removed_lines")
 
 
@@ -32,8 +46,8 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
 
 
-def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``__ld_parts`` (chunk texts), ``__ld_lines`` (their line counts) and ``__ld_doc`` (text digest)."""
+def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` plus ``__ld_rows`` (lines), ``__ld_spans`` (first line, from 1, and line count of each chunk) and ``__ld_doc`` (text digest)."""
     lined = docs.withColumns({"__ld_rows": F.split(F.col(text), "\n", -1), "__ld_doc": F.md5(text)})
     lined = lined.withColumns({"__ld_hash": F.transform("__ld_rows", line_hash), "__ld_n": F.size("__ld_rows")})
     n, h = F.col("__ld_n"), F.col("__ld_hash")
@@ -49,12 +63,17 @@ def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
     ends = F.col("__ld_ends")
     starts = F.concat(F.array(F.lit(1)), F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda e: e + 1))
     spans = F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("s"), (e - s + 1).alias("n")))
-    lined = lined.withColumn("__ld_spans", spans)
+    return lined.withColumn("__ld_spans", spans).drop("__ld_hash", "__ld_n", "__ld_prop", "__ld_ends")
+
+
+def with_chunks(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` plus ``__ld_parts`` (chunk texts), ``__ld_lines`` (their line counts) and ``__ld_doc`` (text digest)."""
+    lined = with_spans(docs, text)
     rows = F.col("__ld_rows")
     return lined.withColumns({
         "__ld_parts": F.transform("__ld_spans", lambda x: F.array_join(F.slice(rows, x["s"], x["n"]), "\n")),
         "__ld_lines": F.transform("__ld_spans", lambda x: x["n"]),
-    }).drop("__ld_rows", "__ld_hash", "__ld_n", "__ld_prop", "__ld_ends", "__ld_spans")
+    }).drop("__ld_rows", "__ld_spans")
 
 
 def repeated_chunks(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -100,6 +119,74 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     }).select(*quoted([c for c in docs.columns if c.lower() not in MADE]), *MADE)
 
 
+def passage_spans(rows: Column, full: Column) -> Column:
+    """Packed (first line, line count) of the shortest passages; ``full`` holds position and words of the lines with words."""
+    most = PASSAGE_WORDS + 1  # lines with words that a shortest passage can have
+
+    def enough(a: Column) -> Column:
+        return (a["n"] >= 2) & (a["w"] > PASSAGE_WORDS)
+
+    def shortest(lines: Column) -> Column:
+        return F.aggregate(lines, F.struct(F.lit(0).alias("n"), F.lit(0).alias("w")),
+                           lambda a, x: F.when(enough(a), a).otherwise(F.struct((a["n"] + 1).alias("n"), (a["w"] + x["w"]).alias("w"))),
+                           lambda a: F.when(enough(a), a["n"]))
+
+    def packed(first: Column, last: Column) -> Column:
+        return (first + 1).cast("bigint") * SHIFT + (last - first + 1)
+
+    forwards = F.transform(full, lambda x, i: packed(x["i"], F.get(full, i + shortest(F.slice(full, i + 1, F.lit(most))) - 1)["i"]))
+    backwards = F.transform(full, lambda x, i: packed(
+        F.get(full, i - shortest(F.reverse(F.slice(full, F.greatest(i + 2 - most, F.lit(1)), F.least(i + 1, F.lit(most))))) + 1)["i"], x["i"]))
+    return F.filter(F.concat(forwards, backwards), lambda c: c.isNotNull())
+
+
+def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(__ld_key, __ld_of, __ld_gone): the packed first and last lines, from 0, to remove, for documents that lose any.
+
+    Spans meet by the first half of their text's SHA-256, so no text is
+    shuffled; as with chunks nothing is gathered per span.
+    """
+    rows = F.col("__ld_rows")
+    counted = F.transform(rows, lambda r, i: F.struct(i.alias("i"), F.regexp_count(r, F.lit(r"\S+")).alias("w")))
+    lined = with_spans(docs.select(key, text), text).withColumn("__ld_full", F.filter(counted, lambda x: x["w"] > 0))
+    chunks = F.transform(F.filter("__ld_spans", lambda x: x["n"] > 1), lambda x: x["s"].cast("bigint") * SHIFT + x["n"])
+    lined = lined.withColumn("__ld_all", F.array_distinct(F.concat(chunks, passage_spans(rows, F.col("__ld_full")))))
+    # Texts are hashed before the spans become rows: a row holds no lines.
+    spans = F.transform("__ld_all", lambda c: F.struct(
+        (F.shiftright(c, 32).cast("int") - 1).alias("s"), (c % SHIFT).cast("int").alias("n"),
+        F.unhex(F.substring(F.sha2(F.array_join(F.slice(rows, F.shiftright(c, 32).cast("int"), (c % SHIFT).cast("int")), "\n"), 256), 1, 32)).alias("span")))
+    one = lined.select(key, F.unhex("__ld_doc").alias("doc"), F.explode(spans).alias("c"))
+    places = cut(one.select(key, "doc", "c.s", "c.n", "c.span"), "span-places")
+    own = F.struct(key, "doc", "s")
+    first = places.groupBy("span").agg(F.min(own).alias("first"), F.count("*").alias("times")).filter("times > 1").select("span", "first")
+    gone = places.join(first, "span").filter(~own.eqNullSafe(F.col("first")))
+    same = F.col(key).eqNullSafe(F.col("first")[key]) & (F.col("doc") == F.col("first.doc"))
+    start = F.when(same, F.greatest(F.col("s"), F.col("first.s") + F.col("n"))).otherwise(F.col("s"))
+    return (gone.groupBy(key, "doc").agg(F.collect_set(start.cast("bigint") * SHIFT + F.col("s") + F.col("n") - 1).alias("gone"))
+            .select(F.col(key).alias("__ld_key"), F.lower(F.hex("doc")).alias("__ld_of"), F.col("gone").alias("__ld_gone")))
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with repeated passages and chunks cut from the text, plus n_lines and removed_lines (bigint).
+
+    Existing columns of those two names give way.
+    """
+    made = ("n_lines", "removed_lines")
+    gone = repeated_lines(docs, text, key)
+    named = docs.withColumn("__ld_doc", F.md5(text))
+    both = named.join(gone, named[key].eqNullSafe(gone["__ld_key"]) & (named["__ld_doc"] == gone["__ld_of"]), "left")
+    both = both.withColumn("__ld_rows", F.split(F.col(text), "\n", -1))
+    runs = F.transform("__ld_gone", lambda c: F.sequence(F.shiftright(c, 32).cast("int"), (c % SHIFT).cast("int")))
+    both = both.withColumn("__ld_lost", F.coalesce(F.array_distinct(F.flatten(runs)), F.array().cast("array<int>")))
+    rows, lost = F.col("__ld_rows"), F.col("__ld_lost")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(rows) - 1), lost)
+    return both.withColumns({
+        text: F.when(F.size(lost) > 0, F.array_join(F.transform(kept, lambda i: F.get(rows, i)), "\n")).otherwise(F.col(text)),
+        "n_lines": F.coalesce(F.when(rows.isNotNull(), F.size(rows)), F.lit(0)).cast("bigint"),
+        "removed_lines": F.size(lost).cast("bigint"),
+    }).select(*quoted([c for c in docs.columns if c.lower() not in made]), *made)
+
+
 ORACLE = f"""
 WITH d AS (SELECT DISTINCT doc_id, text, md5(text) AS dm FROM documents),
 l AS (SELECT doc_id, dm, unnest(string_split(text, chr(10))) AS ln, generate_subscripts(string_split(text, chr(10)), 1) AS i,

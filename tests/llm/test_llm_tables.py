@@ -234,6 +234,13 @@ def test_pipeline_stages(spark):
     assert all(r.n_chars == len(r.text) for r in rows)
 
 
+def test_line_stage_removes_two_line_passages(spark):
+    two = "\n".join(" ".join(f"w{i}{j}" for j in range(26)) for i in "ab")
+    docs = spark.createDataFrame([(k, f"own head {k}\n{two}\nown tail {k}", 0) for k in range(8)], "doc_id bigint, text string, n_chars bigint")
+    out = {r.doc_id: (r.text, r.n_chars) for r in P.line_dedup_stage(spark, docs, SF).collect()}
+    assert two in out[0][0] and all(out[k] == (f"own head {k}\nown tail {k}", 21) for k in range(1, 8))
+
+
 @pytest.mark.parametrize("k", range(5))
 def test_stages_take_odd_and_empty_tables(spark, odd, empty, k):
     made = ["score", "matches", "fp", "n_lines", "lang_pred"]

@@ -81,6 +81,54 @@ def test_line_dedup_odd_rows(spark, odd, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def brute_passages(docs):
+    """Lines of each (id, text) in a passage of two lines with words and over 50 words that stands at an earlier place, over all passages."""
+    order = sorted(docs, key=lambda x: (x[0], hashlib.md5(x[1].encode()).digest()))
+    first, gone = {}, {x: set() for x in order}
+    for x in order:
+        rows = x[1].split("\n")
+        words = [len(r.split()) for r in rows]
+        for i in range(len(rows)):
+            for j in range(i + 1, len(rows)):
+                if words[i] and words[j] and sum(words[i : j + 1]) > 50:
+                    f, at = first.setdefault(tuple(rows[i : j + 1]), (x, i))
+                    if (f, at) != (x, i):
+                        gone[x] |= set(range(max(i, at + j - i + 1) if f == x else i, j + 1))
+    return gone
+
+
+def brute_lines(docs):
+    """Lines that ``brute_passages`` or the chunk rule removes, as texts of what is left."""
+    gone, seen = brute_passages(docs), set()
+    for x in gone:
+        at = 0
+        for c in brute_chunks(x[1]):
+            if len(c) > 1 and tuple(c) in seen:
+                gone[x] |= set(range(at, at + len(c)))
+            seen.add(tuple(c))
+            at += len(c)
+    return {x: ("\n".join(r for i, r in enumerate(x[1].split("\n")) if i not in g), len(g)) for x, g in gone.items()}
+
+
+def test_every_repeated_passage_goes(spark, documents):
+    pairs = {(r.doc_id, r.text) for r in documents if r.text is not None and len(r.text.split("\n")) < 40}
+    two = [" ".join(f"w{i}{j}" for j in range(26)) for i in "ab"]
+    pairs |= {(9001 + k, "\n".join([f"own head {k}", *two, f"own tail {k}"])) for k in range(3)}  # a passage of two lines
+    pairs |= {(9010, "\n".join(["", "again " * 20, "", "x"] * 9)), (9011, "\n".join([two[1], "", *two, "again " * 20, "", "x"]))}
+    want = brute_lines(pairs)
+    got = {r.doc_id: (r.text, r.removed_lines) for r in line_dedup.dedup_passages(spark.createDataFrame(sorted(pairs), DOC)).collect()}
+    assert got == {x[0]: v for x, v in want.items()}
+    assert got[9002] == ("own head 1\nown tail 1", 2) and got[9001][1] == 0
+
+
+def test_passages_of_odd_rows(spark, odd, empty):
+    rows = line_dedup.dedup_passages(odd.withColumn("__ld_x", F.lit(1)).withColumn("n_lines", F.lit("mine"))).collect()
+    by = {r.doc_id: r for r in rows}
+    assert len(rows) == 12 and by[1].text is None and by[1].n_lines == 0 and by[2].text == "" and by[2].n_lines == 1
+    assert by[7].text == "one line only" and by[6].removed_lines >= 3999 and 0 < 4001 - by[5].removed_lines < 10
+    assert line_dedup.dedup_passages(empty).count() == 0
+
+
 # --- secret scan ------------------------------------------------------------
 
 def brute_spans(text):
