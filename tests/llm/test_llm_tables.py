@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -195,6 +196,16 @@ def test_reputation_shrinks_and_blocks(spark):
     assert url_filter.filter_urls(df.limit(0), F.col("bad"), queries.URL_RULES).count() == 0
 
 
+def test_readme_says_what_the_bound_blocks(spark):
+    """The count of pages and hosts that the bound itself blocks, and the README's word on it."""
+    out = queries.QUERIES["op9_url_filter"](spark, SF).collect()
+    blocked = [r for r in out if r.rule is None and r.verdict == "block"]
+    assert (len(blocked), len({r.host for r in blocked}), sum(r.rule is None for r in out)) == (0, 0, 30)
+    assert round(max(r.bad_bound for r in out), 3) == 0.040
+    with open(os.path.join(os.path.dirname(P.__file__), "README.md")) as f:
+        assert "the posterior bound blocks no page and no host" in f.read()
+
+
 def test_levels(spark):
     df = spark.createDataFrame([("a.b.co.uk",), ("x.example.com:80",), ("localhost",), ("",), ("co.uk",)], "host string")
     d, s = url_filter.host_levels(F.col("host"))
