@@ -16,6 +16,9 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # The list rules of operator 9, as (verdict, host, path).
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 
+# What tells the records of operator 7 apart: one id may stand on many rows, and equal rows are numbered.
+RECORD = ["doc_id", "text_crc32", "size", "copy"]
+
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,15 +35,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_shards = 16
     docs = table(spark, sf_dir, "documents")
-    records = cut(docs.select(
+    records = cut(sharding.numbered(docs.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
-        F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("text_crc32"),
-        sharding.slot_of(F.col("doc_id")).alias("vslot")), "shard-records")
+        F.coalesce(F.crc32("text"), F.lit(0)).cast("bigint").alias("text_crc32")))
+        .withColumn("vslot", sharding.slot_of(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in RECORD]))), "shard-records")
     load = cut(sharding.slot_bytes(records), "slot-bytes")
     maps = scratch_dir(spark, "slot-map")
     first = sharding.store_map(sharding.even_map(spark, n_shards), maps, 0)
     edited = sharding.store_map(sharding.balance(first, load, n_shards), maps, 1)
-    placed = sharding.assign(records, edited, ["doc_id", "text_crc32", "size"])
+    placed = sharding.assign(records, edited, RECORD)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "vslot")
 

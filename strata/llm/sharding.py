@@ -19,12 +19,27 @@ from pyspark.sql import functions as F
 N_SLOTS = 4096
 #: Sub-bins of a slot; positions inside a shard are counted per bin, so no task sorts a whole shard.
 SUB_BINS = 16
+#: Equal rows that one task numbers at a time.
+COPIES = 256
 
 
 def slot_of(key: Column, n_slots: int = N_SLOTS) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit(""))), F.lit(n_slots)).cast("int")
 
 
+def numbered(records: DataFrame) -> DataFrame:
+    """``records`` plus ``copy``, which numbers equal rows from 0, whatever the partitions.
+
+    Equal rows are counted and made again; a row that fills a third of the
+    table leaves its task as blocks of ``COPIES`` and is made in many.
+    """
+    own = records.columns
+    blocks = records.groupBy(*own).count().select(
+        *own, "count", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("count") - 1, F.lit(COPIES).cast("bigint"))).alias("start"))
+    last = F.least(F.col("start") + COPIES, F.col("count")) - 1
+    return blocks.repartition(*own, "start").select(*own, F.explode(F.sequence("start", last)).alias("copy"))
+
+
 def slot_bytes(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
     """(vslot, bytes) for every slot, empty ones included; ``n_slots`` rows whatever the input."""
     sums = records.groupBy("vslot").agg(F.sum("size").alias("bytes"))

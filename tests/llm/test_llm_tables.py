@@ -17,6 +17,7 @@ from strata.session import scratch_dir
 from tools.compare import canon
 
 SF = "/root/testdata/sf0.001"
+DOC = "doc_id bigint, text string"
 
 
 # --- sharding ---------------------------------------------------------------
@@ -84,6 +85,18 @@ def test_shards_of_odd_rows(spark, odd, empty):
     assert queries.op7_sharding(spark, write_docs(spark, empty)).count() == 0
 
 
+def test_hot_id_is_spread_over_shards(spark):
+    rows = [(i, f"text number {i}") for i in range(2000)] + [(7, f"other text {i}") for i in range(1000)] + [(8, "the same row")] * 1000
+    out = queries.op7_sharding(spark, write_docs(spark, spark.createDataFrame(rows, DOC))).collect()
+    assert Counter((r.doc_id, r.text_crc32, r.size) for r in out) == Counter((i, zlib.crc32(t.encode()), len(t) + 1) for i, t in rows)
+    load, places = Counter(), defaultdict(list)
+    for r in out:
+        load[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert len(load) == 16 and max(load.values()) <= 1.05 * min(load.values())
+
+
 # --- LM scoring -------------------------------------------------------------
 
 def brute_lm(docs):
