@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, embed_dedup, langid, line_dedup, lm_score, secret_scan, sharding, simhash, sp_codec, url_filter
+from strata.llm import decontam, embed_dedup, exact_dedup, langid, line_dedup, lm_score, secret_scan, sharding, simhash, sp_codec, url_filter
 from strata.llm.common import cut, fold, table
 from strata.session import scratch_dir
 
@@ -97,6 +97,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", (F.size("matches") > 0).alias("contaminated"), items.alias("item_ids"), "matches")
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op9_url_filter": url_filter.oracle(URL_RULES)}
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup, op11_exact_dedup)}
+
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle(URL_RULES)}
