@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, embed_dedup, exact_dedup, langid, line_dedup, lm_score, secret_scan, sharding, simhash, sp_codec, url_filter
+from strata.llm import decontam, embed_dedup, exact_dedup, langid, line_dedup, lm_score, periodic, secret_scan, sharding, simhash, sp_codec, url_filter, whitening
 from strata.llm.common import cut, fold, table
 from strata.session import scratch_dir
 
@@ -101,6 +101,40 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup, op11_exact_dedup)}
+def rewritten(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the tail of about a tenth of the texts, chosen by id, repeats its own first words.
+
+    A row without an id keeps its text.
+    """
+    h, words, n = F.col("__h"), F.col("__words"), F.size("__words")
+    g = F.floor(h / 10)
+    chosen = docs.withColumn("__h", F.crc32(F.col("doc_id").cast("string")))
+    chosen = chosen.withColumn("__words", F.when(h % 10 == 0, F.filter(F.split("text", exact_dedup.SPACE, -1), lambda w: w != "")))
+    chosen = chosen.withColumn("__a", F.when(n > 0, g % n).cast("int"))
+    chosen = chosen.withColumn("__p", (1 + F.floor((n - F.col("__a")) / (3 + g % 8))).cast("int"))
+    a, p = F.col("__a"), F.col("__p")
+    tail = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p)))
+    return chosen.withColumn("text", F.when(p.isNotNull(), F.array_join(tail, " ")).otherwise(F.col("text"))).drop("__h", "__words", "__a", "__p")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.periodic_runs(rewritten(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    out = out.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                     F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+    return out.select("doc_id", "n_runs", (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.q")).alias("period"),
+                      F.expr("1000 * best.length div -best.q").alias("exponent_milli"), "runs_sha256", "collapsed_sha256", "n_words")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    return out.select("vec_id", "fit_rows", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.col("fit_rows").alias("n"), "deviation",
+        F.col("c.whitened").alias("whitened"), F.col("c.explained").alias("explained"), "identity_error")
+
+
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_line_dedup, op2_secret_scan, op3_sentencepiece, op4_language_id, op5_simhash_dedup, op6_benchmark_decontamination, op7_sharding, op8_lm_scoring, op9_url_filter, op10_embedding_dedup, op11_exact_dedup, op12_periodic_runs, op13_embedding_whitening)}
 
 ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op11_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle(URL_RULES)}
