@@ -29,11 +29,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.keys import change_hash
+from strata.functions.keys import with_change_hash
 from strata.plans.joins import byte_bound, max_broadcast_bytes
 from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
@@ -91,12 +91,9 @@ def new_content_rows(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
     """Batch rows whose content, audit columns aside, is not stored yet; one row per content."""
     content = [c for c in batch.columns if c not in AUDIT_COLUMNS]
 
-    def digest(df: DataFrame) -> Column:
-        return change_hash(df, content)
-
-    rows = batch.withColumn("_content", digest(batch)).dropDuplicates(["_content"])
+    rows = with_change_hash(batch, content, "_content").dropDuplicates(["_content"])
     if stored is not None:
-        rows = _unseen(_staged(rows), stored.select(digest(stored).alias("_content")), ["_content"])
+        rows = _unseen(_staged(rows), with_change_hash(stored, content, "_content").select("_content"), ["_content"])
     return rows.drop("_content")
 
 

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import change_hash, md5_key, not_null, sha256_key
+from strata.functions.keys import md5_key, not_null, sha256_key, with_change_hash
 from strata.plans.joins import set_bound
 
 # Fixed values of the vault layout.
@@ -129,11 +129,12 @@ def seismic_sat(readings: DataFrame, load_ts: str, key_hash: str = "md5",
     ts = (F.col("ingest_timestamp") if keep_source_timestamp and "ingest_timestamp" in readings.columns
           else F.lit(load_ts).cast("timestamp_ntz"))
     h = hash_fn(key_hash)
-    return (readings.where(not_null("survey_id", "well_id"))
+    hashed = with_change_hash(readings.where(not_null("survey_id", "well_id")), READING_HASH_COLUMNS, "source_hash")
+    return (hashed
             .select(stored_key(h("survey_id", "well_id")).alias("link_survey_well_key"),
                     "depth", "amplitude", "quality_flag",
                     F.lit(READING_SOURCE).alias("ingest_source"),
-                    change_hash(readings, READING_HASH_COLUMNS).alias("source_hash"),
+                    "source_hash",
                     ts.alias("ingest_timestamp"),
                     F.lit(load_ts).alias("load_date")))
 

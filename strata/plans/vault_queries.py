@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.keys import change_hash, md5_key, sha256_key
+from strata.functions.keys import md5_key, sha256_key, with_change_hash
 from strata.operators import checks as C
 from strata.operators import marts as M
 from strata.operators.vault import SOURCE_FORMAT_CANDIDATES, build_vault, survey_sat
@@ -166,8 +166,8 @@ SELECT survey_id, well_id, depth, amplitude, quality_flag, {SRC_HASH_SQL} AS sou
 FROM readings"""))
 def q_source_hash(spark, sf_dir):
     r = analog.readings(spark, sf_dir)
-    return r.select("survey_id", "well_id", "depth", "amplitude", "quality_flag",
-                    change_hash(r, ["depth", "amplitude", "quality_flag"]).alias("source_hash"))
+    return with_change_hash(r.select("survey_id", "well_id", "depth", "amplitude", "quality_flag"),
+                            ["depth", "amplitude", "quality_flag"], "source_hash")
 
 
 # ---- vault tables ----------------------------------------------------------------
@@ -453,8 +453,8 @@ def q_mart_tiny_values(spark, sf_dir):
 SELECT survey_id, well_id, depth, quality_flag, {SRC_HASH_SQL} AS source_hash FROM readings""")
 def q_source_hash_tiny(spark, sf_dir):
     r = tiny_inputs(spark, sf_dir)["readings"]
-    return r.select("survey_id", "well_id", "depth", "quality_flag",
-                    change_hash(r, ["depth", "amplitude", "quality_flag"]).alias("source_hash"))
+    return with_change_hash(r, ["depth", "amplitude", "quality_flag"], "source_hash").select(
+        "survey_id", "well_id", "depth", "quality_flag", "source_hash")
 
 
 @register("table_counts", _with(f"""

@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from strata.functions.keys import change_hash, md5_key, number_text, sha256_key
+from strata.functions.keys import change_hash, md5_key, number_text, sha256_key, with_change_hash, with_number_texts
 from strata.operators import marts as M
 from strata.operators.vault import build_vault, pick_column, survey_sat
 
@@ -55,6 +55,18 @@ def test_change_hash_is_of_exact_values(spark):
     assert got == [md5(f"{exact_text(1e-05)}_{exact_text(2.5)}_1"), md5(f"null_{exact_text(2.5)}_null")]
 
 
+def test_staged_change_hash_equals_the_expression(spark):
+    values = [3.5, 4e-7, -0.1, 1e300, 5e-324, 2.0**-900, math.nextafter(2.0**-900, 0), 2.0**1023, 1.7976931348623157e308, math.nextafter(2.0**60, 0),
+              0.0, -0.0, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v, 1.0 / 3, i) for i, v in enumerate(values)], "`v.x` double, w float, i int")
+    rows = with_number_texts(df, ["v.x", "w"]).select("i", F.col("`__text_v.x`").alias("got"), number_text("`v.x`").alias("want")).collect()
+    assert all(r.got == r.want for r in rows)
+    assert [r.got for r in rows[:10]] == [exact_text(v) for v in values[:10]]
+    two = df.withColumnRenamed("v.x", "v")
+    both = with_change_hash(two, ["v", "w", "i"], "staged").withColumn("one", change_hash(two, ["v", "w", "i"]))
+    assert both.columns == ["v", "w", "i", "staged", "one"] and both.filter("staged != one").count() == 0
+
+
 def test_composite_sha256_trims_each_part(spark):
     df = spark.createDataFrame([(" a ", "b "), ("A", "B")], "x string, y string")
     assert len({r.h for r in df.select(sha256_key("x", "y").alias("h")).collect()}) == 1

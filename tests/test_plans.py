@@ -45,6 +45,25 @@ def readings_scans(df) -> int:
     return formatted(df).count("ReadSchema: struct<l_")
 
 
+def method_sizes(df) -> list[int]:
+    """Bytes of the largest method of each generated class of a plan (made without AQE, which generates code only as it runs)."""
+    debug = getattr(getattr(df.sparkSession._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+
+
+def test_satellite_code_is_short_enough_to_be_compiled(spark):
+    """The JVM never compiles a method of more than 8,000 bytes."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = VQ.q_sat_seismic(spark, SF)
+        sizes = method_sizes(df)
+        assert sizes and max(sizes) < 6000
+        assert plan(df).count("LOG2(") == plan(df).count("POWER(") == 2  # one each for depth and amplitude
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_each_mart_scans_the_readings_once(spark):
     from strata.sources import analog
 
