@@ -35,6 +35,7 @@ def _load_all() -> None:
     # Importing the modules registers their queries.
     from strata.plans import (  # noqa: F401
         forensic_queries,
+        history_queries,
         io_queries,
         log_queries,
         stream_queries,
