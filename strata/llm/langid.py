@@ -5,7 +5,7 @@ recurrent units, one forward and one backward, give every byte position a
 state; a softmax over the joined states labels the position; the document's
 probabilities are the mean over all its positions.  The network is trained in
 numpy by backpropagation through time on a bounded sample: ``DOCS_PER_LABEL``
-labelled documents for each of at most ``MAX_LABELS`` labels, of each up to
+labelled documents for every label that occurs, of each up to
 ``SAMPLE_CHARS`` characters from a place that its id's hash picks.  Prediction
 reads whole texts.
 
@@ -28,7 +28,7 @@ from strata.llm.common import add_columns
 from strata.llm.tokens import groups
 
 HIDDEN, WINDOW = 8, 96
-DOCS_PER_LABEL, SAMPLE_CHARS, MAX_LABELS = 150, 384, 64
+DOCS_PER_LABEL, SAMPLE_CHARS = 150, 384
 STEPS, BATCH, RATE = 160, 192, 0.03
 #: Windows that go through the network together.
 WIDTH = 2048
@@ -201,17 +201,15 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Network:
 
 
 def learn(docs: DataFrame, usable: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Network:
-    """Train on a sample of the ``usable`` rows; the sample's size is bounded by the module's parameters."""
+    """Train on a sample of the ``usable`` rows, at most ``DOCS_PER_LABEL`` of each label; every label is learnt."""
     rows = docs.filter(usable & F.col(lang).isNotNull() & (F.length(text) > 0))
-    counts = rows.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LABELS).collect()
+    counts = rows.groupBy(lang).count().collect()  # a row per label
     if not counts:
         return train([], [])
     place = F.pmod(F.xxhash64(F.lit("place"), key), F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1).cast("int")
-    share = F.lit(0.0)
-    for r in counts:
-        share = F.when(F.col(lang) == r[0], min(1.0, 2 * DOCS_PER_LABEL / r[1])).otherwise(share)
+    shares = docs.sparkSession.createDataFrame([(r[0], min(1.0, 2 * DOCS_PER_LABEL / r[1])) for r in counts], "__lang string, __share double")
     draw = F.pmod(F.xxhash64(F.lit("draw"), key), F.lit(1 << 30))
-    some = (rows.filter(draw < share * (1 << 30))
+    some = (rows.join(F.broadcast(shares), F.col(lang) == F.col("__lang")).filter(draw < F.col("__share") * (1 << 30))
             .select(lang, F.col(text).substr(place + 1, F.lit(SAMPLE_CHARS)).alias("t"), draw.alias("d"))
             .orderBy("d", lang, "t").limit(4 * DOCS_PER_LABEL * len(counts)).collect())
     taken: dict[str, list[str]] = {}

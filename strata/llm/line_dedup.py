@@ -83,7 +83,7 @@ def repeated_chunks(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
     map task crosses once), for the byte comparison; and rows of digests and
     positions, to find the first place.  Nothing is gathered per chunk, so a
     chunk that a third of all documents share makes no large group; its rows
-    meet their digest in joins that can split it.
+    meet their first place in a join of two written tables, which can split it.
     """
     digest = F.unhex(F.md5("part")).alias("chunk")
     one = chunked.select(key, "__ld_doc", F.posexplode(F.arrays_zip(F.col("__ld_parts").alias("part"), F.col("__ld_lines").alias("n"))).alias("ord", "c"))
@@ -94,6 +94,7 @@ def repeated_chunks(chunked: DataFrame, key: str = "doc_id") -> DataFrame:
     places = cut(one.select(key, F.unhex("__ld_doc").alias("doc"), "ord", digest), "chunk-places")
     first = (places.groupBy("chunk").agg(F.min(F.struct(key, "doc", "ord")).alias("first"), F.count("*").alias("times"))
              .filter("times > 1").select("chunk", "first").join(equal, "chunk"))
+    first = cut(first, "chunk-firsts")
     gone = places.join(first, "chunk").filter(~F.struct(key, "doc", "ord").eqNullSafe(F.col("first")))
     return (gone.groupBy(key, "doc").agg(F.collect_set("ord").alias("gone"))
             .select(F.col(key).alias("__ld_key"), F.lower(F.hex("doc")).alias("__ld_of"), F.col("gone").alias("__ld_gone")))
@@ -144,7 +145,8 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """(__ld_key, __ld_of, __ld_gone): the packed first and last lines, from 0, to remove, for documents that lose any.
 
     Spans meet by the first half of their text's SHA-256, so no text is
-    shuffled; as with chunks nothing is gathered per span.
+    shuffled; as with chunks nothing is gathered per span, and both sides of
+    the join on spans are written tables, so a hot span can be split.
     """
     rows = F.col("__ld_rows")
     counted = F.transform(rows, lambda r, i: F.struct(i.alias("i"), F.regexp_count(r, F.lit(r"\S+")).alias("w")))
@@ -159,6 +161,7 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     places = cut(one.select(key, "doc", "c.s", "c.n", "c.span"), "span-places")
     own = F.struct(key, "doc", "s")
     first = places.groupBy("span").agg(F.min(own).alias("first"), F.count("*").alias("times")).filter("times > 1").select("span", "first")
+    first = cut(first, "span-firsts")
     gone = places.join(first, "span").filter(~own.eqNullSafe(F.col("first")))
     same = F.col(key).eqNullSafe(F.col("first")[key]) & (F.col("doc") == F.col("first.doc"))
     start = F.when(same, F.greatest(F.col("s"), F.col("first.s") + F.col("n"))).otherwise(F.col("s"))

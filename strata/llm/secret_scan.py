@@ -6,7 +6,8 @@ run scans each distinct text once, and only with rules it has not met.
 Findings are then joined back to every path that holds the blob.
 
 Defined results: a NULL text is scanned as an empty one; copies share one blob;
-repeated rows are each reported; extra columns are ignored.
+repeated rows are each reported; other columns pass through, those named
+``blob_id`` or ``spans`` give way.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import cut, quoted
 from strata.session import ship_package
 
 
@@ -46,6 +48,7 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]+", 0, 16),
 )
 
+MADE = ("blob_id", "spans")
 LEDGER_SCHEMA = "blob_id binary, rule string, found array<struct<s:int,e:int>>"
 
 
@@ -109,11 +112,18 @@ def update_ledger(texts: DataFrame, ledger_path: str, rules: tuple[Rule, ...] =
 
 
 def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """``paths`` without the text, plus ``spans``: array of (start, order, kind, end) of the blob it holds."""
+    """``paths`` without the text, plus ``blob_id`` and ``spans``: array of (start, order, kind, end) of the blob it holds.
+
+    The spans of a blob are written first: a blob that a third of all rows
+    hold then meets them in a join of plain tables, which can split it.
+    """
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.struct(F.lit(i).alias("i"), F.lit(r.kind).alias("kind")))])
     hits = (ledger.filter((F.size("found") > 0) & F.col("rule").isin(*[r.key for r in rules])).distinct()
             .select("blob_id", order[F.col("rule")].alias("r"), F.explode("found").alias("f"))
             .groupBy("blob_id").agg(F.array_sort(F.collect_list(F.struct(
                 F.col("f.s").alias("start"), F.col("r.i").alias("i"), F.col("r.kind").alias("kind"), F.col("f.e").alias("end")))).alias("spans")))
-    held = paths.withColumn("blob_id", blob_id(F.col(text))).drop(text)
-    return held.join(hits, "blob_id", "left").withColumn("spans", F.coalesce("spans", F.array().cast(hits.schema["spans"].dataType)))
+    hits = cut(hits, "blob-spans")
+    rest = [c for c in paths.columns if c != text and c.lower() not in MADE]
+    held = paths.select(F.struct(*quoted(rest)).alias("__path") if rest else F.lit(0).alias("__path"), blob_id(F.col(text)).alias("blob_id"))
+    return held.join(hits, "blob_id", "left").select(
+        *(["__path.*"] if rest else []), "blob_id", F.coalesce("spans", F.array().cast(hits.schema["spans"].dataType)).alias("spans"))

@@ -10,7 +10,8 @@ exceeds ``threshold``.  List rules (host plus path prefix) override that.
 Defined results: a NULL url, or one without ``://``, has an empty host and
 path, and gets the verdict of the empty host; a page without an outcome counts
 for nothing; a corpus without outcomes has the bad rate 0.5 and no narrow
-bound, so nothing is blocked; repeated rows count as often as they occur.
+bound, so nothing is blocked; repeated rows count as often as they occur;
+other columns pass through, those named like an added one give way.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, quoted
 
 # Suffixes of more than one label under which names are registered.
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au",
                  "co.jp", "ne.jp", "or.jp", "com.br", "co.in", "co.nz", "co.za", "com.cn", "com.tr")
 
 STRENGTH_MIN, STRENGTH_MAX = 1.0, 1000.0
+MADE = ("host", "path", "n", "k", "mean", "bound", "rule", "verdict")
 
 
 def url_host(url: Column) -> Column:
@@ -109,23 +111,24 @@ def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 def filter_urls(pages: DataFrame, outcome: Column, rules: Sequence[tuple[str, str, str]],
                 url: str = "url", threshold: float = 0.5, z: float = 1.645) -> DataFrame:
-    """``pages`` plus host, path, rule, verdict, and the host's posterior mean and bound.
+    """``pages`` plus host, path, the host's outcomes (n, k bad), posterior mean and bound, rule and verdict.
 
     ``outcome`` is a column over ``pages``: 1 bad, 0 good, NULL unlabelled.
-    A hot host is one row of the reputation table; only pages are many, and
-    they meet it in a join whose skewed side can be split.
+    A hot host is one row of the reputation table, which is written with the
+    host's rules; pages, which are many, meet it in a join of plain tables
+    that can split them.
     """
-    named = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    rep = host_reputation(named.select("host", outcome.cast("bigint").alias("bad")), z)
+    rest = [c for c in pages.columns if c.lower() not in MADE]
+    named = pages.select(F.struct(*quoted(rest)).alias("__page") if rest else F.lit(0).alias("__page"),
+                         url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"), outcome.cast("bigint").alias("bad"))
+    rep = cut(host_reputation(named.select("host", "bad"), z), "host-reputation")
     listed = rules_by_host(rep.select("host"), rule_table(pages.sparkSession, rules))
-    known = rep.join(listed, "host", "left")
+    known = cut(rep.join(listed, "host", "left"), "host-rules")
     fits = F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"]))
     best = F.array_max(F.transform(fits, lambda r: F.struct(r["rule_len"], r["rule"], r["rule_verdict"])))
     return (named.join(known, "host", "left").withColumn("best", best)
-            .withColumn("rule", F.col("best.rule"))
-            .withColumn("verdict", F.coalesce(F.col("best.rule_verdict"),
-                                              F.when(F.col("bound") > threshold, "block").otherwise("allow")))
-            .drop("best", "rules"))
+            .select(*(["__page.*"] if rest else []), "host", "path", "n", "k", "mean", "bound", F.col("best.rule").alias("rule"),
+                    F.coalesce(F.col("best.rule_verdict"), F.when(F.col("bound") > threshold, "block").otherwise("allow")).alias("verdict")))
 
 
 def junk_outcome(html: Column, share: float = 0.25) -> Column:

@@ -189,9 +189,12 @@ def plain_rule(host, path):
 
 
 def test_url_parts_and_rules(spark):
-    df = spark.createDataFrame(PAGES, "page_id bigint, url string").withColumn("host", F.lit("mine"))
-    out = url_filter.filter_urls(df.drop("host"), F.lit(None), queries.URL_RULES).collect()
-    assert len(out) == len(PAGES)
+    df = spark.createDataFrame(PAGES, "page_id bigint, url string")
+    clash = ["rules", "mean", "n", "host", "best", "__own"]
+    frame = url_filter.filter_urls(df.select("*", *[F.lit("mine").alias(c) for c in clash]), F.lit(None), queries.URL_RULES)
+    assert frame.columns == ["page_id", "url", "rules", "best", "__own", *url_filter.MADE]
+    out = frame.collect()
+    assert len(out) == len(PAGES) and {r.rules for r in out} == {"mine"}
     for r in out:
         host, path = plain_parts(r.url)
         rule, verdict = plain_rule(host, path)
@@ -209,14 +212,50 @@ def test_reputation_shrinks_and_blocks(spark):
     assert url_filter.filter_urls(df.limit(0), F.col("bad"), queries.URL_RULES).count() == 0
 
 
-def test_readme_says_what_the_bound_blocks(spark):
-    """The count of pages and hosts that the bound itself blocks, and the README's word on it."""
-    out = queries.QUERIES["op9_url_filter"](spark, SF).collect()
-    blocked = [r for r in out if r.rule is None and r.verdict == "block"]
-    assert (len(blocked), len({r.host for r in blocked}), sum(r.rule is None for r in out)) == (0, 0, 30)
-    assert round(max(r.bad_bound for r in out), 3) == 0.040
-    with open(os.path.join(os.path.dirname(P.__file__), "README.md")) as f:
-        assert "the posterior bound blocks no page and no host" in f.read()
+def test_the_bound_blocks_bad_hosts_and_no_others(spark):
+    """Planted outcomes over the table's own hosts: hosts that are mostly bad are blocked, those at the common rate are not."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")
+    pages = pages.withColumn("visit", F.explode(F.sequence(F.lit(0), F.lit(24))))
+    host = url_filter.url_host(F.col("url"))
+    planted = F.pmod(F.xxhash64(host), F.lit(7)) == 0
+    bad = F.when(planted, 1).otherwise((F.col("visit") == 0).cast("int"))
+    out = url_filter.filter_urls(pages.withColumn("planted", planted), bad, []).collect()
+    sure = [r for r in out if r.planted]
+    assert sure and all(r.verdict == "block" for r in sure)
+    assert [r.host for r in out if r.verdict == "block" and not r.planted] == []
+
+
+def skewed(spark, make):
+    """Whether the join that ``make`` ends in splits a hot key, with the thresholds lowered."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.01",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = make()
+        df.collect()
+        return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_hosts_blobs_chunks_and_passages_are_split(spark):
+    from strata.llm import line_dedup, secret_scan
+
+    rows = spark.range(9000).repartition(6)
+    hot = F.col("id") % 3 == 0
+    pages = rows.select(F.col("id").alias("page_id"), F.when(hot, "http://hot.com/").otherwise(F.concat(F.lit("http://h"), "id", F.lit(".net/"))).alias("url"))
+    assert skewed(spark, lambda: url_filter.filter_urls(pages, F.lit(0), queries.URL_RULES))
+    texts = rows.select(F.col("id").alias("doc_id"), F.when(hot, "token = abcdefghijklmnop").otherwise(F.concat(F.lit("token = abcdefghijkl"), "id")).alias("text"))
+    assert skewed(spark, lambda: secret_scan.findings(texts, secret_scan.update_ledger(texts, scratch_dir(spark, "ledger"))))
+    passage = "\n".join(f"line {i} of a passage that many texts share and that is long enough" for i in range(8))
+    lines = rows.select(F.col("id").alias("doc_id"), F.when(hot, F.concat(F.lit(passage + "\n"), "id")).otherwise(
+        F.concat("id", F.lit(" a\n"), "id", F.lit(" b\n"), "id", F.lit(" c"))).alias("text"))
+    chunked = line_dedup.with_chunks(lines)
+    assert skewed(spark, lambda: line_dedup.repeated_chunks(chunked))
+    assert skewed(spark, lambda: line_dedup.repeated_lines(lines))
 
 
 def test_levels(spark):

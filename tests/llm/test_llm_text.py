@@ -286,6 +286,58 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in out)
 
 
+def plain_probabilities(net, text):
+    """Windows, states and pooling of one text, position by position."""
+    data, total = text.encode(), np.zeros(len(net.labels))
+    for a in range(0, len(data), langid.WINDOW):
+        part = np.frombuffer(data[a : a + langid.WINDOW], np.uint8)
+        # One window alone, as wide as it is: no padding, no other text beside it.
+        total += net.positions(part[:, None].copy(), np.array([len(part)]))[: len(part), 0].astype(np.float64).sum(0)
+    return total / max(1, len(data))
+
+
+def test_labels_of_texts_against_a_plain_loop(spark, documents):
+    docs = [d for d in documents if d.text]
+    net = langid.train([d.text[:300] for d in docs[:80]], [d.lang or "?" for d in docs[:80]])
+    texts = [d.text for d in docs[80:110]] + ["", "é", "a" * langid.WINDOW, "ü" * langid.WINDOW, "b" * (3 * langid.WINDOW + 1), None]
+    probs, votes = langid.label_texts(net, texts)
+    for t, p, v in zip(texts, probs, votes):
+        assert np.abs(p - plain_probabilities(net, t or "")).max() < 1e-4
+        assert v.sum() == len((t or "").encode())
+
+
+def test_every_label_is_learnt(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, (letters[i % 26] + letters[i // 26 % 26]) * 30, f"l{i % 90:02d}", "s", 60) for i in range(360)]
+    net = langid.learn(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"), F.lit(True))
+    assert net.labels == sorted({r[2] for r in rows}) and len(net.labels) == 90
+
+
+def test_registered_projections(spark, documents):
+    """The digests of operator 2's query from plain regular expressions, and what the queries of operators 3 and 10 return."""
+    got = {r.doc_id: r for r in queries.op2_secret_scan(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(documents)
+    for d in documents:
+        found = sorted((s, i, rule.kind, e) for i, rule in enumerate(secret_scan.RULES)
+                       for s, e in secret_scan.spans(rule, re.compile(rule.pattern, re.ASCII | (re.IGNORECASE if rule.any_case else 0)), d.text or ""))
+        joined = ",".join(f"{kind}:{s}:{e}" for s, _, kind, e in found)
+        r = got[d.doc_id]
+        assert r.spans == joined and r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for _, _, k, _ in found) for kind in ("assign", "access", "hex")]
+    tokens = queries.op3_sentencepiece(spark, "/root/testdata/sf0.001").collect()
+    assert len(tokens) == len(documents) and all(r.n_tokens == len(r.ids) for r in tokens)
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    out = queries.op10_embedding_dedup(spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.vec_id for r in out) == sorted(r.vec_id for r in vectors.collect())
+    assert all(r.kept == (r.vec_id == r.component_id) and r.n_links >= 0 for r in out)
+
+
+def test_findings_with_columns_that_clash(spark):
+    df = spark.createDataFrame([(1, "token = abcdefghijkl", "own", 3, 5)], "doc_id bigint, text string, spans string, rule int, blob_id int")
+    out = secret_scan.findings(df, secret_scan.update_ledger(df, scratch_dir(spark, "ledger")))
+    assert out.columns == ["doc_id", "rule", "blob_id", "spans"] and out.first().rule == 3 and len(out.first().spans) == 1
+
+
 def test_language_of_odd_rows(spark, odd, empty):
     net = langid.learn(odd, F.lit(True))
     assert net.labels == ["en", "ja"]
