@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from strata.operators import history as H
 from strata.operators.bucketed import BucketedSat
 from strata.operators.incremental import IncrementalVault
-from strata.operators.incremental_marts import IncrementalMarts
+from strata.operators.incremental_marts import DIMENSIONS, SAT, SKETCH_ERROR, IncrementalMarts
 from strata.operators.marts import ts_text
 from strata.operators.vault import build_hub, build_link, build_vault, seismic_sat, well_sat
 from strata.plans.registry import register
-from strata.plans.vault_queries import MART_SENSOR_SQL, MART_SURVEY_SQL, MART_WELL_SQL, SRC_HASH_SQL, TS_SQL, VAULT_CTES, _with, shown
+from strata.plans.vault_queries import MART_SENSOR_SQL, MART_SURVEY_SQL, MART_WELL_SQL, SRC_HASH_SQL, TS_SQL, VAULT_CTES, WELLS_SURVEYED_SQL, _with, shown
 from strata.session import scratch_dir
 from strata.sources import analog
 
@@ -134,15 +134,29 @@ ONCE_CTES = VAULT_CTES.replace("readings AS (", "raw_readings AS (", 1).replace(
 surveys AS (""", 1)
 
 
-def incremental_marts(spark, sf_dir) -> dict[str, DataFrame]:
-    """The three marts from partials that three loads (the second twice) left beside the vault."""
+def loaded_marts(spark, sf_dir) -> IncrementalMarts:
+    """A vault with partials and sketches after three loads, the second one twice."""
     inp = analog.inputs(spark, sf_dir)
     store = IncrementalMarts(scratch_dir(spark, "inc-marts"))
     loads = by_load(inp["readings"])
     for date, rows in [loads[0], loads[1], *loads[1:]]:
         first = date == LOADS[0]  # the masters come with the first load
-        store.load(spark, build_vault(inp["surveys"] if first else None, inp["wells"] if first else None, rows, date, keep_source_timestamp=True), date)
-    return {k: shown(v) for k, v in store.marts(spark).items()}
+        tables = build_vault(inp["surveys"] if first else None, inp["wells"] if first else None, rows, date, keep_source_timestamp=True)
+        store.load(spark, {name: df for name, df in tables.items() if name in (*DIMENSIONS, SAT)}, date)
+    return store
+
+
+def incremental_marts(spark, sf_dir) -> dict[str, DataFrame]:
+    """The three marts from the partials that the loads left beside the vault."""
+    return {k: shown(v) for k, v in loaded_marts(spark, sf_dir).marts(spark).items()}
+
+
+@register("wells_surveyed_sketch", _with(f"""
+SELECT survey_type_id, wells_surveyed_count, true AS within_error FROM ({WELLS_SURVEYED_SQL})"""))
+def q_wells_surveyed_sketch(spark, sf_dir):
+    """Distinct wells per survey: the exact count, and whether the merged sketches of all loads come within the stated error."""
+    out = loaded_marts(spark, sf_dir).wells_surveyed(spark)
+    return out.select("survey_type_id", "wells_surveyed_count", (F.col("error") <= SKETCH_ERROR).alias("within_error"))
 
 
 @register("mart_incremental", "WITH " + ONCE_CTES + MART_SURVEY_SQL)

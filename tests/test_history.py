@@ -250,3 +250,15 @@ def test_partials_of_a_hot_link_combine_in_the_tasks(spark, tmp):
     store.load(spark, build_vault(surveys, wells, rows, "2024-01", keep_source_timestamp=True), "one")
     got = {r.well_id: r.total_readings for r in store.marts(spark)["mart_well_performance"].collect()}
     assert sum(got.values()) == 600 and got[1] == 300
+
+
+def test_sketches_of_loads_merge_within_the_stated_error(spark):
+    links = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("hub_survey_key"),
+                                       F.md5(F.col("id").cast("string")).alias("hub_well_key"))
+    loads = [links.where("hub_well_key < '6'"), links.where("hub_well_key >= '4'"), links.where("hub_well_key < '6'")]  # overlapping, one repeated
+    assert "partial_hll_sketch_agg" in plan(IM.survey_sketches(links))
+    sketches = IM.survey_sketches(loads[0]).unionByName(IM.survey_sketches(loads[1])).unionByName(IM.survey_sketches(loads[2]))
+    got = {r.hub_survey_key: r.wells_estimate for r in IM.estimated_wells(sketches).collect()}
+    want = {r.hub_survey_key: r["count"] for r in links.groupBy("hub_survey_key").count().collect()}
+    assert got.keys() == want.keys() and want["hot"] == 20_000
+    assert all(abs(got[k] / want[k] - 1) <= IM.SKETCH_ERROR for k in want) and IM.SKETCH_ERROR < 0.05
