@@ -119,15 +119,16 @@ def filter_urls(pages: DataFrame, outcome: Column, rules: Sequence[tuple[str, st
     that can split them.
     """
     rest = [c for c in pages.columns if c.lower() not in MADE]
-    named = pages.select(F.struct(*quoted(rest)).alias("__page") if rest else F.lit(0).alias("__page"),
-                         url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"), outcome.cast("bigint").alias("bad"))
+    # Apart, not as one struct: a column that nobody asks for is then not computed on this side.
+    held = [c.alias(f"__page{i}") for i, c in enumerate(quoted(rest))]
+    named = pages.select(*held, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"), outcome.cast("bigint").alias("bad"))
     rep = cut(host_reputation(named.select("host", "bad"), z), "host-reputation")
     listed = rules_by_host(rep.select("host"), rule_table(pages.sparkSession, rules))
     known = cut(rep.join(listed, "host", "left"), "host-rules")
     fits = F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"]))
     best = F.array_max(F.transform(fits, lambda r: F.struct(r["rule_len"], r["rule"], r["rule_verdict"])))
     return (named.join(known, "host", "left").withColumn("best", best)
-            .select(*(["__page.*"] if rest else []), "host", "path", "n", "k", "mean", "bound", F.col("best.rule").alias("rule"),
+            .select(*[F.col(f"__page{i}").alias(c) for i, c in enumerate(rest)], "host", "path", "n", "k", "mean", "bound", F.col("best.rule").alias("rule"),
                     F.coalesce(F.col("best.rule_verdict"), F.when(F.col("bound") > threshold, "block").otherwise("allow")).alias("verdict")))
 
 
