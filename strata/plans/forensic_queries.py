@@ -20,8 +20,10 @@ from strata.plans.vault_queries import TS_SQL, _with
 from strata.session import scratch_dir
 from strata.sinks import files as SF
 from strata.sinks import fixedwidth as FWE
+from strata.sinks import trace_writer as TW
 from strata.sources import analog
 from strata.sources import fixedwidth as FW
+from strata.streaming import trace_stream as TS
 
 # Damage given to the Parquet files of each region key in test lakes.
 DAMAGE_BY_REGION = ("healthy", "trailing_junk", "junk_with_par1", "wrong_footer_len", "healthy")
@@ -47,6 +49,30 @@ def q_fixedwidth_scan(spark, sf_dir):
     return df.select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
 
 
+@register("fixedwidth_write", _with(F32_READINGS_SQL))
+def q_fixedwidth_write(spark, sf_dir):
+    """Readings through the trace-file write format: an append, then the same again by an overwrite, then read back."""
+    lake = scratch_dir(spark, "trace-write")
+    r = FWE.readings_frame(analog.readings(spark, sf_dir))
+    TW.write(r, lake)
+    TW.write(r, lake, mode="overwrite", bufferBytes=1 << 20)
+    return FW.read(spark, lake, openCostRecords=1000).select("survey_id", "well_id", "depth", "amplitude", "quality_flag")
+
+
+@register("fixedwidth_stream", _with(F32_READINGS_SQL))
+def q_fixedwidth_stream(spark, sf_dir):
+    """Trace files arrive in two drops; the stream decodes each file once, and a third run finds nothing new."""
+    base = scratch_dir(spark, "trace-stream")
+    r = analog.readings(spark, sf_dir)
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    for drop in (~flagged, flagged, None):
+        if drop is not None:
+            TW.write(FWE.readings_frame(r.where(drop)), f"{base}/lake")
+        TS.convert_arrivals(spark, f"{base}/lake", f"{base}/arrivals", f"{base}/readings", f"{base}/checkpoint")
+    out = spark.read.parquet(f"{base}/readings")
+    return out.select(F.col("survey_id").cast("bigint").alias("survey_id"), "well_id", "depth", "amplitude", "quality_flag")
+
+
 @register("fixedwidth_truncated", _with(F32_READINGS_SQL))
 def q_fixedwidth_truncated(spark, sf_dir):
     """Over-stated counts with a cut last record, and junk past the count: full records only."""

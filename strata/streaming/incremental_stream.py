@@ -22,6 +22,15 @@ def load_readings_stream(spark: SparkSession, input_dir: str, schema: T.StructTy
                          vault_root: str, checkpoint: str, load_ts: str,
                          max_files_per_trigger: int = 1000, keep_source_timestamp: bool = True) -> dict:
     """Process every file not yet seen under ``input_dir``; returns progress info."""
+    stream = (spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .parquet(input_dir))
+    return load_stream(stream, vault_root, checkpoint, load_ts, keep_source_timestamp)
+
+
+def load_stream(stream: DataFrame, vault_root: str, checkpoint: str, load_ts: str,
+                keep_source_timestamp: bool = True) -> dict:
+    """Load what a stream of readings holds now into the vault, and stop; rows added per table."""
     vault = IncrementalVault(vault_root)
     added = {"batches": 0, "link_survey_well": 0, "sat_seismic_data": 0, "rejects": 0}
 
@@ -38,9 +47,6 @@ def load_readings_stream(spark: SparkSession, input_dir: str, schema: T.StructTy
         for k, v in res.items():
             added[k] += v
 
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
-              .parquet(input_dir))
     q = (stream.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
