@@ -150,6 +150,36 @@ def q_jdbc_roundtrip(spark, sf_dir):
     return back.select("hub_well_key", F.col("well_id").cast("bigint").alias("well_id"), "load_date")
 
 
+@register("jdbc_replace", _with("SELECT hub_well_key, well_id FROM hub_well"))
+def q_jdbc_replace(spark, sf_dir):
+    """hub_well loaded, then a load of it that fails on its way: the table keeps the first load's rows."""
+    settings = _derby(spark)
+    table = f"hub_well_{uuid.uuid4().hex[:8]}"
+    hub = vault_tables(spark, sf_dir, only=("wells",))["hub_well"].select("hub_well_key", "well_id")
+    J.replace_table(hub, settings, table)
+    stop = F.when(F.col("well_id") % 5 == 0, F.raise_error(F.lit("source lost"))).otherwise(F.col("well_id")).cast("bigint")
+    try:
+        J.replace_table(hub.withColumn("well_id", stop), settings, table)
+    except Exception as exc:
+        if "source lost" not in str(exc):
+            raise
+    back = J.lowercase_columns(J.read_table(spark, settings, table))
+    return back.select("hub_well_key", F.col("well_id").cast("bigint").alias("well_id"))
+
+
+@register("jdbc_balanced", _with("""
+SELECT CASE WHEN well_id % 3 = 0 THEN 7 ELSE well_id * well_id END AS skewed, survey_id, well_id, quality_flag
+FROM readings"""))
+def q_jdbc_balanced(spark, sf_dir):
+    """Readings by a skewed key (a third on one value, the rest far apart), read back in ranges of equal row counts."""
+    settings = _derby(spark)
+    table = f"readings_{uuid.uuid4().hex[:8]}"
+    skewed = F.when(F.col("well_id") % 3 == 0, 7).otherwise(F.col("well_id") * F.col("well_id")).cast("bigint")
+    J.replace_table(analog.readings(spark, sf_dir).select(skewed.alias("skewed"), "survey_id", "well_id", "quality_flag"), settings, table)
+    back = J.read_balanced(spark, settings, table, "skewed", 8, tie="survey_id")
+    return back.select(*[F.col(c).cast("bigint").alias(c) for c in ("skewed", "survey_id", "well_id", "quality_flag")])
+
+
 @register("parquet_sink", _with(f"""
 SELECT link_survey_well_key, hub_survey_key, hub_well_key, '{LOAD_TS}' AS load_date,
        'sgx_reconstruction' AS record_source FROM link"""))

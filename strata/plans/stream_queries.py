@@ -12,6 +12,7 @@ from strata.plans.registry import LOAD_TS, register
 from strata.plans.vault_queries import SRC_HASH_SQL, TS_SQL, _with
 from strata.session import scratch_dir
 from strata.sources import analog
+from strata.streaming import drift_stream as DS
 from strata.streaming.incremental_stream import load_readings_stream
 
 # Fixed cut between the two arrivals of the stream query.
@@ -173,6 +174,25 @@ def q_schema_drift_report(spark, sf_dir):
     return INC.drift_profile(spark, stored, incoming)
 
 
+@register("stream_drift", _with(f"""
+SELECT survey_id, well_id, depth, amplitude, quality_flag,
+       CASE WHEN coalesce(quality_flag, 0) = 1 THEN strftime(ingest_timestamp, {TS_SQL}) END AS ingest_timestamp,
+       CASE WHEN coalesce(quality_flag, 0) = 1 THEN 'sgx_reconstruction' END AS ingest_source
+FROM readings"""))
+def q_stream_drift(spark, sf_dir):
+    """Reading files in two drops; the second has two more columns, wider flags, and depths as floating numbers."""
+    base = scratch_dir(spark, "stream-drift")
+    r = analog.readings(spark, sf_dir)
+    flagged = F.coalesce(F.col("quality_flag"), F.lit(0)) == 1
+    narrow = {"depth": F.col("depth").cast("bigint"), "quality_flag": F.col("quality_flag").cast("int")}
+    r.where(~flagged).drop("ingest_timestamp").withColumns(narrow).write.parquet(f"{base}/inbox/first")
+    DS.load_drifting(spark, f"{base}/inbox", f"{base}/table", f"{base}/checkpoint")
+    r.where(flagged).withColumn("ingest_source", F.lit("sgx_reconstruction")).write.parquet(f"{base}/inbox/second")
+    DS.load_drifting(spark, f"{base}/inbox", f"{base}/table", f"{base}/checkpoint")
+    out = DS.read(spark, f"{base}/table")
+    return out.select("survey_id", "well_id", "depth", "amplitude", "quality_flag", ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"), "ingest_source")
+
+
 @register("incremental_stream", _with(f"""
 SELECT DISTINCT md5(CAST(survey_id AS VARCHAR) || '_' || CAST(well_id AS VARCHAR)) AS link_survey_well_key,
        depth, amplitude, quality_flag, {SRC_HASH_SQL} AS source_hash

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.plans.concurrency import DEFAULT_PARALLEL_JOBS, run_all
@@ -23,19 +23,33 @@ REPORT_SCHEMA = ("table_name string, sink string, status string, row_count bigin
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None) -> int:
     """Write Parquet and return the number of rows written (counted during the write)."""
-    obs = Observation("rows")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    return write_measured(df, path, {}, mode, partition_by)["rows"]
+
+
+def write_measured(df: DataFrame, path: str, measures: dict[str, Column], mode: str = "overwrite",
+                   partition_by: list[str] | None = None) -> dict:
+    """Write Parquet; the values of ``measures`` (aggregates without distinct) and ``rows``, taken during the write."""
+    obs = Observation()
+    named = {f"m{i}": c for i, c in enumerate(measures.values())}
+    w = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in named.items()]).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get["n"])
+    found = obs.get
+    return {"rows": int(found["rows"])} | {m: found[n] for m, n in zip(measures, named)}
 
 
 def write_table(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
                 jdbc: J.JdbcSettings | None = None) -> DataFrame:
     """Write ``name`` as Parquet under ``out_dir``, then to the database if one is given."""
+    return spark.createDataFrame(_write(spark, df, name, out_dir, jdbc, {})[0], REPORT_SCHEMA)
+
+
+def _write(spark, df, name, out_dir, jdbc, measures) -> tuple[list[tuple], dict]:
+    """The report lines of one table's write, and what was measured on the way."""
     path = f"{out_dir.rstrip('/')}/{name}"
-    rows = write_parquet(df, path)
+    found = write_measured(df, path, measures)
+    rows = found["rows"]
     report = [(name, "parquet", "ok", rows, path, None)]
     if jdbc is not None:
         try:
@@ -44,19 +58,23 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, out_dir: str,
         except Exception as exc:  # the database is best effort; the file is the record
             report.append((name, "jdbc", "error", None, jdbc.url.split(";")[0],
                            f"{type(exc).__name__}: {exc}"))
-    return spark.createDataFrame(report, REPORT_SCHEMA)
+    return report, found
 
 
 def write_tables(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
                  jdbc: J.JdbcSettings | None = None, max_parallel: int = DEFAULT_PARALLEL_JOBS) -> DataFrame:
     """Write several tables, up to ``max_parallel`` write jobs at a time; one report."""
-    done = run_all({name: (lambda df=df, name=name: write_table(spark, df, name, out_dir, jdbc))
+    return write_tables_measured(spark, tables, out_dir, {}, jdbc, max_parallel)[0]
+
+
+def write_tables_measured(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
+                          measures: dict[str, dict[str, Column]], jdbc: J.JdbcSettings | None = None,
+                          max_parallel: int = DEFAULT_PARALLEL_JOBS) -> tuple[DataFrame, dict[str, dict]]:
+    """``write_tables``, and for each table the values of its ``measures`` taken during its write."""
+    done = run_all({name: (lambda df=df, name=name: _write(spark, df, name, out_dir, jdbc, measures.get(name, {})))
                     for name, df in tables.items()}, max_parallel)
-    reports = [done[name] for name in tables]
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    report = spark.createDataFrame([line for name in tables for line in done[name][0]], REPORT_SCHEMA)
+    return report, {name: found for name, (_, found) in done.items()}
 
 
 def load_audit(spark: SparkSession, report: DataFrame, load_ts: str | None = None) -> DataFrame:

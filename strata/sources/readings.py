@@ -59,13 +59,22 @@ def widened_schema(spark: SparkSession, data_dir: str, glob: str) -> T.StructTyp
 
     Footers are read by tasks; only the distinct (column, type) pairs come back.
     """
+    from strata.sources.files import list_tree
+
+    found = (file_columns(list_tree(spark, data_dir, glob, skip_hidden=True).select("path").repartition("path"))
+             .groupBy("name").agg(F.min("place").alias("place"), F.collect_set("type").alias("types"))
+             .orderBy("place", "name").collect())
+    return T.StructType.fromDDL(", ".join(f"`{r['name']}` {widest(set(r['types']))}" for r in found))
+
+
+def file_columns(files: DataFrame) -> DataFrame:
+    """(path, place, name, type): the columns in the footers of Parquet files, read by tasks."""
     from pyspark.sql.pandas.types import from_arrow_type
 
     from strata.session import ship_package
-    from strata.sources.files import list_tree
     from strata.sources.fsys import resolve
 
-    ship_package(spark)
+    ship_package(files.sparkSession)
 
     def footers(batches):
         import pandas as pd
@@ -76,15 +85,11 @@ def widened_schema(spark: SparkSession, data_dir: str, glob: str) -> T.StructTyp
             for path in pdf["path"]:
                 fs, p = resolve(path)
                 with fs.open_input_file(p) as f:
-                    out += [(i, c.name, from_arrow_type(c.type, prefer_timestamp_ntz=True).simpleString())
+                    out += [(path, i, c.name, from_arrow_type(c.type, prefer_timestamp_ntz=True).simpleString())
                             for i, c in enumerate(pq.read_schema(f))]
-            yield pd.DataFrame(out, columns=["place", "name", "type"]).drop_duplicates()
+            yield pd.DataFrame(out, columns=["path", "place", "name", "type"])
 
-    found = (list_tree(spark, data_dir, glob, skip_hidden=True).select("path").repartition("path")
-             .mapInPandas(footers, "place int, name string, type string")
-             .groupBy("name").agg(F.min("place").alias("place"), F.collect_set("type").alias("types"))
-             .orderBy("place", "name").collect())
-    return T.StructType.fromDDL(", ".join(f"`{r['name']}` {widest(set(r['types']))}" for r in found))
+    return files.select("path").mapInPandas(footers, "path string, place int, name string, type string")
 
 
 def scan_reconstructed(spark: SparkSession, data_dir: str,

@@ -201,3 +201,88 @@ def test_schema_drift_report_and_align(spark):
 def test_load_audit_counts_while_writing(spark, tmp):
     df = spark.range(0, 1234)
     assert ST.write_parquet(df, f"{tmp}/x") == 1234
+
+
+def test_checks_during_the_write_equal_checks_after_it(spark, tmp):
+    sat = spark.createDataFrame([(-1.0, "a"), (2.0, None), (None, "b")], "depth double, ingest_source string")
+    hub = spark.createDataFrame([("x",), ("x",), (None,)], "hub_survey_key string")
+    tables = {"sat": sat, "hub": hub, "empty": sat.limit(0)}
+    checks = [C.unique_key("hub", "hub_survey_key"), C.at_least("sat", "depth", 0), C.not_null("sat", "depth"), C.at_least("empty", "depth"),
+              C.at_least("sat", "ingest_source", 0), C.at_least("sat", "no_column", 0), C.not_null("none", "depth"), C.not_null("sat", "ingest_source")]
+    assert [c.in_flight(tables) for c in checks] == [False, True, True, True, False, False, False, False]
+    report, during = C.write_checked(spark, tables, tmp, checks)
+
+    def rows(df):
+        return [(r.check_name, r.status, r.bad_rows, r.total_rows, r.detail if r.status != "ERROR" else None) for r in df.collect()]
+
+    assert rows(during) == rows(C.run_checks(spark, tables, checks))
+    assert {r.table_name: r.row_count for r in report.collect()} == {"sat": 3, "hub": 3, "empty": 0}
+    with pytest.raises(C.CheckFailed):
+        C.write_checked(spark, tables, tmp, checks[:2], enforce=True)
+
+
+def test_checked_write_does_not_read_the_satellite_again(spark, tmp, monkeypatch):
+    sat = spark.range(100).select(F.col("id").cast("double").alias("depth"))
+    hub = spark.range(5).select(F.col("id").cast("string").alias("hub_survey_key"))
+    plans = []
+    build = C._evaluate
+    monkeypatch.setattr(C, "_evaluate", lambda tables, checks: (plans.extend(c.name for c in checks), build(tables, checks))[1])
+    _, out = C.write_checked(spark, {"sat": sat, "hub": hub}, tmp, [C.unique_key("hub", "hub_survey_key"), C.at_least("sat", "depth")])
+    assert plans == ["unique:hub.hub_survey_key"] and [r.status for r in out.collect()] == ["PASS", "PASS"]
+
+
+def test_balanced_predicates_meet_every_row_once(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 3 = 0 THEN 7 WHEN i % 50 = 1 THEN NULL ELSE i * i - 90 END AS k, "
+                "CASE WHEN i % 11 = 0 THEN NULL ELSE 40 - i END AS tie FROM range(3000) r(i)")
+    for cuts in ([], [7], [-5, 7, 7, 7, 900], [7, 7], [1.5, 1.5, 2.25]):
+        for tie in ("tie", None):
+            found = J.balanced_predicates(cuts, "k", tie)
+            hits = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in found)
+            assert con.execute(f"SELECT min({hits}), max({hits}) FROM t").fetchone() == (1, 1)
+
+
+def test_balanced_read_of_a_skewed_key(spark):
+    import statistics
+
+    settings = J.JdbcSettings(url="jdbc:derby:memory:balanced;create=true")
+    rows = [(1 if i % 3 == 0 else i**2, i if i % 7 else None) for i in range(6000)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "k bigint, tie bigint")
+    assert J.replace_table(df, settings, "skewed") == len(rows)
+    back = J.read_balanced(spark, settings, "skewed", "k", 12, tie="tie")
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(map(str, rows))
+    sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 2 * statistics.median(sizes)
+    equal_width = J.read_table(spark, settings, "skewed", partition_column="k", num_partitions=12)
+    wide = [r["count"] for r in equal_width.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(wide) > 2 * statistics.median(wide)                # what the quantiles are for
+    J.replace_table(df.limit(0), settings, "skewed")
+    assert J.read_balanced(spark, settings, "skewed", "k", 12).count() == 0
+    J.replace_table(df.select(F.col("k").cast("string")), settings, "texts")
+    with pytest.raises(Exception):
+        J.read_balanced(spark, settings, "texts", "k").count()
+
+
+def test_failed_replace_leaves_the_old_table(spark, monkeypatch):
+    settings = J.JdbcSettings(url="jdbc:derby:memory:swap;create=true")
+
+    def held():
+        return sorted(r[0] for r in J.read_table(spark, settings, "t").collect())
+
+    def tables():
+        return J.run_query(spark, settings, "select tablename from sys.systables where tabletype = 'T'").count()
+
+    assert J.replace_table(spark.range(5), settings, "t") == 5
+    bad = spark.range(0, 40, 1, 4).select(F.when(F.col("id") == 33, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        J.replace_table(bad, settings, "t")
+    assert held() == [0, 1, 2, 3, 4] and tables() == 1            # and no staging table is left
+    query = J.run_query
+    monkeypatch.setattr(J, "run_query", lambda s, st, sql: query(s, st, "select 3 as n from sysibm.sysdummy1"))
+    with pytest.raises(J.LoadMismatch):
+        J.replace_table(spark.range(7), settings, "t")
+    monkeypatch.undo()
+    assert held() == [0, 1, 2, 3, 4] and tables() == 1
+    assert J.replace_table(spark.range(7), settings, "t") == 7 and held() == list(range(7))
