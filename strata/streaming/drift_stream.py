@@ -30,6 +30,8 @@ from strata.session import scratch_dir
 from strata.sources.files import path_exists
 from strata.sources.readings import file_columns, widest
 
+# Fixed columns of Spark's binary file source.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 REGISTRY_SCHEMA = "version int, place int, name string, type string"
 
 
@@ -88,7 +90,7 @@ def store_files(files: DataFrame, root: str, batch_id: int) -> None:
 
 def load_drifting(spark: SparkSession, inbox: str, root: str, checkpoint: str, max_files: int = 1000) -> None:
     """Store every Parquet file not yet seen below ``inbox``, whatever its columns."""
-    names = (spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    names = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max_files).load(inbox).select("path"))   # names alone: contents are not read
     (names.writeStream.foreachBatch(lambda batch, batch_id: store_files(batch, root, batch_id))
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
