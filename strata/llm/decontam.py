@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced seeds (operator 6).
 
-Each fixed mask picks six of nine or ten consecutive words and ignores the rest,
+Each fixed mask picks six of nine to thirteen consecutive words and ignores the rest,
 so a replaced word leaves some seed around it whole.  Seeds of the benchmark
 are hashed into a sorted index; seeds of every position of every document are
 looked up in it.  Each hit names a document, an item and an alignment; along
@@ -8,8 +8,13 @@ that alignment the longest stretch is found that keeps at least ``IDENTITY`` of
 its words, and it counts when it covers ``MIN_WORDS`` words or the whole item
 if that is shorter.
 
-Items shorter than a mask are looked up as whole word sequences; items of
-fewer than ``LEAST_ITEM`` words are no evidence and are never matched.
+Items of fewer than ``SHORT`` words overlap as a whole or not at all, so they have masks of
+their own length: each leaves out as many of the item's words as ``IDENTITY`` lets be
+replaced, and one of them misses whichever those are.  Items of fewer than ``LEAST_ITEM``
+words hold no shingle of five words; they are no evidence and are never matched.
+
+With these masks no overlap of up to 30 words is missed, whichever words are replaced (a
+test enumerates them up to 25).
 
 Defined results: a NULL or empty text, and one without words, is clean; a NULL
 item text is skipped; repeated items are each reported under their own id, a
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +36,10 @@ from pyspark.sql import functions as F
 from strata.llm.common import add_columns
 from strata.llm.tokens import groups, hashed_words
 
-# Fixed masks: 1 a word that must be equal, 0 one that is ignored.  Of any 13 words with two replaced,
-# and of any 16 with three replaced, at least one mask at one place has none of the replaced ones.
-MASKS = ("111110001", "101001111", "1100011011", "111001101")
-SPAN = 10
+# Fixed masks: 1 a word that must be equal, 0 one that is ignored.  Of any 13 words with two replaced, any 15 with three,
+# any 20 with four and so on, at least one mask at one place has none of the replaced ones.
+MASKS = ("111110001", "101001111", "1100011011", "111001101", "1100000010111")
+SHORT = 13
 MIN_WORDS, IDENTITY, LEAST_ITEM = 13, 0.8, 5
 #: Words of benchmark items per block: each block is one pass and one broadcast of a bounded size.
 BLOCK_WORDS = 1 << 20
@@ -42,6 +48,20 @@ MATCH = "array<struct<item_id:bigint,start:int,stop:int,same:int>>"
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def masks_of(n: int) -> tuple[str, ...]:
+    """The masks of an item of ``n`` words.
+
+    Up to 9 words one may be replaced: each mask ignores one place.  Of 10 to
+    12 two may be: the item is cut into four blocks, and each mask keeps two of them.
+    """
+    if n >= SHORT:
+        return MASKS
+    if n < 10:
+        return tuple("1" * i + "0" + "1" * (n - 1 - i) for i in range(n))
+    block = [4 * i // n for i in range(n)]
+    return tuple("".join("1" if b in kept else "0" for b in block) for kept in combinations(range(4), 2))
+
+
 def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     """One hash for each position at which the mask fits."""
     n = len(words) - len(mask) + 1
@@ -72,7 +92,7 @@ class Index:
     def build(self) -> Index:
         raw: dict[str, list] = {}
         for i, words in enumerate(self.items):
-            for mask in MASKS if len(words) >= SPAN else ("1" * len(words),):
+            for mask in masks_of(len(words)):
                 h = seeds(words, mask)
                 raw.setdefault(mask, []).append((h, np.full(len(h), i), np.arange(len(h))))
         for mask, parts in raw.items():

@@ -371,10 +371,28 @@ def words(t):
     return re.findall(r"\w+", t.lower())
 
 
-@pytest.mark.parametrize("n, replaced", [(13, 2), (16, 3)])
+@pytest.mark.parametrize("n, replaced", [(n, 1) for n in range(5, 10)] + [(10, 2), (11, 2), (12, 2), (13, 2), (15, 3), (16, 3), (20, 4), (25, 5)])
 def test_masks_survive_replacements(n, replaced):
-    for gone in itertools.combinations(range(n), replaced):
-        assert any(all(m[g - at] == "0" for g in gone if 0 <= g - at < len(m)) for m in decontam.MASKS for at in range(n - len(m) + 1))
+    left = np.array([sum(1 << g for g in gone) for gone in itertools.combinations(range(n), replaced)])
+    for m in decontam.masks_of(n):
+        for at in range(n - len(m) + 1):
+            left = left[left & sum(1 << (at + k) for k, c in enumerate(m) if c == "1") != 0]
+    assert not len(left)
+
+
+def test_short_items_with_replaced_words(spark):
+    texts = {n: [f"i{n}w{k}" for k in range(n)] for n in range(4, 13)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in texts.items()], "item_id bigint, text string")
+    docs, want = [], {}
+    for n, item in texts.items():
+        for gone in itertools.chain.from_iterable(itertools.combinations(range(n), k) for k in (0, 1, 2, 3)):
+            body = ["other" if k in gone else w for k, w in enumerate(item)]
+            docs.append((len(docs), " ".join(["and", "then", *body, "so"])))
+            if n >= decontam.LEAST_ITEM and 5 * len(gone) <= n:
+                want[docs[-1][0]] = (n, 2, n + 2, n - len(gone))
+    out = decontam.overlaps(spark.createDataFrame(docs, DOC), bench).collect()
+    assert {r.doc_id: tuple(r.matches[0]) for r in out if r.matches} == want
+    assert all(len(r.matches) <= 1 for r in out)
 
 
 def test_longest_stretch_is_brute_force():
@@ -399,7 +417,7 @@ def test_decontamination_finds_leaks_and_leaves_clean(spark):
         body = list(item)
         if i % 3 == 1:  # every seventh word replaced
             body = [f"sub{k}" if k % 7 == 3 else w for k, w in enumerate(body)]
-        if i % 3 < 2 and len(item) >= decontam.SPAN:
+        if i % 3 < 2 and len(item) >= decontam.SHORT:
             at = int(rng.integers(0, 60))
             docs.append((i, " ".join(filler[:at] + body + filler[at:])))
             want[i] = names[i % len(names)]
