@@ -15,7 +15,7 @@ the same lines; a NULL doc_id sorts first; a text of which nothing is left
 becomes empty; other columns pass through.
 
 ``dedup_lines`` removes chunks only, so of a repeated passage no more than the
-chunks inside it.  ``dedup_passages`` finds the rest: besides the chunks it removes every passage of two or more lines with words and over
+chunks inside it.  ``dedup_passages`` finds the rest, by digest and after the same byte comparison: besides the chunks it removes every passage of two or more lines with words and over
 ``PASSAGE_WORDS`` words that stands at an earlier place.  From each line with
 words run the shortest such passage forwards and the shortest backwards; any
 repeated passage is the union of those inside it, and they end where the text
@@ -141,12 +141,34 @@ def passage_spans(rows: Column, full: Column) -> Column:
     return F.filter(F.concat(forwards, backwards), lambda c: c.isNotNull())
 
 
+def span_digest(span: Column) -> Column:
+    """What spans meet by: the first half of their text's SHA-256."""
+    return F.unhex(F.substring(F.sha2(span, 256), 1, 32))
+
+
+def same_bytes(docs: DataFrame, places: DataFrame, text: str, key: str) -> DataFrame:
+    """(span): the digests among ``places`` of which all texts are the same bytes.
+
+    The texts are cut out of the documents again, of these places alone, and
+    combined in the map tasks, so a passage crosses once per task.
+    """
+    wanted = places.groupBy(key, "doc").agg(F.collect_set(F.struct("s", "n", "span")).alias("__ld_at"))
+    wanted = wanted.select(F.col(key).alias("__ld_key"), F.lower(F.hex("doc")).alias("__ld_of"), "__ld_at")
+    named = docs.select(key, F.col(text).alias("__ld_text"), F.md5(text).alias("__ld_doc"))
+    both = named.join(wanted, named[key].eqNullSafe(wanted["__ld_key"]) & (named["__ld_doc"] == wanted["__ld_of"]))
+    cut_out = F.transform("__ld_at", lambda c: F.struct(c["span"].alias("span"), F.array_join(F.slice("__ld_rows", c["s"] + 1, c["n"]), "\n").alias("part")))
+    parts = both.select(F.split("__ld_text", "\n", -1).alias("__ld_rows"), "__ld_at").select(F.explode(cut_out).alias("c"))
+    return (parts.groupBy("c.span", "c.part").count()
+            .groupBy("span").agg(F.count("*").alias("texts")).filter("texts = 1").select("span"))
+
+
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(__ld_key, __ld_of, __ld_gone): the packed first and last lines, from 0, to remove, for documents that lose any.
 
-    Spans meet by the first half of their text's SHA-256, so no text is
-    shuffled; as with chunks nothing is gathered per span, and both sides of
-    the join on spans are written tables, so a hot span can be split.
+    Spans meet by ``span_digest``, so only the texts of repeated ones are
+    shuffled, for the byte comparison; as with chunks nothing is gathered per
+    span, and both sides of the join on spans are written tables, so a hot
+    span can be split.
     """
     rows = F.col("__ld_rows")
     counted = F.transform(rows, lambda r, i: F.struct(i.alias("i"), F.regexp_count(r, F.lit(r"\S+")).alias("w")))
@@ -156,12 +178,14 @@ def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     # Texts are hashed before the spans become rows: a row holds no lines.
     spans = F.transform("__ld_all", lambda c: F.struct(
         (F.shiftright(c, 32).cast("int") - 1).alias("s"), (c % SHIFT).cast("int").alias("n"),
-        F.unhex(F.substring(F.sha2(F.array_join(F.slice(rows, F.shiftright(c, 32).cast("int"), (c % SHIFT).cast("int")), "\n"), 256), 1, 32)).alias("span")))
+        span_digest(F.array_join(F.slice(rows, F.shiftright(c, 32).cast("int"), (c % SHIFT).cast("int")), "\n")).alias("span")))
     one = lined.select(key, F.unhex("__ld_doc").alias("doc"), F.explode(spans).alias("c"))
     places = cut(one.select(key, "doc", "c.s", "c.n", "c.span"), "span-places")
     own = F.struct(key, "doc", "s")
     first = places.groupBy("span").agg(F.min(own).alias("first"), F.count("*").alias("times")).filter("times > 1").select("span", "first")
     first = cut(first, "span-firsts")
+    equal = same_bytes(docs, places.join(first.select("span"), "span"), text, key)
+    first = cut(first.join(equal, "span"), "span-equals")
     gone = places.join(first, "span").filter(~own.eqNullSafe(F.col("first")))
     same = F.col(key).eqNullSafe(F.col("first")[key]) & (F.col("doc") == F.col("first.doc"))
     start = F.when(same, F.greatest(F.col("s"), F.col("first.s") + F.col("n"))).otherwise(F.col("s"))

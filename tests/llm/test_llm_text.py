@@ -129,6 +129,15 @@ def test_passages_of_odd_rows(spark, odd, empty):
     assert line_dedup.dedup_passages(empty).count() == 0
 
 
+def test_passages_of_one_digest_but_other_bytes_stay(spark, monkeypatch):
+    """The digest only proposes: where two texts share one, nothing is removed; a true copy beside them still goes."""
+    line = lambda k: " ".join(f"w{k}x{i}" for i in range(30))
+    docs = spark.createDataFrame([(k, f"{line(2 * k)}\n{line(2 * k + 1)}") for k in range(6)] + [(9, f"{line(0)}\n{line(1)}")], DOC)
+    assert sum(r.removed_lines for r in line_dedup.dedup_passages(docs).collect()) == 2
+    monkeypatch.setattr(line_dedup, "span_digest", lambda span: F.unhex(F.lit("00")))
+    assert sum(r.removed_lines for r in line_dedup.dedup_passages(docs).collect()) == 0
+
+
 # --- secret scan ------------------------------------------------------------
 
 def brute_spans(text):
