@@ -151,6 +151,22 @@ def with_change_hash(df: DataFrame, cols: Iterable[str], name: str, sep: str = K
     return with_number_texts(df, floating).withColumn(name, _joined(texts, sep)).drop(*[f"__text_{c}" for c in floating])
 
 
+#: What stands before a text that is no digest, so that it is longer than one.
+_PLAIN = bytes(17)
+
+
+def packed(text: Column) -> Column:
+    """A text as binary, for shuffles: a digest of 32 lower-case hexadecimal digits as its 16 bytes; no two texts give the same."""
+    digest = F.unhex(text)
+    return (F.when((F.octet_length(text) == 32) & (F.lower(F.hex(digest)) == text), digest)
+            .otherwise(F.concat(F.lit(_PLAIN), text.cast("binary"))))
+
+
+def unpacked(binary: Column) -> Column:
+    """The text that ``packed`` gave."""
+    return F.when(F.octet_length(binary) == 16, F.lower(F.hex(binary))).otherwise(F.substr(binary, F.lit(len(_PLAIN) + 1)).cast("string"))
+
+
 def not_null(*cols: str) -> Column:
     cond = F.lit(True)
     for c in cols:

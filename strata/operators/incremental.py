@@ -14,18 +14,22 @@ timestamp and load date of a repeated reading are those of the first batch
 that brought it.
 
 A batch is first written to the shared folder, so it is decoded, hashed and
-deduplicated once however often its keys are needed.  The stored table grows
-with every load; a batch is usually far smaller.  When the batch's distinct
-keys are bounded (measured bytes), they are broadcast and the stored table is
-only *scanned* — its key columns, pruned at the Parquet reader — to find which
-batch keys already exist; no stored row is shuffled.  The anti join then runs
-against that small result.  A batch above the bound falls back to a shuffled
-anti join on the keys.  A load can be re-run after a failure: rows already
-stored are found and skipped.
+deduplicated once however often its keys are needed; that copy goes when the
+load is stored.  Digests travel as their 16 bytes, not as 32 characters.  The
+stored table grows with every load; a batch is usually far smaller.  When the
+batch's distinct keys are few (measured bytes, at most ``KEYS_BYTES``), they
+are broadcast and the stored table is only *scanned* — its key columns, pruned
+at the Parquet reader — to find which batch keys already exist; no stored row
+is shuffled.  The anti join then runs against that small result.  Of a larger
+batch and of the stored keys only 64-bit hashes are shuffled: a row whose hash
+is not stored is new.  The others, all rows of a batch that is played again and
+a handful otherwise, are then compared by their whole keys.  A load can be
+re-run after a failure: rows already stored are found and skipped.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,12 +37,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.keys import with_change_hash
-from strata.plans.joins import byte_bound, max_broadcast_bytes
+from strata.functions.keys import packed, unpacked, with_change_hash
+from strata.plans.joins import byte_bound, is_unique, max_broadcast_bytes
 from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
-from strata.sources.files import path_exists
+from strata.sources.files import path_exists, remove_tree
 
+#: Batch keys up to this size are broadcast; they pass through the driver, once or twice per load and table.
+KEYS_BYTES = 8 << 20
+#: Digests as text are half as long with an entropy coder; the codecs without one leave them as they are.
+CODEC = "zstd"
 #: Columns that say when a row was loaded, not what it holds.
 AUDIT_COLUMNS = ("load_date", "record_source", "ingest_source")
 
@@ -47,25 +55,47 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def _staged(batch: DataFrame) -> DataFrame:
-    """The batch written to the shared folder and read back."""
-    path = scratch_dir(batch.sparkSession, "batch")
-    batch.write.parquet(path)
+def _staged(batch: DataFrame, into: str | None = None) -> DataFrame:
+    """The batch written to the shared folder (below ``into``, if given) and read back."""
+    path = scratch_dir(batch.sparkSession, "batch") if into is None else f"{into}/{uuid.uuid4().hex[:12]}"
+    batch.write.option("compression", CODEC).parquet(path)
     return batch.sparkSession.read.schema(batch.schema).parquet(path)
 
 
-def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` whose ``keys`` do not occur in ``stored``."""
-    batch_keys = rows.select(*keys).distinct()
-    if byte_bound(batch_keys, rows.select(*keys)) <= max_broadcast_bytes(rows.sparkSession):
+def _digests(rows: DataFrame, keys: list[str]) -> list[str]:
+    """The text columns that hold digests, or may."""
+    return [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)
+            and (f.name in keys or f.name.endswith(("_key", "_hash")))]
+
+
+def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str], into: str | None = None) -> DataFrame:
+    """``rows``, one per ``keys``, whose ``keys`` do not occur in ``stored``; those with a NULL key stay."""
+    spark, texts = rows.sparkSession, _digests(rows, keys)
+    columns = [(unpacked(F.col(c)).alias(c) if c in texts else F.col(c)) for c in rows.columns]
+    rows = _staged(rows.withColumns({c: packed(F.col(c)) for c in texts}), into)
+    known = stored.select(*[(packed(F.col(c)) if c in texts else F.col(c)).alias(c) for c in keys])
+    batch_keys = rows.select(*keys)
+    most = min(KEYS_BYTES, max_broadcast_bytes(spark))
+    if byte_bound(batch_keys) <= most:
         # Scan the stored keys against the broadcast batch keys: no stored row moves.
-        seen = stored.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi").distinct()
-        return rows.join(F.broadcast(seen), keys, "left_anti").select(*rows.columns)
-    return rows.join(stored.select(*keys), keys, "left_anti").select(*rows.columns)
+        seen = known.join(F.broadcast(batch_keys.distinct()), keys, "left_semi").distinct()
+        return rows.join(F.broadcast(seen), keys, "left_anti").select(*columns)
+    hashed = F.xxhash64(*keys).alias("__hash")
+    hits = _staged(batch_keys.select(hashed).join(known.select(hashed), "__hash", "left_semi"), into)
+    if byte_bound(hits) > most:
+        return rows.join(known, keys, "left_anti").select(*columns)
+    hits, rows = F.broadcast(hits.distinct()), rows.withColumn("__hash", hashed)
+    doubted = rows.join(hits, "__hash", "left_semi").join(known.withColumn("__hash", hashed).join(hits, "__hash", "left_semi").select(*keys), keys, "left_anti")
+    return rows.join(hits, "__hash", "left_anti").unionByName(doubted).select(*columns)
 
 
 def _first_of_each(batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per ``keys``: the least by ``order`` (NULL last), and by the other columns where that ties."""
+    """One row per ``keys``: the least by ``order`` (NULL last), and by the other columns where that ties.
+
+    A batch that is known to have one row per key is left as it is.
+    """
+    if is_unique(batch, keys):
+        return batch
     rest = [c for c in batch.columns if c not in keys]
     rank = [x for c in [*order, *[c for c in rest if c not in order]] for x in (F.col(c).isNull(), F.col(c))]
     best = F.min_by(F.struct(*rest), F.struct(*rank)) if rest else F.lit(None)
@@ -73,39 +103,47 @@ def _first_of_each(batch: DataFrame, keys: list[str], order: list[str]) -> DataF
     return out.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
-def new_keys(batch: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
+def new_keys(batch: DataFrame, stored: DataFrame | None, key: str, into: str | None = None) -> DataFrame:
     """Batch rows whose key is not stored yet; one row per new key."""
-    fresh = batch.dropDuplicates([key])
-    return fresh if stored is None else _unseen(_staged(fresh), stored, [key])
+    fresh = batch if is_unique(batch, [key]) else batch.dropDuplicates([key])
+    return fresh if stored is None else _unseen(fresh, stored, [key], into)
 
 
 def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
-                 hash_col: str = "source_hash", order: str = "ingest_timestamp") -> DataFrame:
+                 hash_col: str = "source_hash", order: str = "ingest_timestamp", into: str | None = None) -> DataFrame:
     """Batch rows whose (parent, change hash) is not stored yet; of equal readings the earliest."""
     keys = [parent_key, hash_col]
     rows = _first_of_each(batch, keys, [order] if order in batch.columns else [])
-    return rows if stored is None else _unseen(_staged(rows), stored, keys)
+    return rows if stored is None else _unseen(rows, stored, keys, into)
 
 
-def new_content_rows(batch: DataFrame, stored: DataFrame | None) -> DataFrame:
+def new_content_rows(batch: DataFrame, stored: DataFrame | None, into: str | None = None) -> DataFrame:
     """Batch rows whose content, audit columns aside, is not stored yet; one row per content."""
     content = [c for c in batch.columns if c not in AUDIT_COLUMNS]
 
-    rows = with_change_hash(batch, content, "_content").dropDuplicates(["_content"])
+    rows = with_change_hash(batch, content, "_content_hash").dropDuplicates(["_content_hash"])
+    if stored is not None:
+        rows = _unseen(rows, with_change_hash(stored, content, "_content_hash").select("_content_hash"), ["_content_hash"], into)
+    return rows.drop("_content_hash")
+
+
+def new_rejects(batch: DataFrame, stored: DataFrame | None, into: str | None = None) -> DataFrame:
+    """Rejected records that are not stored yet; equal ones are combined in the map tasks, as they are texts only."""
+    rows = with_change_hash(batch.distinct(), batch.columns, "_content_hash")
     if stored is not None:
-        rows = _unseen(_staged(rows), with_change_hash(stored, content, "_content").select("_content"), ["_content"])
-    return rows.drop("_content")
+        rows = _unseen(rows, with_change_hash(stored, batch.columns, "_content_hash").select("_content_hash"), ["_content_hash"], into)
+    return rows.drop("_content_hash")
 
 
-#: How each vault table takes a batch: (batch, stored or None) -> rows to append.
-FRESH: dict[str, Callable[[DataFrame, DataFrame | None], DataFrame]] = {
-    "hub_survey": lambda b, s: new_keys(b, s, "hub_survey_key"),
-    "hub_well": lambda b, s: new_keys(b, s, "hub_well_key"),
-    "link_survey_well": lambda b, s: new_keys(b, s, "link_survey_well_key"),
-    "sat_seismic_data": lambda b, s: new_sat_rows(b, s, "link_survey_well_key"),
+#: How each vault table takes a batch: (batch, stored or None, folder for copies) -> rows to append.
+FRESH: dict[str, Callable[..., DataFrame]] = {
+    "hub_survey": lambda b, s, into=None: new_keys(b, s, "hub_survey_key", into),
+    "hub_well": lambda b, s, into=None: new_keys(b, s, "hub_well_key", into),
+    "link_survey_well": lambda b, s, into=None: new_keys(b, s, "link_survey_well_key", into),
+    "sat_seismic_data": lambda b, s, into=None: new_sat_rows(b, s, "link_survey_well_key", into=into),
     "sat_survey_details": new_content_rows,
     "sat_well_details": new_content_rows,
-    "rejects": new_content_rows,
+    "rejects": new_rejects,
 }
 
 
@@ -127,8 +165,13 @@ class IncrementalVault:
         unknown = sorted(set(tables) - set(FRESH))
         if unknown:
             raise ValueError(f"no incremental rule for {unknown}")
-        return {name: write_parquet(FRESH[name](df, read_stored(spark, self.path(name))), self.path(name), mode="append")
-                for name, df in tables.items()}
+        added = {}
+        for name, df in tables.items():
+            copies = scratch_dir(spark, "load")
+            fresh = FRESH[name](df, read_stored(spark, self.path(name)), copies)
+            added[name] = write_parquet(fresh, self.path(name), mode="append", compression=CODEC)
+            remove_tree(spark, copies)  # the rows are stored
+        return added
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.path(name))

@@ -13,9 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.keys import md5_key, not_null, sha256_key, with_change_hash
-from strata.plans.joins import set_bound
+from strata.plans.joins import set_bound, set_unique
 
 # Fixed values of the vault layout.
 SURVEY_SOURCE = "master_surveys.csv"
@@ -24,6 +25,7 @@ READING_SOURCE = "sgx_reconstruction"
 SOURCE_FORMAT_CANDIDATES = ("source_format", "file_format", "format")
 DEFAULT_SOURCE_FORMAT = "csv"
 READING_HASH_COLUMNS = ("depth", "amplitude", "quality_flag")
+SAT_INPUTS = ("survey_id", "well_id", *READING_HASH_COLUMNS, "ingest_timestamp")
 
 
 def hash_fn(kind: str):
@@ -66,13 +68,19 @@ def rejects(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
     )
 
 
+def _whole(df: DataFrame, *cols: str) -> bool:
+    """Whether the columns are whole numbers, so that different values have different key texts."""
+    return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols)
+
+
 def build_hub(df: DataFrame, key: str, hub_key: str, load_ts: str,
               record_source: str, key_hash: str = "md5") -> DataFrame:
     """HUB: one row per distinct business key with its hash and audit columns."""
-    return (df.select(key).where(F.col(key).isNotNull()).distinct()
-              .select(stored_key(hash_fn(key_hash)(key)).alias(hub_key), key,
-                      F.lit(load_ts).alias("load_date"),
-                      F.lit(record_source).alias("record_source")))
+    hub = (df.select(key).where(F.col(key).isNotNull()).distinct()
+           .select(stored_key(hash_fn(key_hash)(key)).alias(hub_key), key,
+                   F.lit(load_ts).alias("load_date"),
+                   F.lit(record_source).alias("record_source")))
+    return set_unique(hub, [hub_key]) if _whole(df, key) else hub
 
 
 def build_sat(df: DataFrame, parent_key: str, parent_cols: Sequence[str],
@@ -95,13 +103,14 @@ def build_link(df: DataFrame, survey_col: str, well_col: str, load_ts: str,
     pairs = (df.select(survey_col, well_col)
                .where(not_null(survey_col, well_col))
                .distinct())
-    return pairs.select(
+    link = pairs.select(
         stored_key(h(survey_col, well_col)).alias("link_survey_well_key"),
         stored_key(h(survey_col)).alias("hub_survey_key"),
         stored_key(h(well_col)).alias("hub_well_key"),
         F.lit(load_ts).alias("load_date"),
         F.lit(record_source).alias("record_source"),
     )
+    return set_unique(link, ["link_survey_well_key"]) if _whole(df, survey_col, well_col) else link
 
 
 def survey_sat(surveys: DataFrame, load_ts: str, key_hash: str = "md5") -> DataFrame:
@@ -118,31 +127,40 @@ def well_sat(wells: DataFrame, load_ts: str, key_hash: str = "md5") -> DataFrame
 
 
 def seismic_sat(readings: DataFrame, load_ts: str, key_hash: str = "md5",
-                keep_source_timestamp: bool = False) -> DataFrame:
+                keep_source_timestamp: bool = False, once: bool = False) -> DataFrame:
     """SAT of readings keyed by the link; ``source_hash`` is the change hash of the reading.
 
     The hash covers depth, amplitude and flag only (no ids), so equal readings
     in different links share it by design.  By default the ingest columns are
     stamped with the load (the reference behaviour); ``keep_source_timestamp``
-    keeps a timestamp the source already carries.
+    keeps a timestamp the source already carries.  ``once``: of equal readings
+    of a link the earliest alone, found by their numbers before any text is
+    made of them (readings of other types than numbers are left as they are).
     """
+    once = once and _whole(readings, "survey_id", "well_id", "quality_flag") and all(
+        isinstance(readings.schema[c].dataType, T.DoubleType) for c in ("depth", "amplitude"))
+    if once:
+        first = F.min(F.col("ingest_timestamp") if "ingest_timestamp" in readings.columns else F.lit(None).cast("timestamp_ntz"))
+        readings = (readings.where(not_null("survey_id", "well_id")).groupBy("survey_id", "well_id", *READING_HASH_COLUMNS)
+                    .agg(first.alias("ingest_timestamp")).select(*[c for c in readings.columns if c in SAT_INPUTS]))
     ts = (F.col("ingest_timestamp") if keep_source_timestamp and "ingest_timestamp" in readings.columns
           else F.lit(load_ts).cast("timestamp_ntz"))
     h = hash_fn(key_hash)
     hashed = with_change_hash(readings.where(not_null("survey_id", "well_id")), READING_HASH_COLUMNS, "source_hash")
-    return (hashed
-            .select(stored_key(h("survey_id", "well_id")).alias("link_survey_well_key"),
-                    "depth", "amplitude", "quality_flag",
-                    F.lit(READING_SOURCE).alias("ingest_source"),
-                    "source_hash",
-                    ts.alias("ingest_timestamp"),
-                    F.lit(load_ts).alias("load_date")))
+    sat = (hashed
+           .select(stored_key(h("survey_id", "well_id")).alias("link_survey_well_key"),
+                   "depth", "amplitude", "quality_flag",
+                   F.lit(READING_SOURCE).alias("ingest_source"),
+                   "source_hash",
+                   ts.alias("ingest_timestamp"),
+                   F.lit(load_ts).alias("load_date")))
+    return set_unique(sat, ["link_survey_well_key", "source_hash"]) if once else sat
 
 
 def build_vault(surveys: DataFrame | None, wells: DataFrame | None, readings: DataFrame | None,
                 load_ts: str, key_hash: str = "md5",
-                keep_source_timestamp: bool = False) -> dict[str, DataFrame]:
-    """The whole raw vault as lazy DataFrames; absent inputs give absent tables."""
+                keep_source_timestamp: bool = False, once: bool = False) -> dict[str, DataFrame]:
+    """The whole raw vault as lazy DataFrames; absent inputs give absent tables (``once``: see ``seismic_sat``)."""
     out: dict[str, DataFrame] = {}
     rej: list[DataFrame] = []
     if surveys is not None:
@@ -158,7 +176,7 @@ def build_vault(surveys: DataFrame | None, wells: DataFrame | None, readings: Da
     if readings is not None:
         out["link_survey_well"] = build_link(readings, "survey_id", "well_id", load_ts,
                                              READING_SOURCE, key_hash)
-        out["sat_seismic_data"] = seismic_sat(readings, load_ts, key_hash, keep_source_timestamp)
+        out["sat_seismic_data"] = seismic_sat(readings, load_ts, key_hash, keep_source_timestamp, once)
         rej.append(rejects(readings, ["survey_id", "well_id"], "link_survey_well"))
     if rej:
         r = rej[0]

@@ -77,9 +77,9 @@ def q_vault_as_of(spark, sf_dir):
             "hub_well": build_hub(master, "well_id", "hub_well_key", date, "master_wells.csv"),
             "sat_well_details": well_sat(master, date),
             "link_survey_well": build_link(rows, "survey_id", "well_id", date),
-            "sat_seismic_data": seismic_sat(rows, date, keep_source_timestamp=True)})
+            "sat_seismic_data": seismic_sat(rows, date, keep_source_timestamp=True, once=True)})
     none = F.lit(None)
-    links = H.as_of(vault.table(spark, "link_survey_well"), vault.table(spark, "sat_seismic_data"), "link_survey_well_key", DATES, H.READING_ORDER)
+    links = H.as_of(vault.table(spark, "link_survey_well"), vault.table(spark, "sat_seismic_data").drop("ingest_source"), "link_survey_well_key", DATES, H.READING_ORDER)
     hubs = H.as_of(vault.table(spark, "hub_well"), vault.table(spark, "sat_well_details"), "hub_well_key", DATES)
     return links.select(F.col("link_survey_well_key").alias("parent_key"), "as_of", "valid_from", none.cast("string").alias("operator"), "depth", "amplitude").unionByName(
         hubs.select(F.col("hub_well_key").alias("parent_key"), "as_of", "valid_from", "operator", none.cast("double").alias("depth"), none.cast("double").alias("amplitude")))
@@ -123,7 +123,7 @@ def q_incremental_sat_bucketed(spark, sf_dir):
     sat = BucketedSat(f"sat_seismic_{uuid.uuid4().hex[:12]}", scratch_dir(spark, "bucketed-sat"), buckets=16)
     loads = by_load(analog.readings(spark, sf_dir))
     for date, rows in [loads[0], loads[1], *loads[1:]]:
-        sat.load(seismic_sat(rows, date, keep_source_timestamp=True))
+        sat.load(seismic_sat(rows, date, keep_source_timestamp=True, once=True))
     return sat.table(spark).select("link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash",
                                    ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"), "load_date")
 
@@ -141,7 +141,7 @@ def loaded_marts(spark, sf_dir) -> IncrementalMarts:
     loads = by_load(inp["readings"])
     for date, rows in [loads[0], loads[1], *loads[1:]]:
         first = date == LOADS[0]  # the masters come with the first load
-        tables = build_vault(inp["surveys"] if first else None, inp["wells"] if first else None, rows, date, keep_source_timestamp=True)
+        tables = build_vault(inp["surveys"] if first else None, inp["wells"] if first else None, rows, date, keep_source_timestamp=True, once=True)
         store.load(spark, {name: df for name, df in tables.items() if name in (*DIMENSIONS, SAT)}, date)
     return store
 

@@ -56,6 +56,16 @@ def bound_of(df: DataFrame) -> DataFrame | None:
     return getattr(df, "_strata_bound", None)
 
 
+def set_unique(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Record that ``df`` has one row per ``keys``."""
+    df._strata_unique = frozenset(keys)
+    return df
+
+
+def is_unique(df: DataFrame, keys: list[str]) -> bool:
+    return getattr(df, "_strata_unique", None) == frozenset(keys)
+
+
 def maybe_broadcast(df: DataFrame, max_bytes: int | None = None,
                     bound_source: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only when the size is proven below the bound.

@@ -75,7 +75,7 @@ def q_incremental_sat(spark, sf_dir):
     vault = INC.IncrementalVault(scratch_dir(spark, "inc-sat"))
     batches = yearly_batches(with_gaps(analog.readings(spark, sf_dir)))
     for date, rows in [batches[0], *batches]:
-        vault.load(spark, {"sat_seismic_data": seismic_sat(rows, date, keep_source_timestamp=True)})
+        vault.load(spark, {"sat_seismic_data": seismic_sat(rows, date, keep_source_timestamp=True, once=True)})
     return vault.table(spark, "sat_seismic_data").select(
         "link_survey_well_key", "depth", "amplitude", "quality_flag", "source_hash",
         ts_text(F.col("ingest_timestamp")).alias("ingest_timestamp"), "load_date")
@@ -93,7 +93,7 @@ def q_incremental_masters(spark, sf_dir):
     inp = analog.inputs(spark, sf_dir)
     changed = inp["wells"].withColumn("operator", F.when(F.col("well_id") % 3 == 0, F.concat("operator", F.lit(" Ltd"))).otherwise(F.col("operator")))
     for date, wells in (("1", inp["wells"]), ("2", changed), ("3", changed)):
-        vault.load(spark, build_vault(inp["surveys"], wells, inp["readings"], date, keep_source_timestamp=True))
+        vault.load(spark, build_vault(inp["surveys"], wells, inp["readings"], date, keep_source_timestamp=True, once=True))
     surveys = vault.table(spark, "sat_survey_details").select(
         F.lit("sat_survey_details").alias("table_name"), F.col("survey_type_id").alias("business_key"),
         F.col("survey_type").alias("attribute"), "load_date")

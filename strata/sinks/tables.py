@@ -21,19 +21,21 @@ REPORT_SCHEMA = ("table_name string, sink string, status string, row_count bigin
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> int:
+                  partition_by: list[str] | None = None, compression: str | None = None) -> int:
     """Write Parquet and return the number of rows written (counted during the write)."""
-    return write_measured(df, path, {}, mode, partition_by)["rows"]
+    return write_measured(df, path, {}, mode, partition_by, compression)["rows"]
 
 
 def write_measured(df: DataFrame, path: str, measures: dict[str, Column], mode: str = "overwrite",
-                   partition_by: list[str] | None = None) -> dict:
+                   partition_by: list[str] | None = None, compression: str | None = None) -> dict:
     """Write Parquet; the values of ``measures`` (aggregates without distinct) and ``rows``, taken during the write."""
     obs = Observation()
     named = {f"m{i}": c for i, c in enumerate(measures.values())}
     w = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in named.items()]).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     w.parquet(path)
     found = obs.get
     return {"rows": int(found["rows"])} | {m: found[n] for m, n in zip(measures, named)}

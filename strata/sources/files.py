@@ -27,6 +27,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, if it is there."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.delete(hpath, True)
+
+
 def any_file(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> bool:
     """True as soon as one matching (non-hidden) file is found below ``root``.
 

@@ -39,7 +39,7 @@ def load_stream(stream: DataFrame, vault_root: str, checkpoint: str, load_ts: st
         tables = {
             "link_survey_well": build_link(readings, "survey_id", "well_id", load_ts),
             "sat_seismic_data": seismic_sat(readings, load_ts,
-                                            keep_source_timestamp=keep_source_timestamp),
+                                            keep_source_timestamp=keep_source_timestamp, once=True),
             "rejects": rejects(readings, ["survey_id", "well_id"], "link_survey_well"),
         }
         res = vault.load(batch.sparkSession, tables)
