@@ -10,9 +10,10 @@ that holds a third of all readings is spread over all buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from strata.operators.incremental import _first_of_each, _staged
+from strata.operators.incremental import CODEC, _first_of_each
 from strata.sources.files import path_exists
 
 
@@ -51,9 +52,9 @@ class BucketedSat:
 
     def load(self, batch: DataFrame) -> int:
         """Append what is new; returns the rows added.  A batch played again adds nothing."""
-        fresh = _staged(self.unseen(batch))
-        added = fresh.count()
-        if added:
-            (fresh.repartition(self.buckets, *self.keys)  # a task per bucket: one file each, not buckets x tasks
-             .write.mode("append").bucketBy(self.buckets, *self.keys).sortBy(*self.keys).option("path", self.path).saveAsTable(self.name))
-        return added
+        rows = Observation()
+        # A task per bucket: one file each, not buckets x tasks.  Behind the join rows lie so already and do not move again.
+        (self.unseen(batch).repartition(self.buckets, *self.keys).observe(rows, F.count(F.lit(1)).alias("rows"))
+         .write.mode("append").bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+         .option("path", self.path).option("compression", CODEC).saveAsTable(self.name))
+        return int(rows.get["rows"])
