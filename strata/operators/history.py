@@ -28,10 +28,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.keys import md5_key, with_change_hash
+from strata.functions.keys import md5_key, packed, unpacked, with_change_hash
 from strata.operators.vault import stored_key
 from strata.plans.joins import byte_bound, max_broadcast_bytes
 from strata.session import scratch_dir
@@ -48,11 +49,6 @@ SATELLITES: dict[str, tuple[str, str, tuple[str, ...]]] = {
 }
 
 
-def _rank(date: Column, order: Sequence[str]) -> Column:
-    """Sort key of a satellite row: load date, then the tie columns, NULL first."""
-    return F.struct(date.alias("__date"), *[F.col(c) for c in order])
-
-
 def as_of(parent: DataFrame, sat: DataFrame, key: str, dates: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """(key, as_of, valid_from, the satellite's other columns): a row per parent and date by which it was loaded.
 
@@ -62,14 +58,18 @@ def as_of(parent: DataFrame, sat: DataFrame, key: str, dates: Sequence[str], ord
     column of the aggregate.
     """
     payload = [c for c in sat.columns if c not in (key, LOAD_DATE)]
-    row = F.struct(_rank(F.col(LOAD_DATE), order).alias("rank"), F.col(LOAD_DATE).alias("valid_from"), *[F.col(c) for c in payload])
+    text = isinstance(sat.schema[key].dataType, T.StringType) and isinstance(parent.schema[key].dataType, T.StringType)
+    if text:  # shuffled as binary
+        parent, sat = (df.withColumn(key, packed(F.col(key))) for df in (parent, sat))
+    # Compared from the left: load date, the given order, the rest; each column stands there once.
+    row = F.struct(F.col(LOAD_DATE).alias("valid_from"), *[F.col(c) for c in order], *[F.col(c) for c in payload if c not in order])
     rows = sat.select(key, F.lit(None).cast(parent.schema[LOAD_DATE].dataType).alias("__born"), row.alias("__row"))
     both = parent.select(key, F.col(LOAD_DATE).alias("__born"), F.lit(None).cast(rows.schema["__row"].dataType).alias("__row")).unionByName(rows)
     valid = [F.max(F.when(F.col("__row.valid_from") <= F.lit(d), F.col("__row"))).alias(f"__v{i}") for i, d in enumerate(dates)]
     found = both.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("__born").alias("__born"), *valid)
     each = F.explode(F.array(*[F.struct(F.lit(d).alias("as_of"), F.col(f"__v{i}").alias("row")) for i, d in enumerate(dates)]))
     return (found.select(key, "__born", each.alias("e")).where(F.col("__born") <= F.col("e.as_of"))
-            .select(key, "e.as_of", "e.row.valid_from", *[F.col(f"e.row.{c}").alias(c) for c in payload]))
+            .select((unpacked(F.col(key)).alias(key) if text else F.col(key)), "e.as_of", "e.row.valid_from", *[F.col(f"e.row.{c}").alias(c) for c in payload]))
 
 
 def vault_as_of(vault: dict[str, DataFrame], date: str) -> dict[str, DataFrame]:
