@@ -25,10 +25,12 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.incremental import FRESH, IncrementalVault, _staged, read_stored
+from strata.functions.keys import packed, unpacked
+from strata.operators.incremental import CODEC, FRESH, IncrementalVault, _digests, _staged, read_stored
 from strata.operators.marts import _aggregates, _attach_dims, build_marts, wells_surveyed
+from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
-from strata.sources.files import path_exists
+from strata.sources.files import path_exists, remove_tree
 
 SAT, LINK = "sat_seismic_data", "link_survey_well"
 LINK_KEY = "link_survey_well_key"
@@ -38,6 +40,10 @@ SKETCH_ERROR = 5 * 1.04 / 2 ** (LG_K / 2)
 DIMENSIONS = ("link_survey_well", "hub_well", "hub_survey", "sat_survey_details")
 
 
+def _binary(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: packed(F.col(c)) for c in _digests(df, [])})
+
+
 def survey_sketches(links: DataFrame) -> DataFrame:
     """One sketch of the distinct wells per survey (at most 2^LG_K bytes and a header); combined in the map tasks."""
     return links.groupBy("hub_survey_key").agg(F.hll_sketch_agg("hub_well_key", LG_K).alias("wells"))
@@ -65,12 +71,15 @@ class IncrementalMarts:
             write_parquet(survey_sketches(tables[LINK]), f"{self.sketch_path}/load={load_id}")
         added = self.vault.load(spark, others)
         if SAT in tables:
-            fresh = _staged(FRESH[SAT](tables[SAT], read_stored(spark, self.vault.path(SAT))))
+            copies = scratch_dir(spark, "load")
+            fresh = _staged(FRESH[SAT](tables[SAT], read_stored(spark, self.vault.path(SAT)), copies), copies)
             added[SAT] = fresh.count()
             if added[SAT]:
-                partials = fresh.groupBy(LINK_KEY).agg(*_aggregates())
-                write_parquet(partials, f"{self.facts_path}/load={load_id}")
-                write_parquet(fresh, self.vault.path(SAT), mode="append")
+                partials = fresh.groupBy(packed(F.col(LINK_KEY)).alias(LINK_KEY)).agg(*_aggregates())
+                partials = partials.withColumn(LINK_KEY, unpacked(F.col(LINK_KEY)))
+                write_parquet(partials, f"{self.facts_path}/load={load_id}", compression=CODEC)
+                write_parquet(fresh, self.vault.path(SAT), mode="append", compression=CODEC)
+            remove_tree(spark, copies)
             if path_exists(spark, f"{self.facts_path}/load={load_id}"):
                 spark.createDataFrame([(added[SAT],)], "rows bigint").write.mode("overwrite").parquet(f"{self.commits_path}/load={load_id}")
         return {name: added[name] for name in tables}
@@ -87,14 +96,18 @@ class IncrementalMarts:
         sums = [F.sum(c).alias(c) for c in ("n_depth", "n_amp", "amp_sum", "n_flags")]
         return self.partials(spark).groupBy(LINK_KEY).agg(*sums, F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
 
+    def dimensions(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """The tables that the marts join, with keys as binary: no mart shows one."""
+        return {name: _binary(self.vault.table(spark, name)) for name in DIMENSIONS}
+
     def wells_surveyed(self, spark: SparkSession) -> DataFrame:
         """(survey_type_id, wells_surveyed_count, wells_estimate, error): the exact count beside the sketches' one, and the relative difference."""
-        exact = wells_surveyed({name: self.vault.table(spark, name) for name in DIMENSIONS})
+        exact = wells_surveyed(self.dimensions(spark))
         hub = self.vault.table(spark, "hub_survey").select("hub_survey_key", "survey_type_id")
         found = estimated_wells(spark.read.parquet(self.sketch_path)).join(hub, "hub_survey_key").drop("hub_survey_key")
         return exact.join(found, "survey_type_id").withColumn("error", F.abs(F.col("wells_estimate") / F.col("wells_surveyed_count") - 1))
 
     def marts(self, spark: SparkSession) -> dict[str, DataFrame]:
         """The three marts, from the partials and the dimensions."""
-        vault = {name: self.vault.table(spark, name) for name in DIMENSIONS}
-        return build_marts(vault, facts=_attach_dims(self.partials(spark), vault))
+        vault = self.dimensions(spark)
+        return build_marts(vault, facts=_attach_dims(_binary(self.partials(spark)), vault))
