@@ -127,6 +127,10 @@ def read_model(path: str = MODEL_PATH) -> Vocabulary:
     return build([p.piece for p in model.pieces], score, kinds)
 
 
+#: Characters encoded at a time: the trie matches of a group take some hundred bytes per character.
+GROUP_CHARS = 1 << 19
+
+
 def build(pieces: list[str], score: np.ndarray, kinds: np.ndarray) -> Vocabulary:
     inside = np.flatnonzero((kinds == NORMAL) | (kinds == USER))
     raw = [p.encode() for p in pieces]
@@ -247,7 +251,7 @@ def encode_column(docs: DataFrame, voc: Vocabulary, text: str = "text") -> DataF
         voc = shared.value
         texts = texts.to_pylist()
         parts, sizes, same = [], [], []
-        for part in groups(texts):
+        for part in groups(texts, GROUP_CHARS):
             ids, offsets = encode(voc, texts[part])
             parts.append(ids)
             sizes.append(np.diff(offsets))

@@ -477,3 +477,13 @@ def test_benchmark_in_several_blocks(spark, monkeypatch):
     one = run()
     monkeypatch.setattr(decontam, "BLOCK_WORDS", 300)
     assert run() == one
+
+
+def test_codec_works_in_small_groups(spark, monkeypatch):
+    """A task holds the matches of a bounded group of texts, and the cut between groups shows in no result."""
+    assert sp_codec.GROUP_CHARS <= 1 << 19
+    voc = queries.vocabulary(spark)
+    docs = spark.createDataFrame([(i, f"some words {i} " * (i % 5)) for i in range(50)] + [(99, None)], DOC)
+    whole = sp_codec.encode_column(docs, voc).collect()
+    monkeypatch.setattr(sp_codec, "GROUP_CHARS", 20)
+    assert sp_codec.encode_column(docs, voc).collect() == whole and all(r.round_trip in (True, None) for r in whole)
