@@ -169,7 +169,7 @@ class IncrementalVault:
         for name, df in tables.items():
             copies = scratch_dir(spark, "load")
             fresh = FRESH[name](df, read_stored(spark, self.path(name)), copies)
-            added[name] = write_parquet(fresh, self.path(name), mode="append", compression=CODEC)
+            added[name] = write_parquet(fresh, self.path(name), mode="append")
             remove_tree(spark, copies)  # the rows are stored
         return added
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.keys import packed, unpacked
-from strata.operators.incremental import CODEC, FRESH, IncrementalVault, _digests, _staged, read_stored
+from strata.operators.incremental import FRESH, IncrementalVault, _digests, _staged, read_stored
 from strata.operators.marts import _aggregates, _attach_dims, build_marts, wells_surveyed
 from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
@@ -77,8 +77,8 @@ class IncrementalMarts:
             if added[SAT]:
                 partials = fresh.groupBy(packed(F.col(LINK_KEY)).alias(LINK_KEY)).agg(*_aggregates())
                 partials = partials.withColumn(LINK_KEY, unpacked(F.col(LINK_KEY)))
-                write_parquet(partials, f"{self.facts_path}/load={load_id}", compression=CODEC)
-                write_parquet(fresh, self.vault.path(SAT), mode="append", compression=CODEC)
+                write_parquet(partials, f"{self.facts_path}/load={load_id}")
+                write_parquet(fresh, self.vault.path(SAT), mode="append")
             remove_tree(spark, copies)
             if path_exists(spark, f"{self.facts_path}/load={load_id}"):
                 spark.createDataFrame([(added[SAT],)], "rows bigint").write.mode("overwrite").parquet(f"{self.commits_path}/load={load_id}")
