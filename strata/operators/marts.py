@@ -17,6 +17,10 @@ roll-ups and agree exactly.
 readings are scanned once and grouped by their two integer keys, and that one
 grouped frame yields the links, the partials and the wells per survey.
 
+``well_performance_from_inputs`` builds the well mart alone, whose groups are
+too many to be held beside the links': a reading gets its survey's format and
+goes straight into the group of its well, so a task holds one table of groups.
+
 Means are those of the double values, as pandas computes them: a sum and a
 count are carried through the roll-ups and divided once at the end; an
 infinity stays one.  Sums of doubles depend on their order in the last bits,
@@ -107,6 +111,13 @@ def link_facts(vault: dict[str, DataFrame]) -> DataFrame:
     return _attach_dims(vault["sat_seismic_data"].groupBy("link_survey_well_key").agg(*_aggregates()), vault)
 
 
+def _survey_formats(surveys: DataFrame) -> DataFrame:
+    """The formats of each survey id, one row each: two multiply the survey's readings."""
+    fmt = pick_column(surveys, SOURCE_FORMAT_CANDIDATES, DEFAULT_SOURCE_FORMAT)
+    return (surveys.where("survey_type_id is not null")
+            .select("survey_type_id", "survey_type", fmt.alias("source_format")).distinct())
+
+
 def facts_from_inputs(surveys: DataFrame, wells: DataFrame, readings: DataFrame) -> DataFrame:
     """The partials of every link and survey format from one scan of the readings.
 
@@ -117,11 +128,8 @@ def facts_from_inputs(surveys: DataFrame, wells: DataFrame, readings: DataFrame)
     per_link = (readings.where(not_null("survey_id", "well_id"))
                 .groupBy("survey_id", "well_id").agg(*_aggregates()))
     hub_well = wells.select("well_id").where("well_id is not null").distinct().withColumn("in_hub", F.lit(True))
-    fmt = pick_column(surveys, SOURCE_FORMAT_CANDIDATES, DEFAULT_SOURCE_FORMAT)
-    survey = (surveys.where("survey_type_id is not null")
-              .select("survey_type_id", "survey_type", fmt.alias("source_format")).distinct())
     return (per_link.withColumnRenamed("survey_id", "survey_type_id")
-            .join(maybe_broadcast(survey, bound_source=surveys), "survey_type_id")
+            .join(maybe_broadcast(_survey_formats(surveys), bound_source=surveys), "survey_type_id")
             .join(maybe_broadcast(hub_well, bound_source=wells), "well_id", "left"))
 
 
@@ -148,6 +156,21 @@ def mart_well_performance(facts: DataFrame) -> DataFrame:
             .groupBy("well_id", "source_format").agg(*_metrics()))
 
 
+def well_performance_from_inputs(surveys: DataFrame, wells: DataFrame, readings: DataFrame) -> DataFrame:
+    """``mart_well_performance`` from one scan of the readings and one aggregate, by well and format.
+
+    By way of the links a task would hold its links' partials and its wells'
+    at once.  Wells missing from the master are dropped last, where a well has
+    one row per format.
+    """
+    survey = _survey_formats(surveys).select("survey_type_id", "source_format")
+    facts = (readings.where(not_null("survey_id", "well_id")).withColumnRenamed("survey_id", "survey_type_id")
+             .join(maybe_broadcast(survey, bound_source=surveys), "survey_type_id")
+             .select("well_id", "source_format", *_partials()))
+    hub_well = wells.select("well_id").where("well_id is not null")
+    return mart_well_performance(facts).join(maybe_broadcast(hub_well), "well_id", "left_semi")
+
+
 def mart_sensor_analysis(facts: DataFrame) -> DataFrame:
     return _keys_present(facts, "survey_type").groupBy("survey_type").agg(*_metrics())
 

@@ -119,6 +119,10 @@ def input_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {k: shown(v) for k, v in M.marts_from_facts(M.facts_from_inputs(**inp)).items()}
 
 
+def input_well_mart(inputs: dict[str, DataFrame]) -> DataFrame:
+    return shown(M.well_performance_from_inputs(**inputs))
+
+
 def stored_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three marts on per-link facts that are computed once and written to the shared folder."""
     facts = M.facts_from_inputs(**analog.inputs(spark, sf_dir))
@@ -289,7 +293,7 @@ def q_wells_surveyed(spark, sf_dir):
 
 @register("mart_well_performance", _with(MART_WELL_SQL))
 def q_mart_well_performance(spark, sf_dir):
-    return input_marts(spark, sf_dir)["mart_well_performance"]
+    return input_well_mart(analog.inputs(spark, sf_dir))
 
 
 @register("mart_sensor_analysis", _with(MART_SENSOR_SQL))
@@ -460,7 +464,7 @@ def tiny_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @register("mart_tiny_values", "WITH " + TINY_CTES + MART_WELL_SQL)
 def q_mart_tiny_values(spark, sf_dir):
     """Means of values far below a millionth, with NULL, infinite and equal readings."""
-    return shown(M.marts_from_facts(M.facts_from_inputs(**tiny_inputs(spark, sf_dir)))["mart_well_performance"])
+    return input_well_mart(tiny_inputs(spark, sf_dir))
 
 
 @register("source_hash_tiny", "WITH " + TINY_CTES + f"""
