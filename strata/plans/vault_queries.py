@@ -319,7 +319,7 @@ def q_mart_well_performance_direct(spark, sf_dir):
 
 @register("mart_preview", _with(MART_WELL_SQL + "\nORDER BY well_id, source_format LIMIT 20"))
 def q_mart_preview(spark, sf_dir):
-    mart = input_marts(spark, sf_dir)["mart_well_performance"]
+    mart = input_well_mart(analog.inputs(spark, sf_dir))
     return M.mart_preview(mart, ["well_id", "source_format"], 20)
 
 
