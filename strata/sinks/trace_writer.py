@@ -3,9 +3,10 @@
 Tasks write into a staging folder of the job and report where, in a commit
 message; the driver moves the staging folder into place once every task has
 finished, in one rename.  A failed job removes its staging folder, so it leaves
-no file; what a retried or speculative task wrote beside the attempt that
-counts is removed before the rename.  Readers of this package pass staging
-folders by.
+no file: the folder is made before any task runs and never by a task, so one
+that is yet to be stopped then cannot write.  What a retried or speculative
+task wrote beside the attempt that counts is removed before the rename.
+Readers of this package pass staging folders by.
 
 A file's header holds its record count, so a file is written when its records
 are known.  Memory is bounded all the same: a task holds at most
@@ -23,6 +24,7 @@ before any task runs.  An empty frame writes no file.
 from __future__ import annotations
 
 import struct
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +38,8 @@ from strata.sources.fsys import resolve
 FORMAT = "tracefiles"
 COLUMNS = ("survey_id", "well_id", "depth", "amplitude", "quality_flag")
 DEFAULT_BUFFER_BYTES = 64 << 20
+#: How often, and after how many seconds, a failed job's folder is removed again if a task adds a file meanwhile.
+REMOVALS, REMOVAL_PAUSE = 50, 0.1
 
 
 class PartWritten(WriterCommitMessage):
@@ -86,6 +90,10 @@ class TraceWriter(DataSourceArrowWriter):
         fs, root = resolve(self.path)
         return fs, root.rstrip("/"), f"{root.rstrip('/')}/{STAGING}{self.job}"
 
+    def prepare(self) -> None:
+        fs, _, staging = self._staging()
+        fs.create_dir(staging, recursive=True)
+
     def write(self, iterator):
         from pyspark import TaskContext
 
@@ -97,7 +105,7 @@ class TraceWriter(DataSourceArrowWriter):
         def emit(survey, chunks):
             nonlocal files
             if not files:
-                fs.create_dir(f"{staging}/{folder}", recursive=True)
+                fs.create_dir(f"{staging}/{folder}", recursive=False)
             with fs.open_output_stream(f"{staging}/{folder}/survey-{survey}-{files:05d}{self.suffix}") as f:
                 f.write(struct.pack(HEADER_FORMAT, MAGIC, survey, sum(map(len, chunks)) // record_dtype().itemsize))
                 for c in chunks:
@@ -148,16 +156,28 @@ class TraceWriter(DataSourceArrowWriter):
                 if f.base_name not in counted:
                     fs.delete_dir(f.path)
             fs.move(staging, f"{root}/load-{self.job}")
+        else:
+            self._remove(fs, staging)
         if self.overwrite:
             for f in before:
                 fs.delete_dir(f.path) if f.type == pafs.FileType.Directory else fs.delete_file(f.path)
 
     def abort(self, messages):
+        fs, _, staging = self._staging()
+        self._remove(fs, staging)
+
+    def _remove(self, fs, staging):
         import pyarrow.fs as pafs
 
-        fs, _, staging = self._staging()
-        if fs.get_file_info(staging).type == pafs.FileType.Directory:
-            fs.delete_dir(staging)
+        for left in reversed(range(REMOVALS)):
+            if fs.get_file_info(staging).type != pafs.FileType.Directory:
+                return
+            try:
+                return fs.delete_dir(staging)
+            except OSError:
+                if not left:
+                    raise
+                time.sleep(REMOVAL_PAUSE)
 
 
 class TraceFiles(FixedWidthDataSource):
@@ -168,7 +188,9 @@ class TraceFiles(FixedWidthDataSource):
         return FORMAT
 
     def writer(self, schema, overwrite):
-        return TraceWriter(self.options, schema, overwrite)
+        writer = TraceWriter(self.options, schema, overwrite)
+        writer.prepare()
+        return writer
 
 
 def register(spark: SparkSession) -> None:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyspark
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.incremental import IncrementalVault
 from strata.sinks import trace_writer as TW
@@ -57,6 +61,24 @@ def test_failed_task_leaves_no_file(spark, tmp):
         TW.write(df.drop("depth"), f"{tmp}/lake")
 
 
+def test_task_that_outlives_its_failed_job_leaves_no_file(tmp, monkeypatch):
+    """The job is given up before one of its tasks writes: the task finds no folder and makes none."""
+    schema = T.StructType.fromDDL(READING)
+    batch = pa.table({"survey_id": [1, 2], "well_id": [1, 1], "depth": [1.0, 2.0], "amplitude": [1.0, 2.0], "quality_flag": [0, 1]}).to_batches()
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 7))
+    writer = TW.TraceFiles({"path": f"{tmp}/lake"}).writer(schema, False)
+    writer.abort([])
+    with pytest.raises(OSError):
+        writer.write(iter(batch))
+    assert os.listdir(f"{tmp}/lake") == []
+    writer = TW.TraceFiles({"path": f"{tmp}/lake"}).writer(schema, False)
+    writer.commit([writer.write(iter(batch))])
+    assert len(files_below(f"{tmp}/lake")) == 2
+    writer = TW.TraceFiles({"path": f"{tmp}/lake"}).writer(schema, False)
+    writer.commit([writer.write(iter([]))])
+    assert len(os.listdir(f"{tmp}/lake")) == 1
+
+
 def test_unfinished_write_is_not_seen(spark, tmp):
     write_file(f"{tmp}/lake/{FW.STAGING}x/part-0/a.sgx", [(1, 1.0, 1.0, 1)])
     write_file(f"{tmp}/lake/b.sgx", [(2, 1.0, 1.0, 1)])
