@@ -34,34 +34,48 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.keys import not_null
+from strata.functions.keys import not_null, packed, unpacked
 from strata.operators.vault import DEFAULT_SOURCE_FORMAT, SOURCE_FORMAT_CANDIDATES, pick_column
 from strata.plans.joins import bound_of, maybe_broadcast, salted_join
 
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+HASH_KEYS = ("link_survey_well_key", "hub_survey_key", "hub_well_key")
 MART_NAMES = ("mart_well_performance", "mart_sensor_analysis", "mart_survey_summary")
 
 
 def _dim(vault: dict[str, DataFrame], name: str, *cols: str, distinct: bool = False) -> DataFrame:
     """A narrow projection of a dimension, broadcast when its size is bounded."""
     src = vault[name]
-    df = src.select(*cols)
+    df = _short_keys(src.select(*cols))
     if distinct:
         df = df.distinct()
     return maybe_broadcast(df, bound_source=bound_of(src) or src)
 
 
+def _short_keys(df: DataFrame, *only: str) -> DataFrame:
+    """``df`` for inner joins on its hash keys, or ``only`` some: they move as ``packed`` binary; NULL ones match nothing and go."""
+    keys = [f.name for f in df.schema.fields if f.name in (only or HASH_KEYS) and isinstance(f.dataType, T.StringType)]
+    return df.where(not_null(*keys)).withColumns({k: F.coalesce(packed(F.col(k)), F.lit(b"")) for k in keys}) if keys else df
+
+
+def _text_keys(df: DataFrame) -> DataFrame:
+    """What ``_short_keys`` made short as the texts they were."""
+    return df.withColumns({f.name: unpacked(F.col(f.name)) for f in df.schema.fields
+                           if f.name in HASH_KEYS and isinstance(f.dataType, T.BinaryType)})
+
+
 def _attach_dims(facts: DataFrame, vault: dict[str, DataFrame], salts: int = 1) -> DataFrame:
     """facts(link key, ...) ⋈ link ⋈ hub_well ⋈ hub_survey ⟕ survey satellite."""
     link = vault["link_survey_well"].select("link_survey_well_key", "hub_survey_key", "hub_well_key")
-    out = salted_join(facts, link, "link_survey_well_key", salts)
+    out = salted_join(_short_keys(facts), _short_keys(link), "link_survey_well_key", salts)
     out = out.join(_dim(vault, "hub_well", "hub_well_key", "well_id"), "hub_well_key")
     out = out.join(_dim(vault, "hub_survey", "hub_survey_key", "survey_type_id"), "hub_survey_key")
     # Two formats for one survey id multiply its readings, as the reference's merge does.
     survey_sat = _dim(vault, "sat_survey_details", "survey_type_id", "survey_type", "source_format",
                       distinct=True)
-    return out.join(survey_sat, "survey_type_id", "left")
+    return _text_keys(out.join(survey_sat, "survey_type_id", "left"))
 
 
 def _partials() -> list[Column]:
@@ -80,7 +94,7 @@ def core_join(vault: dict[str, DataFrame], salts: int | None = None) -> DataFram
 
     The readings ⋈ link join is the one join whose streamed side can be
     skewed (a hot link); ``salts`` (default: conf ``strata.join.salts``, 1)
-    spreads each link over that many partitions.
+    spreads each hot link (``joins.hot_keys``) over that many partitions.
     """
     sat = vault["sat_seismic_data"].select("link_survey_well_key", "depth", "amplitude",
                                            "quality_flag", "ingest_timestamp")
@@ -108,7 +122,8 @@ def _aggregates() -> list[Column]:
 
 def link_facts(vault: dict[str, DataFrame]) -> DataFrame:
     """Pre-aggregated form: one row of partials per link, then the dimensions."""
-    return _attach_dims(vault["sat_seismic_data"].groupBy("link_survey_well_key").agg(*_aggregates()), vault)
+    sat = _short_keys(vault["sat_seismic_data"].select("link_survey_well_key", "depth", "amplitude", "quality_flag", "ingest_timestamp"))
+    return _attach_dims(sat.groupBy("link_survey_well_key").agg(*_aggregates()), vault)
 
 
 def _survey_formats(surveys: DataFrame) -> DataFrame:
@@ -182,7 +197,7 @@ def wells_surveyed(vault: dict[str, DataFrame], approximate: bool = False) -> Da
     partial count per survey), so no separate ``distinct`` pass over the link
     table is needed.
     """
-    link = vault["link_survey_well"].select("hub_survey_key", "hub_well_key")
+    link = _short_keys(vault["link_survey_well"].select("hub_survey_key", "hub_well_key"), "hub_survey_key")
     hub_survey = _dim(vault, "hub_survey", "hub_survey_key", "survey_type_id")
     return (link.join(hub_survey, "hub_survey_key")
                 .where(F.col("survey_type_id").isNotNull())

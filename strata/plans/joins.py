@@ -19,6 +19,8 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 _CONF_KEY = "strata.broadcast.maxBytes"
 #: Bytes of a text column that the measured source does not have: a hexadecimal digest at most.
 DERIVED_TEXT_BYTES = 64
+#: Keys that a salted join spreads at most.
+HOT_KEYS = 1024
 
 
 def max_broadcast_bytes(spark: SparkSession) -> int:
@@ -79,22 +81,39 @@ def maybe_broadcast(df: DataFrame, max_bytes: int | None = None,
     return F.broadcast(df) if byte_bound(df, source) <= cap else df
 
 
+def hot_keys(big: DataFrame, key: str, salts: int) -> list[int]:
+    """Hashes of the keys of ``big`` with the most rows: at most ``HOT_KEYS`` of them, each of at least ``salts`` rows.
+
+    Rows are counted per hash in the map tasks first.  Any other key holds less
+    than one row in ``HOT_KEYS``, or too few to stand in every salt.
+    """
+    counts = big.groupBy(F.xxhash64(key).alias("__hash")).agg(F.count(F.lit(1)).alias("__n"))
+    return [r[0] for r in counts.where(F.col("__n") >= salts).orderBy(F.desc("__n")).limit(HOT_KEYS).collect()]
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, salts: int,
                 how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` where one key may hold a large share of ``big``.
 
-    ``big`` rows get a salt in ``[0, salts)`` from their place in their
-    partition, not from their values, so equal rows spread too; a retried task
-    reads its rows in the same order and sends each where it went before.
-    ``small`` (unique per key, e.g. a link or hub table) is replicated once
-    per salt.  Each hot key is then spread over ``salts`` shuffle partitions
-    instead of one, at the cost of ``salts`` copies of the small side.
+    ``big`` rows of a hot key (``hot_keys``) get a salt in ``[0, salts)`` from
+    their place in their partition, not from their values, so equal rows spread
+    too; a retried task reads its rows in the same order and sends each where
+    it went before.  Rows of ``small`` (unique per key, e.g. a link or hub
+    table) are replicated once per salt where their key is hot, and only there:
+    ``small`` may have as many keys as ``big`` has rows.  Each hot key is then
+    spread over ``salts`` shuffle partitions instead of one, at the cost of a
+    count of the keys and ``salts`` copies of at most ``HOT_KEYS`` keys.  Which
+    keys are hot decides no row: both sides take it from the same hashes.
     Results equal the plain join.  AQE's skew-join splitting does the same for
     sort-merge joins at run time; this is the explicit form for sessions or
     joins where AQE cannot split.
     """
     if salts <= 1:
         return big.join(small, key, how)
-    b = big.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Hashes of equal keys are equal for one type only; else every key is spread.
+    same = big.schema[key].dataType == small.schema[key].dataType
+    hot = F.xxhash64(key).isin(hot_keys(big, key, salts)) if same else F.lit(True)
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    b = big.withColumn("_salt", F.when(hot, place).otherwise(0))
+    s = small.withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
     return b.join(s, [key, "_salt"], how).drop("_salt")

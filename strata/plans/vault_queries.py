@@ -279,7 +279,7 @@ SELECT well_id, survey_type_id, survey_type, source_format, depth, amplitude, qu
        strftime(ingest_timestamp, {TS_SQL}) AS ingest_timestamp
 FROM core"""))
 def q_core_join_salted(spark, sf_dir):
-    """The reading-level join with each link spread over 8 salts (hot-link form)."""
+    """The reading-level join with each hot link spread over 8 salts."""
     core = M.core_join(vault_tables(spark, sf_dir), salts=8)
     return core.select("well_id", "survey_type_id", "survey_type", "source_format", "depth",
                        "amplitude", "quality_flag",
