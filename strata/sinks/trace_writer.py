@@ -13,6 +13,9 @@ are known.  Memory is bounded all the same: a task holds at most
 ``bufferBytes`` (64 MB) of records, and when they are more it writes its
 largest surveys out as files of their own and goes on.  A survey with a third
 of all rows thus becomes many files by many tasks, none of them held whole.
+``write`` deals the rows to tasks by ranges of survey first, so that a lake has
+about as many files as surveys and tasks together, and not one for each pair of
+them: a file takes a block of the disk however few records it holds.
 
 ``mode("overwrite")`` removes what the folder held once the new files are in
 place.  Rows whose ids or flag are NULL or do not fit the format's unsigned
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
 from strata.session import ship_package
-from strata.sinks.fixedwidth import NotEncodable
+from strata.sinks.fixedwidth import NotEncodable, dealt
 from strata.sources.fixedwidth import HEADER_FORMAT, MAGIC, STAGING, FixedWidthDataSource, record_dtype
 from strata.sources.fsys import resolve
 
@@ -201,4 +204,6 @@ def register(spark: SparkSession) -> None:
 def write(df: DataFrame, folder: str, mode: str = "append", **options) -> None:
     """``df``'s readings as trace files below ``folder``, all of them or none."""
     register(df.sparkSession)
+    if set(COLUMNS) <= set(df.columns):  # else the writer says what is missing
+        df = dealt(df.select(*COLUMNS))
     df.write.format(FORMAT).mode(mode).options(**{k: str(v) for k, v in options.items()}).save(folder)
