@@ -5,7 +5,8 @@ Two steps, so that no listing passes through the driver:
 * ``announce`` lists the lake in tasks and appends the files it has not named
   yet to an *arrivals log*: a Parquet table of record ranges
   ``(path, start, stop)``.  A huge file is many rows, each file of the log covers about
-  ``ENTRY_BYTES`` of trace data.
+  ``ENTRY_BYTES`` of trace data: neighbouring paths, which hold neighbouring surveys where
+  ``strata.sinks.trace_writer`` made them.
 * ``trace_stream`` is a file stream over that log.  Spark's own file source
   keeps the offsets, so a restart goes on behind the last finished batch; a
   trigger takes at most about ``max_bytes`` of trace data.  The scan spreads a batch's log
@@ -40,6 +41,8 @@ TRIGGER_BYTES = 1 << 40
 #: Records of one range, and what opening a file costs beside its bytes.
 RANGE_RECORDS = 4_000_000
 OPEN_BYTES = 1 << 20
+#: Survey ids that share a folder of converted readings.
+BLOCK_SURVEYS = 1000
 
 
 def announce(spark: SparkSession, lake: str, log: str, glob: str = DEFAULT_GLOB,
@@ -57,7 +60,7 @@ def announce(spark: SparkSession, lake: str, log: str, glob: str = DEFAULT_GLOB,
     ranges = spark.read.schema(ARRIVAL_SCHEMA).parquet(staged)
     added, size = ranges.agg(F.count(F.lit(1)), F.sum((F.col("stop") - F.col("start")) * RECORD_SIZE + OPEN_BYTES)).first()
     if added:
-        ranges.repartition(math.ceil(size / entry_bytes), "path", "start").write.mode("append").parquet(log)
+        ranges.repartitionByRange(math.ceil(size / entry_bytes), "path", "start").write.mode("append").parquet(log)
     return added
 
 
@@ -82,13 +85,16 @@ def _but(name: str, options: dict) -> dict:
 
 
 def convert_arrivals(spark: SparkSession, lake: str, log: str, out: str, checkpoint: str, glob: str = DEFAULT_GLOB, **sizes) -> int:
-    """Decode every file not yet decoded into Parquet below ``out``, by survey; the number of ranges announced.
+    """Decode every file not yet decoded into Parquet below ``out``, by blocks of surveys; the number of ranges announced.
 
-    Spark's file sink makes each batch visible once, also when it is run again.
+    Spark's file sink makes each batch visible once, also when it is run again.  A folder ``survey_block=`` holds
+    ``BLOCK_SURVEYS`` ids: a file per survey and batch would cost more than the readings in it.
     """
     added = announce(spark, lake, log, glob, **_but("max_bytes", sizes))
     if path_exists(spark, log):
-        (trace_stream(spark, lake, log, **_but("range_records", sizes)).writeStream.format("parquet").partitionBy("survey_id")
+        (trace_stream(spark, lake, log, **_but("range_records", sizes))
+         .withColumn("survey_block", F.floor(F.col("survey_id") / BLOCK_SURVEYS))
+         .writeStream.format("parquet").partitionBy("survey_block")
          .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     return added
 
