@@ -23,8 +23,10 @@ at the Parquet reader — to find which batch keys already exist; no stored row
 is shuffled.  The anti join then runs against that small result.  Of a larger
 batch and of the stored keys only 64-bit hashes are shuffled: a row whose hash
 is not stored is new.  The others, all rows of a batch that is played again and
-a handful otherwise, are then compared by their whole keys.  A load can be
-re-run after a failure: rows already stored are found and skipped.
+a handful otherwise, are then compared by their whole keys.  Where the stored
+table has at most twice as many rows as a large batch, as when all of it comes
+again, the batch is not copied: one anti join on the whole keys decides.  A load
+can be re-run after a failure: rows already stored are found and skipped.
 """
 
 from __future__ import annotations
@@ -38,13 +40,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.keys import packed, unpacked, with_change_hash
-from strata.plans.joins import byte_bound, is_unique, max_broadcast_bytes
+from strata.plans.joins import bound_of, byte_bound, is_unique, max_broadcast_bytes, measured
 from strata.session import scratch_dir
 from strata.sinks.tables import write_parquet
 from strata.sources.files import path_exists, remove_tree
 
 #: Batch keys up to this size are broadcast; they pass through the driver, once or twice per load and table.
 KEYS_BYTES = 8 << 20
+#: Bytes of a key at least, and how many times as many rows the stored table may have as a batch that is joined with it at once.
+LEAST_KEY_BYTES, STORE_SHARE = 8, 2
 #: Digests as text are half as long with an entropy coder; the codecs without one leave them as they are.
 CODEC = "zstd"
 #: Columns that say when a row was loaded, not what it holds.
@@ -68,14 +72,28 @@ def _digests(rows: DataFrame, keys: list[str]) -> list[str]:
             and (f.name in keys or f.name.endswith(("_key", "_hash")))]
 
 
-def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str], into: str | None = None) -> DataFrame:
-    """``rows``, one per ``keys``, whose ``keys`` do not occur in ``stored``; those with a NULL key stay."""
+def _holds_the_store(source: DataFrame | None, stored: DataFrame, keys: list[str], most: int) -> bool:
+    """Whether a batch made of ``source``'s rows is large and about as large as what is stored, so that one plain join is least work."""
+    if source is None:
+        return False
+    rows = measured(source)[0]
+    return rows * LEAST_KEY_BYTES * len(keys) > most and stored.count() <= STORE_SHARE * rows
+
+
+def _unseen(rows: DataFrame, stored: DataFrame, keys: list[str], into: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """``rows``, one per ``keys``, whose ``keys`` do not occur in ``stored``; those with a NULL key stay.
+
+    ``source`` is a cheap plan with about as many rows, if there is one.
+    """
     spark, texts = rows.sparkSession, _digests(rows, keys)
     columns = [(unpacked(F.col(c)).alias(c) if c in texts else F.col(c)) for c in rows.columns]
-    rows = _staged(rows.withColumns({c: packed(F.col(c)) for c in texts}), into)
+    rows = rows.withColumns({c: packed(F.col(c)) for c in texts})
     known = stored.select(*[(packed(F.col(c)) if c in texts else F.col(c)).alias(c) for c in keys])
-    batch_keys = rows.select(*keys)
     most = min(KEYS_BYTES, max_broadcast_bytes(spark))
+    if _holds_the_store(source, stored, keys, most):
+        return rows.join(known, keys, "left_anti").select(*columns)
+    rows = _staged(rows, into)
+    batch_keys = rows.select(*keys)
     if byte_bound(batch_keys) <= most:
         # Scan the stored keys against the broadcast batch keys: no stored row moves.
         seen = known.join(F.broadcast(batch_keys.distinct()), keys, "left_semi").distinct()
@@ -106,7 +124,7 @@ def _first_of_each(batch: DataFrame, keys: list[str], order: list[str]) -> DataF
 def new_keys(batch: DataFrame, stored: DataFrame | None, key: str, into: str | None = None) -> DataFrame:
     """Batch rows whose key is not stored yet; one row per new key."""
     fresh = batch if is_unique(batch, [key]) else batch.dropDuplicates([key])
-    return fresh if stored is None else _unseen(fresh, stored, [key], into)
+    return fresh if stored is None else _unseen(fresh, stored, [key], into, bound_of(batch))
 
 
 def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
@@ -114,7 +132,7 @@ def new_sat_rows(batch: DataFrame, stored: DataFrame | None, parent_key: str,
     """Batch rows whose (parent, change hash) is not stored yet; of equal readings the earliest."""
     keys = [parent_key, hash_col]
     rows = _first_of_each(batch, keys, [order] if order in batch.columns else [])
-    return rows if stored is None else _unseen(rows, stored, keys, into)
+    return rows if stored is None else _unseen(rows, stored, keys, into, bound_of(batch))
 
 
 def new_content_rows(batch: DataFrame, stored: DataFrame | None, into: str | None = None) -> DataFrame:

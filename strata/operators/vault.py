@@ -174,9 +174,9 @@ def build_vault(surveys: DataFrame | None, wells: DataFrame | None, readings: Da
         out["sat_well_details"] = set_bound(well_sat(wells, load_ts, key_hash), wells)
         rej.append(rejects(wells, ["well_id"], "hub_well"))
     if readings is not None:
-        out["link_survey_well"] = build_link(readings, "survey_id", "well_id", load_ts,
-                                             READING_SOURCE, key_hash)
-        out["sat_seismic_data"] = seismic_sat(readings, load_ts, key_hash, keep_source_timestamp, once)
+        out["link_survey_well"] = set_bound(build_link(readings, "survey_id", "well_id", load_ts,
+                                                       READING_SOURCE, key_hash), readings)
+        out["sat_seismic_data"] = set_bound(seismic_sat(readings, load_ts, key_hash, keep_source_timestamp, once), readings)
         rej.append(rejects(readings, ["survey_id", "well_id"], "link_survey_well"))
     if rej:
         r = rej[0]
