@@ -27,6 +27,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.convert import with_survey_block
 from strata.session import scratch_dir, ship_package
 from strata.sources.files import list_tree, path_exists
 from strata.sources.fixedwidth import DEFAULT_GLOB, HEADER_SIZE, RECORD_SCHEMA, RECORD_SIZE, FileRanges, FixedWidthReader
@@ -41,8 +42,6 @@ TRIGGER_BYTES = 1 << 40
 #: Records of one range, and what opening a file costs beside its bytes.
 RANGE_RECORDS = 4_000_000
 OPEN_BYTES = 1 << 20
-#: Survey ids that share a folder of converted readings.
-BLOCK_SURVEYS = 1000
 
 
 def announce(spark: SparkSession, lake: str, log: str, glob: str = DEFAULT_GLOB,
@@ -88,12 +87,11 @@ def convert_arrivals(spark: SparkSession, lake: str, log: str, out: str, checkpo
     """Decode every file not yet decoded into Parquet below ``out``, by blocks of surveys; the number of ranges announced.
 
     Spark's file sink makes each batch visible once, also when it is run again.  A folder ``survey_block=`` holds
-    ``BLOCK_SURVEYS`` ids: a file per survey and batch would cost more than the readings in it.
+    ``convert.BLOCK_SURVEYS`` ids: a file per survey and batch would cost more than the readings in it.
     """
     added = announce(spark, lake, log, glob, **_but("max_bytes", sizes))
     if path_exists(spark, log):
-        (trace_stream(spark, lake, log, **_but("range_records", sizes))
-         .withColumn("survey_block", F.floor(F.col("survey_id") / BLOCK_SURVEYS))
+        (with_survey_block(trace_stream(spark, lake, log, **_but("range_records", sizes)))
          .writeStream.format("parquet").partitionBy("survey_block")
          .option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
     return added
